@@ -28,6 +28,12 @@ WIRE_SCHEMA = T.StructType(
     [T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType())]
 )
 
+SLIDING_SCHEMA = (
+    "window_start timestamp, window_end timestamp, event_count long, active_users long, "
+    "revenue double, count_pageview long, count_click long, count_purchase long, "
+    "count_search long, event_date date"
+)
+
 # Column order of the alert table.
 ALERT_COLUMNS = (
     "alert_id",

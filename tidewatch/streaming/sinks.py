@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewatch.operators.upsert import upsert
+from tidewatch.operators.upsert import newest_per_key, upsert
 from tidewatch.operators.windows import rank_pages
 
 
@@ -48,9 +48,14 @@ def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _folder(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _folder(spark, path)
+    return files.exists(target)
 
 
 def write_upsert(
@@ -65,26 +70,36 @@ def write_upsert(
     """Merges rows into a partitioned table by key.
 
     Only partitions that receive rows are read and rewritten, so the partition columns must
-    follow from the keys, as a date follows from a window. The merged rows are first written
-    to ``staging``, a folder of this one write (a batch id belongs in its name), because a
-    table cannot be overwritten while it is read. When the write is repeated after a failure
-    and the folder is complete, it is published again instead of merging twice.
+    follow from the keys, as a date follows from a window.
+
+    ``staging`` is a folder for this one write; a batch id belongs in its name. It first takes
+    the new rows, so ``df`` is evaluated once, then the merged partitions, because a table
+    cannot be overwritten while it is read. A write that is repeated after a failure finds
+    complete stages there and goes on from them; merging the same rows again gives the same
+    table. The folder is removed once the table is written.
     """
     spark = df.sparkSession
-    if not _exists(spark, f"{staging}/_SUCCESS"):
-        merged = df
-        if _exists(spark, path):
-            existing = spark.read.format(fmt).load(path).select(*df.columns)
-            touched = df.select(*partition_cols).distinct()
-            merged = upsert(
-                existing.join(touched, list(partition_cols), "left_semi"), df, keys, order
-            )
-        else:
-            merged = upsert(df.limit(0), df, keys, order)
-        merged.write.format(fmt).mode("overwrite").save(staging)
-    staged = spark.read.format(fmt).load(staging)
+    fresh_path, merged_path = f"{staging}/fresh", f"{staging}/merged"
+    if not table_exists(spark, f"{fresh_path}/_SUCCESS"):
+        newest_per_key(df, keys, order).write.format(fmt).mode("overwrite").save(fresh_path)
+    publish = fresh = spark.read.format(fmt).schema(df.schema).load(fresh_path)
+    if table_exists(spark, path):
+        if not table_exists(spark, f"{merged_path}/_SUCCESS"):
+            existing = spark.read.format(fmt).schema(df.schema).load(path).select(*df.columns)
+            touched = existing.join(
+                fresh.select(*partition_cols).distinct(), list(partition_cols), "left_semi"
+            ).select(*df.columns)
+            upsert(touched, fresh, keys, order).write.format(fmt).mode("overwrite").save(merged_path)
+        publish = spark.read.format(fmt).schema(df.schema).load(merged_path)
+    _replace_partitions(publish, path, partition_cols, fmt)
+    files, target = _folder(spark, staging)
+    files.delete(target, True)
+
+
+def _replace_partitions(df: DataFrame, path: str, partition_cols: tuple[str, ...], fmt: str = "parquet") -> None:
+    """Replaces exactly the partitions that ``df`` has rows for."""
     (
-        staged.hint("rebalance", *partition_cols)
+        df.hint("rebalance", *partition_cols)
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -155,9 +170,8 @@ def start_batches(
 def start_archive(
     events: DataFrame, path: str, checkpoint: str, seconds: int | None = None
 ) -> StreamingQuery:
-    """Lands parsed events, one folder per date."""
-    dated = events.filter(F.col("event_date").isNotNull())
-    return start_append(dated, path, checkpoint, seconds, ("event_date",), name="archive")
+    """Lands parsed events, one folder per date; events without a date have their own."""
+    return start_append(events, path, checkpoint, seconds, ("event_date",), name="raw")
 
 
 def start_top_pages(
@@ -166,22 +180,29 @@ def start_top_pages(
     """Ranks the pages of every window a micro-batch closes.
 
     Append mode emits all pages of a window in one micro-batch, so ranking inside it is exact,
-    and the rank is an ordinary distributed window function. A micro-batch owns the folder
-    named after it.
+    and the rank is an ordinary distributed window function. A micro-batch owns the folders
+    named after it, below its dates; one that closes no window leaves none.
     """
 
     def rank(batch: DataFrame, batch_id: int) -> None:
-        rank_pages(batch, n).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        ranked = with_date(rank_pages(batch, n)).withColumn("batch_id", F.lit(batch_id))
+        _replace_partitions(ranked, path, ("event_date", "batch_id"))
 
     return start_batches(counts, rank, checkpoint, seconds, name="top_pages")
 
 
 def start_alert_index(
-    alerts: DataFrame, path: str, checkpoint: str, seconds: int | None = None
+    alerts: DataFrame,
+    path: str,
+    checkpoint: str,
+    seconds: int | None = None,
+    report: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
-    """Indexes streamed alerts by id."""
+    """Indexes streamed alerts by id; ``report`` is told the id of every finished batch."""
 
     def index(batch: DataFrame, batch_id: int) -> None:
         index_alerts(batch, path, f"{checkpoint}/staging/{batch_id}")
+        if report:
+            report(batch_id)
 
     return start_batches(alerts, index, checkpoint, seconds, name="alerts")
