@@ -200,6 +200,25 @@ def _sliding_by_panes(events: DataFrame, slide: str, panes: int) -> DataFrame:
     )
 
 
+def traffic(
+    events: DataFrame, width: str = WindowConfig.short, keys: tuple[str, ...] = (), delay: str | None = None
+) -> DataFrame:
+    """Events, revenue and active users per window and key: what the detector takes as input."""
+    per_user = (
+        with_delay(events, delay)
+        .groupBy(F.window("event_ts", width).alias("window"), *keys, "user_id")
+        .agg(F.count(F.lit(1)).alias("event_count"), revenue_cents().alias("revenue_cents"))
+    )
+    return (
+        per_user.groupBy("window", *keys)
+        .agg(*_totals("event_count", "revenue_cents"), F.count("user_id").alias("active_users"))
+        .select(
+            F.col("window.start").alias("window_start"), *keys,
+            "event_count", money("revenue_cents").alias("revenue"), "active_users",
+        )
+    )
+
+
 def page_counts(
     events: DataFrame, width: str = WindowConfig.short, delay: str | None = None
 ) -> DataFrame:
