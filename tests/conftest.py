@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
         master="local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
-            "spark.ui.enabled": "false",
+            "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

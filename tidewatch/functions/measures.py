@@ -42,29 +42,28 @@ def floor_div(value: Column, step: int) -> Column:
     return F.call_function("div", value - F.pmod(value, F.lit(step)), F.lit(step))
 
 
-def round_quotient(numerator: Column, denominator: Column) -> Column:
-    """``numerator / denominator`` rounded half away from zero to a whole number, exactly.
+def quotient_sql(numerator: str, denominator: str) -> str:
+    """SQL of ``numerator / denominator`` rounded half away from zero to a whole number, exactly.
 
-    Both are integers and the denominator is not negative; a zero denominator gives null.
+    Both are whole-number SQL expressions and the denominator is not negative; a zero
+    denominator gives null.
     """
-    whole = F.call_function(
-        "div", F.abs(numerator) * 2 + denominator, F.nullif(denominator * 2, F.lit(0).cast("long"))
-    )
-    return F.when(numerator < 0, -whole).otherwise(whole)
+    whole = f"((abs({numerator}) * 2 + {denominator}) div nullif({denominator} * 2, 0L))"
+    return f"(CASE WHEN {numerator} < 0 THEN -{whole} ELSE {whole} END)"
 
 
-def round_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    """``numerator / denominator`` rounded half away from zero to ``digits`` decimals."""
+def ratio_sql(numerator: str, denominator: str, digits: int) -> str:
+    """SQL of ``numerator / denominator`` rounded half away from zero to ``digits`` decimals."""
     scale = 10**digits
-    return round_quotient(numerator * scale, denominator) / F.lit(float(scale))
+    return f"({quotient_sql(f'({numerator} * {scale})', denominator)} / {float(scale)}D)"
 
 
-def round_double(value: Column, digits: int) -> Column:
-    """A double rounded half away from zero to ``digits`` decimals."""
-    scale = float(10**digits)
-    return F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / F.lit(scale)
+def round_double_sql(value: str, digits: int) -> str:
+    """SQL of a double rounded half away from zero to ``digits`` decimals."""
+    scale = f"{float(10**digits)}D"
+    return f"(signum({value}) * floor(abs({value}) * {scale} + 0.5D) / {scale})"
 
 
-def mean_money(total_cents: Column, count: Column) -> Column:
+def mean_money(total_cents: str, count: str) -> Column:
     """Mean amount with two decimals; null when there is nothing to average."""
-    return money(round_quotient(total_cents, count))
+    return money(F.expr(quotient_sql(total_cents, count)))

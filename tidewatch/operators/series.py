@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import DetectorConfig, micros
 from tidewatch.functions.baseline import WIDE
-from tidewatch.functions.measures import floor_div
+from tidewatch.functions.measures import cents, floor_div
 
 ALL = "all"
 BLOCK = 1024
@@ -70,31 +70,41 @@ def fill_gaps(
 
 
 def _add_baseline(
-    rows: DataFrame, name: str, value: Column, is_sample: Column, ordinal: str, size: int, block: int
+    rows: DataFrame, name: str, measure: str, positive: bool, ordinal: str, size: int, block: int
 ) -> DataFrame:
     """Adds the baseline ``name`` over the ``size`` samples before each row of its series.
 
-    ``ordinal`` is the number of samples before the row. Rows are cut into blocks of ordinals,
-    and the last samples of a block are copied into the next. ``block`` stays as a column.
+    Samples are all values of ``measure`` or only the positive ones, and ``ordinal`` is the
+    number of samples before the row. Rows are cut into blocks of ordinals, and the last
+    samples of a block are copied into the next. ``block`` stays as a column.
     """
     if block < size:
         raise ValueError("a block must be at least as long as the baseline")
     home = floor_div(F.col(ordinal), block)
     own = F.struct(home.alias("block"), F.lit(False).alias("copied"))
     ahead = F.struct((home + 1).alias("block"), F.lit(True).alias("copied"))
-    carried = is_sample & (F.pmod(F.col(ordinal), F.lit(block)) >= block - size)
-    blocks = rows.select("*", F.inline(F.when(carried, F.array(own, ahead)).otherwise(F.array(own))))
+    value = F.col(measure)
+    carried = F.pmod(F.col(ordinal), F.lit(block)) >= block - size
+    if positive:
+        carried, value = carried & (value > 0), F.when(value > 0, value)
+    wide = value.cast(WIDE)
     frame = W.partitionBy("series", "block").orderBy(ordinal).rangeBetween(-size, -1)
-    sample = F.when(is_sample, value)
-    wide = sample.cast(WIDE)
     return (
-        blocks.withColumn(f"{name}_n", F.count(sample).over(frame))
-        .withColumn(f"{name}_sum", F.coalesce(F.sum(sample).over(frame), F.lit(0).cast("long")))
-        .withColumn(
-            f"{name}_squares",
-            F.coalesce(F.sum((wide * wide).cast(WIDE)).over(frame).cast(WIDE), F.lit(0).cast(WIDE)),
+        rows.select(
+            "*",
+            value.alias("_value"),
+            (wide * wide).cast(WIDE).alias("_square"),
+            F.inline(F.when(carried, F.array(own, ahead)).otherwise(F.array(own))),
+        )
+        .select(
+            *rows.columns,
+            "block",
+            "copied",
+            F.count("_value").over(frame).alias(f"{name}_n"),
+            F.sum("_value").over(frame).alias(f"{name}_sum"),
+            F.sum("_square").over(frame).cast(WIDE).alias(f"{name}_squares"),
         )
-        .filter(~F.col("copied"))
+        .filter("NOT copied")
         .drop("copied")
     )
 
@@ -116,34 +126,38 @@ def with_baselines(
 
     ``filled`` is read twice, so it should come from a stored table (``tables.stored``).
     """
-    rows = filled.withColumn("revenue_cents", F.round(F.col("revenue") * 100).cast("long")).withColumn(
-        "ordinal", F.col("window_no") - 1
-    )
-    out = _add_baseline(rows, "count", F.col("event_count"), F.lit(True), "ordinal", size, block)
+    rows = filled.withColumns({"revenue_cents": cents("revenue"), "ordinal": F.col("window_no") - 1})
+    out = _add_baseline(rows, "count", "event_count", False, "ordinal", size, block)
     if not names:
         return out.drop("ordinal", "block")
 
     # Samples before a row: those of all earlier blocks plus the earlier ones of its block.
-    sampled = {name: F.col(POSITIVE_ONLY[name]) > 0 for name in names}
     earlier_blocks = W.partitionBy("series").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     earlier_rows = W.partitionBy("series", "block").orderBy("ordinal").rowsBetween(W.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
+
+    def positive(name: str) -> Column:
+        return F.count_if(F.col(POSITIVE_ONLY[name]) > 0)
+
     before = (
         rows.groupBy("series", floor_div(F.col("ordinal"), block).alias("block"))
-        .agg(*(F.count_if(sampled[name]).alias(name) for name in names))
+        .agg(*(positive(name).alias(name) for name in names))
         .select(
             "series", "block",
             *(F.coalesce(F.sum(name).over(earlier_blocks), zero).alias(f"{name}_before") for name in names),
         )
     )
-    out = out.join(before, ["series", "block"])
-    for name in names:
-        running = F.sum(F.when(sampled[name], 1).otherwise(0)).over(earlier_rows)
-        out = out.withColumn(f"{name}_ordinal", F.col(f"{name}_before") + F.coalesce(running, zero))
-    out = out.drop("block", "ordinal", *(f"{name}_before" for name in names))
+    kept = [name for name in out.columns if name not in ("block", "ordinal")]
+    out = out.join(before, ["series", "block"]).select(
+        *kept,
+        *(
+            (F.col(f"{name}_before") + positive(name).over(earlier_rows)).alias(f"{name}_ordinal")
+            for name in names
+        ),
+    )
     for name in names:
-        measure, ordinal = POSITIVE_ONLY[name], f"{name}_ordinal"
-        out = _add_baseline(out, name, F.col(measure), sampled[name], ordinal, size, block)
+        ordinal = f"{name}_ordinal"
+        out = _add_baseline(out, name, POSITIVE_ONLY[name], True, ordinal, size, block)
         out = out.drop("block", ordinal)
     return out
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewatch.functions.measures import round_ratio
+from tidewatch.functions.measures import ratio_sql
 
 
 def latest(table: DataFrame, n: int = 100, time: str = "window_start") -> DataFrame:
@@ -78,11 +78,11 @@ def kpis(metrics: DataFrame) -> DataFrame:
     )
 
     def card(place: int, label: str, metric: str, compared: bool) -> Column:
-        now, before = F.col(metric), F.col(f"before_{metric}")
-        change = round_ratio((now - before) * 100, before + 1, 1) if compared else F.lit(None).cast("double")
+        before = f"before_{metric}"
+        change = ratio_sql(f"({metric} - {before}) * 100", f"({before} + 1)", 1) if compared else "double(null)"
         return F.struct(
             F.lit(place).alias("place"), F.lit(label).alias("kpi"),
-            F.coalesce(now, F.lit(0)).cast("double").alias("value"), change.alias("delta_pct"),
+            F.expr(f"coalesce(double({metric}), 0D)").alias("value"), F.expr(change).alias("delta_pct"),
         )
 
     cards = (card(place, *kpi) for place, kpi in enumerate(KPIS, 1))

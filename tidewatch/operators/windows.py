@@ -86,7 +86,7 @@ def tumbling_metrics(
         "unique_sessions",
         "purchase_count",
         money(F.coalesce("revenue_cents", F.lit(0).cast("long"))).alias("total_revenue"),
-        mean_money(F.col("order_cents"), F.col("orders")).alias("avg_order_value"),
+        mean_money("order_cents", "orders").alias("avg_order_value"),
         "page_views",
         "clicks",
         "searches",
@@ -290,7 +290,7 @@ def revenue(
             F.col("window.start").alias("window_start"),
             money("total_cents").alias("revenue"),
             "order_count",
-            mean_money(F.col("total_cents"), F.col("order_count")).alias("avg_order"),
+            mean_money("total_cents", "order_count").alias("avg_order"),
             money("max_cents").alias("max_order"),
         )
     )
