@@ -1,0 +1,58 @@
+"""Serving queries on small tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewatch.operators import serving
+
+
+@pytest.fixture
+def hours(spark):
+    rows = [(h, 10 * h, 5, h, 100.0 * h, 50.0 if h != 3 else None, h, 2 * h, 3 * h) for h in (3, 1, 2)]
+    return spark.createDataFrame(
+        rows, "h int, total_events long, unique_users long, purchase_count long, total_revenue double, "
+        "avg_order_value double, page_views long, clicks long, searches long",
+    ).withColumn("window_start", F.timestamp_micros(F.col("h").cast("long") * 3600000000)).drop("h")
+
+
+def test_latest_and_history(hours):
+    assert [r.total_events for r in serving.latest(hours, 2).collect()] == [30, 20]
+    assert [r.total_events for r in serving.history(hours, 2).collect()] == [20, 30]
+    plan = serving.latest(hours, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_kpis(hours):
+    cards = {r.kpi: (r.value, r.delta_pct) for r in serving.kpis(hours).orderBy("place").collect()}
+    assert cards == {
+        "Events / Min": (30.0, 47.6), "Active Users": (5.0, 0.0), "Revenue / Min": (300.0, None),
+        "Purchases": (3.0, 33.3), "Avg Order": (0.0, None),
+    }
+    alone = {r.kpi: r.delta_pct for r in serving.kpis(serving.latest(hours, 1)).collect()}
+    assert alone["Events / Min"] == 0.0
+
+
+def test_breakdown(hours):
+    found = {r["type"]: r["count"] for r in serving.type_breakdown(hours).collect()}
+    assert found == {"Page Views": 6, "Clicks": 12, "Searches": 18}
+
+
+def test_page_share(spark):
+    pages = spark.createDataFrame([("/a", 9), ("/a", 10), ("/b", 19), ("/c", 1), ("/d", 2), ("/e", 3), ("/f", 4)], "page string, view_count long")
+    found = [(r.page, r.view_count, r.bar_pct) for r in serving.page_share(pages).orderBy(F.desc("view_count"), "page").collect()]
+    assert found == [("/a", 19, 95), ("/b", 19, 95), ("/f", 4, 20), ("/e", 3, 15), ("/d", 2, 10)]
+
+
+def test_alert_search(spark):
+    alerts = spark.createDataFrame(
+        [(f"a{i}", "critical" if i % 2 else "high", "drop" if i % 3 else "spike", f"m{i}", i) for i in range(30)],
+        "alert_id string, severity string, alert_type string, message string, s long",
+    ).withColumn("indexed_at", F.timestamp_micros(F.col("s") * 1000000)).withColumn("timestamp", F.col("indexed_at"))
+    ids = lambda df: [r.alert_id for r in df.collect()]
+    assert ids(serving.search_alerts(alerts, n=3)) == ["a29", "a28", "a27"]
+    assert ids(serving.search_alerts(alerts, "critical", n=2)) == ["a29", "a27"]
+    assert ids(serving.search_alerts(alerts, None, "spike", n=2)) == ["a27", "a24"]
+    assert ids(serving.search_alerts(alerts, "critical", "spike", n=2)) == ["a27", "a21"]
+    assert serving.search_alerts(alerts).count() == 20
+    recent = serving.recent_alerts(alerts).collect()
+    assert len(recent) == 5 and recent[0]["time"] == "1970-01-01 00:00:29"

@@ -1,0 +1,119 @@
+"""Upsert and table writers, replays included."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewatch.operators.upsert import newest_per_key, upsert
+from tidewatch.session import work_dir
+from tidewatch.sources.tables import read_table, stored
+from tidewatch.streaming import sinks
+
+COLUMNS = "k string, day date, v long"
+
+
+@pytest.fixture
+def frame(spark):
+    def build(*rows):
+        return spark.createDataFrame(
+            [(k, d, v) for k, d, v in rows], "k string, d string, v long"
+        ).select("k", F.to_date("d").alias("day"), "v")
+
+    return build
+
+
+def found(df):
+    return sorted(((r.k, str(r.day), r.v) for r in df.collect()), key=str)
+
+
+def test_upsert_rules(frame):
+    old = frame(("a", "2024-01-01", 1), ("b", "2024-01-01", 2), (None, "2024-01-01", 3))
+    new = frame(("b", "2024-01-01", 20), ("b", "2024-01-01", 10), ("c", "2024-01-02", 5), (None, "2024-01-01", 3))
+    assert found(upsert(old, new, ["k"])) == found(
+        frame(("a", "2024-01-01", 1), ("b", "2024-01-01", 20), (None, "2024-01-01", 3),
+              ("c", "2024-01-02", 5), (None, "2024-01-01", 3))
+    )
+    lowest = newest_per_key(new, ["k"], [F.asc("v")]).filter("k = 'b'").first()
+    assert lowest.v == 10
+
+
+def test_write_upsert(spark, frame):
+    path = work_dir(spark, "table")
+
+    def write(df, name):
+        staging = work_dir(spark, name)
+        sinks.write_upsert(df, path, ["k"], staging, ("day",))
+        assert not sinks.table_exists(spark, staging)
+
+    write(frame(("a", "2024-01-01", 1), ("b", "2024-01-02", 2)), "one")
+    untouched = {f for f in os.listdir(f"{path}/day=2024-01-01")}
+    second = frame(("b", "2024-01-02", 9), ("c", "2024-01-02", 3), ("d", "2024-01-03", 4))
+    for attempt in ("two", "again"):
+        write(second, attempt)
+        assert found(spark.read.parquet(path).select("k", "day", "v")) == found(
+            frame(("a", "2024-01-01", 1), ("b", "2024-01-02", 9), ("c", "2024-01-02", 3), ("d", "2024-01-03", 4))
+        )
+    assert {f for f in os.listdir(f"{path}/day=2024-01-01")} == untouched
+
+
+def test_upsert_recovers_from_a_lost_partition(spark, frame):
+    """A run that died while publishing is finished from its complete stage."""
+    path, staging = work_dir(spark, "table"), work_dir(spark, "staging")
+    sinks.write_upsert(frame(("a", "2024-01-01", 1), ("b", "2024-01-01", 2)), path, ["k"], work_dir(spark, "first"), ("day",))
+    # What the first attempt left: both stages complete, the partition itself gone.
+    frame(("b", "2024-01-01", 7)).write.parquet(f"{staging}/fresh")
+    frame(("a", "2024-01-01", 1), ("b", "2024-01-01", 7)).write.parquet(f"{staging}/merged")
+    for name in os.listdir(f"{path}/day=2024-01-01"):
+        os.unlink(f"{path}/day=2024-01-01/{name}")
+    sinks.write_upsert(frame(("b", "2024-01-01", 7)), path, ["k"], staging, ("day",))
+    assert found(spark.read.parquet(path).select("k", "day", "v")) == found(
+        frame(("a", "2024-01-01", 1), ("b", "2024-01-01", 7))
+    )
+
+
+def test_append_and_pruned_read(spark):
+    path = work_dir(spark, "table")
+    rows = spark.range(0, 96).select(
+        F.timestamp_micros(F.lit(1704067200000000) + F.col("id") * 3600000000).alias("window_start"), F.col("id").alias("n")
+    )
+    for _ in range(2):
+        sinks.append(sinks.with_date(rows), path, ("event_date",))
+    table = read_table(spark, path, since="2024-01-02 06:00:00", until="2024-01-03")
+    assert table.count() == 2 * 18
+    scan = table._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_json_lines(spark, make_events):
+    path = work_dir(spark, "json")
+    sinks.write_json(make_events([(0.5, "u", "click", "/p", "mobile", "s", None)]), path)
+    line = spark.read.text(path).first().value
+    row = json.loads(line)
+    assert row["amount"] is None and row["event_ts"] == "2024-01-01T00:00:00.500000+00:00"
+
+
+def test_alert_index_last_write_wins(spark):
+    path = work_dir(spark, "alerts")
+    base = spark.createDataFrame([("x", "high"), ("y", "high")], "alert_id string, severity string").withColumn(
+        "window_start", F.lit("2024-01-01 00:00:00").cast("timestamp")
+    )
+    sinks.index_alerts(base, path, work_dir(spark, "one"))
+    sinks.index_alerts(base.filter("alert_id = 'x'").withColumn("severity", F.lit("critical")), path, work_dir(spark, "two"))
+    rows = {r.alert_id: r for r in spark.read.parquet(path).collect()}
+    assert {k: r.severity for k, r in rows.items()} == {"x": "critical", "y": "high"}
+    assert rows["x"].indexed_at >= rows["y"].indexed_at
+
+
+def test_metrics_index_appends(spark):
+    path = work_dir(spark, "metrics")
+    rows = spark.range(2).withColumn("window_start", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    for _ in range(2):
+        sinks.index_metrics(rows, path)
+    assert spark.read.parquet(path).filter("indexed_at IS NOT NULL").count() == 4
+
+
+def test_work_folder_is_below_the_shared_one(spark):
+    assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert stored(spark.range(3), "t").count() == 3

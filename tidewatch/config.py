@@ -62,7 +62,7 @@ class StreamConfig:
     # Shuffle and state partitions; None keeps what the session says.
     shuffle_partitions: int | None = None
     # Parallel first-pass buckets of the stream dedupe; 1 switches the pre-pass off.
-    dedupe_spread: int = 1
+    dedupe_spread: int = 8
     summary_every: int = 10
     windows: WindowConfig = field(default_factory=WindowConfig)
     detector: DetectorConfig = field(default_factory=DetectorConfig)

@@ -29,13 +29,14 @@ def deduplicate(
 
     On a stream the watermark bounds the state: a copy is recognised for ``delay`` after the
     first. ``spread`` > 1 first removes copies within that many random buckets, so a burst of
-    copies of one id is worked off by several tasks instead of one.
+    copies of one id is worked off by several tasks instead of one. The seed is fixed: a task
+    that runs again after a lost executor sorts its rows into the same buckets.
     """
     if not events.isStreaming:
         return _earliest(events, key)
     stream = with_delay(events, delay)
     if spread > 1:
-        bucketed = stream.withColumn("_bucket", F.floor(F.rand() * spread).cast("int"))
+        bucketed = stream.withColumn("_bucket", F.floor(F.rand(0) * spread).cast("int"))
         stream = bucketed.dropDuplicatesWithinWatermark([key, "_bucket"]).drop("_bucket")
     return stream.dropDuplicatesWithinWatermark([key])
 
