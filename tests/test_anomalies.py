@@ -112,6 +112,8 @@ def test_gaps_can_reach_past_the_last_row(make_metrics):
     until = F.timestamp_micros(F.lit(ORIGIN + 6 * MINUTE))
     filled = series.fill_gaps(series.with_series(make_metrics(NORMAL[:4])), "1 minute", until=until)
     assert [r.event_count for r in filled.orderBy("window_no").collect()][4:] == [0, 0, 0]
+    silent = anomalies.detect(make_metrics(NORMAL[:4]), "1 minute", until=until)
+    assert kinds(silent) == [("zero_events", "critical")] * 3
 
 
 def test_alert_texts(make_metrics):

@@ -10,7 +10,7 @@ from tidewatch.schema import WIRE_SCHEMA
 from tidewatch.session import work_dir
 from tidewatch.sources.wire import encode_events, read_wire
 from tidewatch.streaming import job as jobs
-from tidewatch.streaming.sinks import start_append, start_top_pages, write_upsert
+from tidewatch.streaming.sinks import start_append, start_publish, start_top_pages
 from tests.conftest import DATA
 
 
@@ -138,7 +138,7 @@ def alert_rows(df):
 
 
 def test_job_runs_end_to_end(spark, events, wire):
-    config = StreamConfig(shuffle_partitions=4, summary_every=1)
+    config = StreamConfig(app_name="once", shuffle_partitions=4, summary_every=1)
     job = jobs.start_all(spark, config, raw=read_wire(spark, "parquet", {}, wire), once=True)
     assert all(query.exception() is None for query in job.queries)
     for table in jobs.TABLES:
@@ -152,10 +152,14 @@ def test_job_runs_end_to_end(spark, events, wire):
     facts = job.detector_summary().first()
     assert facts.total_alerts == stored.count() and facts.count_samples == 20
     assert job.progress().filter("input_rows > 0").count() >= len(jobs.TABLES)
+    # A second run finds nothing new and changes nothing.
+    before = {table: spark.read.parquet(job.path(table)).count() for table in jobs.TABLES}
+    again = jobs.start_all(spark, config, raw=read_wire(spark, "parquet", {}, wire), once=True)
+    assert {table: spark.read.parquet(again.path(table)).count() for table in jobs.TABLES} == before
 
 
 def test_job_live_mode_stops_cleanly(spark, wire):
-    config = StreamConfig(shuffle_partitions=2, micro_batch_seconds=1)
+    config = StreamConfig(app_name="live", shuffle_partitions=2, micro_batch_seconds=1)
     job = jobs.start_all(spark, config, raw=read_wire(spark, "parquet", {}, wire))
     try:
         assert len(job.queries) == len(jobs.TABLES)
@@ -192,5 +196,14 @@ def test_stream_alerts_survive_restart(spark):
     assert kinds == {"spike", "drop", "revenue_drop", "zero_events"}
 
 
+def test_publish_stream(spark, events):
+    source, out = work_dir(spark, "events"), work_dir(spark, "wire")
+    events.write.parquet(source)
+    stream = encode_events(spark.readStream.schema(events.schema).parquet(source))
+    start_publish(stream, "parquet", {"path": out}, work_dir(spark, "checkpoint")).awaitTermination()
+    back = jobs.parse_events(read_wire(spark, "parquet", path=out, streaming=False))
+    assert rows_of(back.select("event_id", "amount")) == rows_of(events.select("event_id", "amount"))
+
+
 def test_wire_schema_names():
     assert WIRE_SCHEMA.fieldNames() == ["key", "value"]

@@ -72,6 +72,18 @@ def test_tumbling(make_events):
         assert row.avg_order_value == (half_up(sum(paid), len(paid)) if paid else None)
 
 
+def test_estimated_distincts(make_events):
+    events = make_events(sample())
+    exact = windows.tumbling_metrics(events, "10 minutes").orderBy("window_start")
+    estimated = windows.tumbling_metrics(events, "10 minutes", distinct_error=0.01).orderBy("window_start")
+    assert estimated.columns == exact.columns
+    for ours, real in zip(estimated.collect(), exact.collect()):
+        assert abs(ours.unique_users - real.unique_users) <= 1
+        assert abs(ours.unique_sessions - real.unique_sessions) <= 1
+        rest = [name for name in exact.columns if not name.startswith("unique")]
+        assert [ours[name] for name in rest] == [real[name] for name in rest]
+
+
 @pytest.mark.parametrize("width, slide", [(300, 30), (120, 60), (60, 60), (3600, 10), (90, 60)])
 def test_sliding(make_events, width, slide):
     """Panes with a bit calendar, and the direct way where a calendar does not fit."""

@@ -32,52 +32,49 @@ def _totals(*names: str) -> list[Column]:
     return [F.sum(name).alias(name) for name in names]
 
 
+TUMBLING_SUMS = (
+    "total_events", "purchase_count", "page_views", "clicks", "searches",
+    "revenue_cents", "order_cents", "orders",
+)
+
+
 def tumbling_metrics(
-    events: DataFrame, width: str = WindowConfig.short, delay: str | None = None
+    events: DataFrame,
+    width: str = WindowConfig.short,
+    delay: str | None = None,
+    distinct_error: float | None = None,
 ) -> DataFrame:
     """Traffic, users, sessions and revenue per window.
 
     Every event becomes two rows, one under its user and one under its session. The user
-    rows also carry the counts and amounts, so one shuffle yields both distinct counts and
-    all sums.
-    """
-    by_user = F.col("kind") == "user"
-    order_amount = F.when((F.col("event_type") == "purchase") & by_user, F.col("amount"))
-
-    def of_type(event_type: str) -> Column:
-        return F.count_if(by_user & (F.col("event_type") == event_type))
+    rows also carry the counts and amounts, so one shuffle yields both exact distinct counts
+    and all sums.
 
-    keyed = (
-        with_delay(events, delay)
-        .withColumn("kind", F.explode(F.array(F.lit("user"), F.lit("session"))))
-        .withColumn("member", F.when(by_user, F.col("user_id")).otherwise(F.col("session_id")))
-        .groupBy(F.window("event_ts", width).alias("window"), "kind", "member")
-        .agg(
-            F.count_if(by_user).alias("total_events"),
-            of_type("purchase").alias("purchase_count"),
-            of_type("page_view").alias("page_views"),
-            of_type("click").alias("clicks"),
-            of_type("search").alias("searches"),
-            F.sum(F.when(by_user, cents("amount"))).alias("revenue_cents"),
-            F.sum(cents(order_amount)).alias("order_cents"),
-            F.count(order_amount).alias("orders"),
+    ``distinct_error`` asks for estimated users and sessions with that relative deviation
+    instead; then only one small sketch per task and window is shuffled.
+    """
+    stream = with_delay(events, delay)
+    window = F.window("event_ts", width).alias("window")
+    if distinct_error is not None:
+        per_window = stream.groupBy(window).agg(
+            F.approx_count_distinct("user_id", distinct_error).alias("unique_users"),
+            F.approx_count_distinct("session_id", distinct_error).alias("unique_sessions"),
+            *_tumbling_sums(F.lit(True)),
+        )
+    else:
+        by_user, known = F.col("by_user"), F.col("member").isNotNull()
+        per_window = (
+            stream.withColumn("by_user", F.explode(F.array(F.lit(True), F.lit(False))))
+            .withColumn("member", F.when(by_user, F.col("user_id")).otherwise(F.col("session_id")))
+            .groupBy(window, "by_user", "member")
+            .agg(*_tumbling_sums(by_user))
+            .groupBy("window")
+            .agg(
+                F.count_if(by_user & known).alias("unique_users"),
+                F.count_if(~by_user & known).alias("unique_sessions"),
+                *_totals(*TUMBLING_SUMS),
+            )
         )
-    )
-    present = F.col("member").isNotNull()
-    per_window = keyed.groupBy("window").agg(
-        F.count_if(by_user & present).alias("unique_users"),
-        F.count_if(~by_user & present).alias("unique_sessions"),
-        *_totals(
-            "total_events",
-            "purchase_count",
-            "page_views",
-            "clicks",
-            "searches",
-            "revenue_cents",
-            "order_cents",
-            "orders",
-        ),
-    )
     return per_window.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
@@ -93,6 +90,25 @@ def tumbling_metrics(
     )
 
 
+def _tumbling_sums(counted: Column) -> list[Column]:
+    """The measures in ``TUMBLING_SUMS`` over the rows for which ``counted`` holds."""
+
+    def of_type(event_type: str) -> Column:
+        return F.count_if(counted & (F.col("event_type") == event_type))
+
+    order_amount = F.when(counted & (F.col("event_type") == "purchase"), F.col("amount"))
+    return [
+        F.count_if(counted).alias("total_events"),
+        of_type("purchase").alias("purchase_count"),
+        of_type("page_view").alias("page_views"),
+        of_type("click").alias("clicks"),
+        of_type("search").alias("searches"),
+        F.sum(F.when(counted, cents("amount"))).alias("revenue_cents"),
+        F.sum(cents(order_amount)).alias("order_cents"),
+        F.count(order_amount).alias("orders"),
+    ]
+
+
 def sliding_metrics(
     events: DataFrame,
     width: str = WindowConfig.long,

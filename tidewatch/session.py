@@ -52,10 +52,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fixed folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (a single machine, as in tests) a local temporary
+    Only where that setting is absent (a single machine, as in tests) a new local temporary
     folder stands in for it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
@@ -63,7 +63,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
     )
     if not shared:
         shared = tempfile.mkdtemp(prefix="tidewatch-")
-    return f"{shared.rstrip('/')}/tidewatch/{name}-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/tidewatch/{name}"
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder of this name below the shared one."""
+    return f"{shared_dir(spark, name)}-{uuid.uuid4().hex}"
 
 
 @contextmanager

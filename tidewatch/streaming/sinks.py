@@ -148,6 +148,21 @@ def start_append(
     return writer.start()
 
 
+def start_publish(
+    wire: DataFrame, fmt: str, options: dict[str, str], checkpoint: str, seconds: int | None = None
+) -> StreamingQuery:
+    """Publishes encoded events to a topic (``kafka``) or to files as they arrive."""
+    return (
+        wire.writeStream.format(fmt)
+        .outputMode("append")
+        .options(**options)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(seconds))
+        .queryName("publish")
+        .start()
+    )
+
+
 def start_batches(
     df: DataFrame,
     handle: Callable[[DataFrame, int], None],
