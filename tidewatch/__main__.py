@@ -1,4 +1,4 @@
-"""Runs the streaming job: ``spark-submit --packages <topic connector> -m tidewatch``."""
+"""Runs the streaming job: ``python -m tidewatch``, or ``spark-submit run.py`` on a cluster."""
 
 from __future__ import annotations
 

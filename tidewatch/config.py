@@ -61,6 +61,9 @@ class StreamConfig:
     base_path: str | None = None
     # Shuffle and state partitions; None keeps what the session says.
     shuffle_partitions: int | None = None
+    # How long the landing query recognises copies and waits for late events. Its own
+    # watermark: the metric queries keep the shorter one of their windows.
+    dedupe_delay: str = "10 minutes"
     # Parallel first-pass buckets of the stream dedupe; 1 switches the pre-pass off.
     dedupe_spread: int = 8
     summary_every: int = 10

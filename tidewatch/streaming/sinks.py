@@ -132,10 +132,15 @@ def start_append(
     partition_cols: tuple[str, ...] = (),
     fmt: str = "parquet",
     name: str | None = None,
+    files: int | None = None,
 ) -> StreamingQuery:
-    """Appends a stream to a table; without ``seconds`` it works off what is there and ends."""
+    """Appends a stream to a table; without ``seconds`` it works off what is there and ends.
+
+    ``files`` limits the files of a micro-batch for results that are small by nature; the
+    rows are moved for it, the tasks before keep their number.
+    """
     writer = (
-        df.writeStream.format(fmt)
+        (df.repartition(files) if files else df).writeStream.format(fmt)
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
