@@ -51,10 +51,11 @@ m AS (
 )"""
 
 
-SLIDING = """
+def _sliding(width: str, slide: str, panes: int) -> str:
+    return f"""
 m AS (
   SELECT window_start,
-         window_start + INTERVAL '5 minutes' AS window_end,
+         window_start + INTERVAL '{width}' AS window_end,
          count(*) AS event_count,
          count(DISTINCT user_id) AS active_users,
          CAST(coalesce(sum(cents), 0) AS BIGINT) / 100.0 AS revenue,
@@ -62,11 +63,14 @@ m AS (
          count(*) FILTER (event_type = 'click') AS count_click,
          count(*) FILTER (event_type = 'purchase') AS count_purchase,
          count(*) FILTER (event_type = 'search') AS count_search
-  FROM (SELECT *, time_bucket(INTERVAL '30 seconds', event_ts) - k * INTERVAL '30 seconds' AS window_start
-        FROM ev, (SELECT unnest(range(10)) AS k)) GROUP BY 1
+  FROM (SELECT *, time_bucket(INTERVAL '{slide}', event_ts) - k * INTERVAL '{slide}' AS window_start
+        FROM ev, (SELECT unnest(range({panes})) AS k)) GROUP BY 1
 )"""
 
 
+SLIDING = _sliding("5 minutes", "30 seconds", 10)
+
+
 def _pages(width: str) -> str:
     return f"""
 pages_per AS (
@@ -120,6 +124,10 @@ traffic AS (
   FROM m
 )"""
 
+CLOSED_SLIDING_TRAFFIC = SLIDING_TRAFFIC.replace(
+    "FROM m", "FROM m WHERE window_end <= (SELECT max(event_ts) - INTERVAL '10 seconds' FROM ev)"
+)
+
 
 def _spine(step: str) -> str:
     return f"""
@@ -320,6 +328,29 @@ def _card(place: int, kpi: str, metric: str, compared: bool) -> str:
     )
 
 
+def _job() -> str:
+    """Rows and a total per table of the job, each from the part of a WITH list it needs."""
+    sliding = _sliding("1 hour", "10 minutes", 6)
+    ended = f"window_start + INTERVAL '1 hour' <= {CLOSED}"
+    parts = {
+        "raw": (_with() + "SELECT", "count(*) FROM ev"),
+        "metrics_1min": (_with(_tumbling("1 hour")) + "SELECT", f"sum(total_events) FROM m WHERE {ended}"),
+        "metrics_5min": (_with(sliding) + "SELECT", f"sum(event_count) FROM m WHERE {ended}"),
+        "revenue": (_with(REVENUE) + "SELECT", f"sum(order_count) FROM rev WHERE {ended}"),
+        "devices": (_with(_devices()) + "SELECT", f"sum(unique_users) FROM devices WHERE {ended}"),
+        "top_pages": (_with(_pages("1 hour"), _ranked(3)) + "SELECT", f"sum(view_count) FROM ranked WHERE {ended}"),
+        "alerts": (
+            _with(sliding, CLOSED_SLIDING_TRAFFIC, _spine("10 minutes"), BASELINES, _alerts("1 hour")) + "SELECT",
+            "count(*) FILTER (severity = 'critical') FROM alerts",
+        ),
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS name, n AS rows, CAST(total AS BIGINT) AS total FROM ("
+        f"{head} count(*) AS n, {tail.replace(' FROM', ' AS total FROM', 1)})"
+        for name, (head, tail) in parts.items()
+    )
+
+
 def oracle() -> dict[str, str]:
     """One statement per registered query."""
     metrics = _with(_tumbling("1 hour"))
@@ -384,9 +415,10 @@ def oracle() -> dict[str, str]:
         "upsert_metrics": _with(*OLD_AND_NEW) + UPSERTED,
         "upsert_table": _with(*OLD_AND_NEW)
         + f"SELECT *, CAST(window_start AS DATE) AS event_date FROM ({UPSERTED})",
-        "append_table": _with(REVENUE)
+        "append_table": _with(REVENUE) + "SELECT *, CAST(window_start AS DATE) AS event_date FROM rev",
+        "table_span": _with(REVENUE)
         + """SELECT *, CAST(window_start AS DATE) AS event_date FROM rev
-             WHERE window_start >= TIMESTAMP '2024-01-08' AND window_start < TIMESTAMP '2024-01-15'""",
+             WHERE window_start >= TIMESTAMP '2024-01-08 06:00:00' AND window_start < TIMESTAMP '2024-01-15'""",
         "json_lines": metrics + "SELECT * FROM m",
         "alert_index": devices
         + ALERT_OUT
@@ -435,4 +467,5 @@ def oracle() -> dict[str, str]:
         )
         + ALERT_OUT
         + " FROM alerts",
+        "stream_job": _job(),
     }

@@ -6,11 +6,12 @@ All of them read the whole table. Window starts leave as zone-less timestamps in
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.config import StreamConfig
+from tidewatch.config import StreamConfig, WindowConfig
 from tidewatch.operators import anomalies, quality, serving, windows
 from tidewatch.operators.dedupe import deduplicate
 from tidewatch.operators.parse import parse_events, reject_counts, split_valid
@@ -22,7 +23,7 @@ from tidewatch.sources.tables import read_events, read_table, stored
 from tidewatch.sources.wire import encode_events, write_wire, read_wire
 from tidewatch.streaming import sinks
 from tidewatch.streaming.baseline import detect_stream
-from tidewatch.streaming.job import clean_events
+from tidewatch.streaming.job import clean_events, start_all
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -270,11 +271,22 @@ def upsert_table(spark, sf_dir):
 
 @query
 def append_table(spark, sf_dir):
-    """Hourly revenue appended to a date-partitioned table; one week is read back."""
+    """Hourly revenue appended to a date-partitioned table and read back."""
+    return read_table(spark, _revenue_table(spark, sf_dir))
+
+
+@query
+def table_span(spark, sf_dir):
+    """A time span of the stored hourly revenue; other dates are skipped unread."""
+    path = _revenue_table(spark, sf_dir)
+    return read_table(spark, path, since="2024-01-08 06:00:00", until="2024-01-15")
+
+
+def _revenue_table(spark, sf_dir) -> str:
     path = work_dir(spark, "revenue")
     table = windows.revenue(read_events(spark, sf_dir, kinds=("purchase",)), "1 hour")
     sinks.append(sinks.with_date(table), path, ("event_date",))
-    return read_table(spark, path, since="2024-01-08", until="2024-01-15")
+    return path
 
 
 @query
@@ -469,3 +481,31 @@ def stream_alerts(spark, sf_dir):
         return detect_stream(metrics, BUSY, keys=("device",), detected_at=F.col("window_end"))
 
     return _streamed(spark, sf_dir, build)
+
+
+@query
+def stream_job(spark, sf_dir):
+    """The whole job over the table, with hourly windows: rows and a total per table it wrote."""
+    config = StreamConfig(
+        base_path=work_dir(spark, "job-tables"),
+        checkpoint_dir=work_dir(spark, "job-checkpoints"),
+        shuffle_partitions=_state_count(spark),
+        windows=WindowConfig(short="1 hour", long="1 hour", slide="10 minutes", top_n=3),
+    )
+    job = start_all(spark, config, encode_events(read_events(spark, sf_dir, streaming=True)), once=True)
+    totals = {
+        "raw": F.count(F.lit(1)),
+        "metrics_1min": F.sum("total_events"),
+        "metrics_5min": F.sum("event_count"),
+        "revenue": F.sum("order_count"),
+        "devices": F.sum("unique_users"),
+        "top_pages": F.sum("view_count"),
+        "alerts": F.count_if(F.col("severity") == "critical"),
+    }
+    written = [
+        spark.read.parquet(job.path(name))
+        .agg(F.count(F.lit(1)).alias("rows"), total.alias("total"))
+        .select(F.lit(name).alias("name"), "rows", "total")
+        for name, total in totals.items()
+    ]
+    return reduce(DataFrame.unionByName, written)
