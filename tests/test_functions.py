@@ -1,0 +1,54 @@
+"""Exact rounding against fractions, on values chosen by hypothesis."""
+
+from fractions import Fraction
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidewatch.functions.measures import cents, floor_div, quotient_sql, ratio_sql, round_double_sql
+
+
+def half_away(value: Fraction, digits: int) -> Fraction:
+    scaled = abs(value) * 10**digits
+    whole = (2 * scaled.numerator + scaled.denominator) // (2 * scaled.denominator)
+    return Fraction(whole if value >= 0 else -whole, 10**digits)
+
+
+PAIRS = st.lists(st.tuples(st.integers(-(10**11), 10**11), st.integers(1, 10**6)), min_size=50, max_size=200)
+
+
+@settings(max_examples=5, deadline=None)
+@given(PAIRS)
+def test_quotients(spark, pairs):
+    rows = spark.createDataFrame(pairs, "n long, d long").selectExpr(
+        "n", "d", f"{quotient_sql('n', 'd')} AS whole", f"{ratio_sql('n', 'd', 2)} AS two"
+    )
+    for row in rows.collect():
+        assert row.whole == half_away(Fraction(row.n, row.d), 0)
+        assert row.two == float(half_away(Fraction(row.n, row.d), 2))
+
+
+def test_zero_denominator_is_null(spark):
+    row = spark.range(1).selectExpr(f"{quotient_sql('5L', '0L')} AS a", f"{ratio_sql('5L', '0L', 1)} AS b").first()
+    assert row.a is None and row.b is None
+
+
+@pytest.mark.parametrize("value, expected", [(0.125, 0.13), (-0.125, -0.13), (2.0, 2.0), (-7.004, -7.0), (0.0, 0.0)])
+def test_doubles(spark, value, expected):
+    assert spark.range(1).selectExpr(f"{round_double_sql(f'double({value})', 2)} AS x").first().x == expected
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(-(10**12), 10**12), min_size=50, max_size=200), st.integers(1, 10**4))
+def test_floor_division(spark, values, step):
+    rows = spark.createDataFrame([(v,) for v in values], "v long").select("v", floor_div(F.col("v"), step).alias("q"))
+    assert all(row.q == row.v // step for row in rows.collect())
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(0, 10**10), min_size=50, max_size=200))
+def test_cents_of_two_decimal_amounts(spark, values):
+    rows = spark.createDataFrame([(v, v / 100) for v in values], "v long, amount double").select("v", cents("amount").alias("c"))
+    assert all(row.c == row.v for row in rows.collect())

@@ -207,3 +207,18 @@ def test_publish_stream(spark, events):
 
 def test_wire_schema_names():
     assert WIRE_SCHEMA.fieldNames() == ["key", "value"]
+
+
+def test_processor_travels_with_its_code(tmp_path):
+    """Executors need no copy of the package to load the keyed-state processor."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    from tidewatch.streaming.baseline import RollingBaseline
+
+    stored_at = tmp_path / "processor"
+    stored_at.write_bytes(cloudpickle.dumps(RollingBaseline(20, 60)))
+    check = f"import pickle; print(pickle.load(open({str(stored_at)!r}, 'rb')).stride)"
+    done = subprocess.run([sys.executable, "-c", check], cwd="/", capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "60", done.stderr

@@ -64,6 +64,8 @@ class StreamConfig:
     # How long the landing query recognises copies and waits for late events. Its own
     # watermark: the metric queries keep the shorter one of their windows.
     dedupe_delay: str = "10 minutes"
+    # Files of the archive per micro-batch and date; None leaves one per task with rows.
+    archive_files: int | None = None
     # Parallel first-pass buckets of the stream dedupe; 1 switches the pre-pass off.
     dedupe_spread: int = 8
     summary_every: int = 10

@@ -136,8 +136,8 @@ def start_append(
 ) -> StreamingQuery:
     """Appends a stream to a table; without ``seconds`` it works off what is there and ends.
 
-    ``files`` limits the files of a micro-batch for results that are small by nature; the
-    rows are moved for it, the tasks before keep their number.
+    ``files`` limits the files of a micro-batch, for results that are small by nature or
+    triggers that are short. The rows are shuffled for it; the tasks before keep their number.
     """
     writer = (
         (df.repartition(files) if files else df).writeStream.format(fmt)
@@ -188,10 +188,10 @@ def start_batches(
 
 
 def start_archive(
-    events: DataFrame, path: str, checkpoint: str, seconds: int | None = None
+    events: DataFrame, path: str, checkpoint: str, seconds: int | None = None, files: int | None = None
 ) -> StreamingQuery:
     """Lands parsed events, one folder per date; events without a date have their own."""
-    return start_append(events, path, checkpoint, seconds, ("event_date",), name="raw")
+    return start_append(events, path, checkpoint, seconds, ("event_date",), name="raw", files=files)
 
 
 def start_top_pages(
