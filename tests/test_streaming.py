@@ -196,6 +196,18 @@ def test_stream_alerts_survive_restart(spark):
     assert kinds == {"spike", "drop", "revenue_drop", "zero_events"}
 
 
+@pytest.mark.parametrize("metric", [windows.tumbling_metrics, windows.sliding_metrics, windows.device_breakdown])
+def test_streams_combine_before_every_shuffle(spark, wire, metric):
+    query, _ = run(metric(wire_events(spark, wire)), spark)
+    lines = query._jsq.explainInternal(False).splitlines()
+    shuffles = [place for place, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 4
+    for place in shuffles[:2]:
+        assert "partial_" in lines[place + 1]
+    # Below them the two passes of the dedupe, the first over id and bucket.
+    assert "_bucket" in lines[shuffles[3]] and "_bucket" not in lines[shuffles[2]]
+
+
 def test_publish_stream(spark, events):
     source, out = work_dir(spark, "events"), work_dir(spark, "wire")
     events.write.parquet(source)

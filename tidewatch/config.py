@@ -66,8 +66,9 @@ class StreamConfig:
     dedupe_delay: str = "10 minutes"
     # Files of the archive per micro-batch and date; None leaves one per task with rows.
     archive_files: int | None = None
-    # Parallel first-pass buckets of the stream dedupe; 1 switches the pre-pass off.
-    dedupe_spread: int = 8
+    # First-pass buckets of the stream dedupe; 1 switches the pre-pass off. An event without
+    # copies costs the same whatever the number, and a hot one is split over this many.
+    dedupe_spread: int = 1024
     summary_every: int = 10
     windows: WindowConfig = field(default_factory=WindowConfig)
     detector: DetectorConfig = field(default_factory=DetectorConfig)

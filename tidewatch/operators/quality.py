@@ -18,7 +18,7 @@ def check_contract(
     """A long table ``rule, violations``, every rule present, zero when it holds.
 
     The row rules are one partial aggregate per task. Only the event ids are shuffled, for
-    the uniqueness rule.
+    the uniqueness rule, in a second read of the events.
     """
     buys = F.col("event_type") == "purchase"
     violations = {

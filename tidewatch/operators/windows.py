@@ -119,7 +119,8 @@ def sliding_metrics(
 
     A stream uses Spark's sliding window as it is: a late event must still count in those of
     its windows that are open. A table is first cut into panes one slide long, which avoids
-    copying each event into every window that covers it.
+    copying each event into every window that covers it. The table is read twice, two or three
+    columns each time, so it should be stored typed events rather than undecoded JSON.
     """
     panes = micros(width) // micros(slide)
     whole = micros(width) == panes * micros(slide)
