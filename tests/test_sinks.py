@@ -114,6 +114,17 @@ def test_metrics_index_appends(spark):
     assert spark.read.parquet(path).filter("indexed_at IS NOT NULL").count() == 4
 
 
+def test_a_cluster_must_name_a_shared_folder():
+    from types import SimpleNamespace
+
+    nothing = SimpleNamespace(get=lambda *_: None)
+    context = SimpleNamespace(getConf=lambda: nothing, master="yarn")
+    with pytest.raises(ValueError):
+        work_dir(SimpleNamespace(conf=nothing, sparkContext=context), "x")
+    context.master = "local[2]"
+    assert "/tidewatch/x-" in work_dir(SimpleNamespace(conf=nothing, sparkContext=context), "x")
+
+
 def test_work_folder_is_below_the_shared_one(spark):
     assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert stored(spark.range(3), "t").count() == 3

@@ -11,7 +11,6 @@ from tidewatch.session import work_dir
 from tidewatch.sources.wire import encode_events, read_wire
 from tidewatch.streaming import job as jobs
 from tidewatch.streaming.sinks import start_append, start_publish, start_top_pages
-from tests.conftest import DATA
 
 
 def rows_of(df):
@@ -111,7 +110,8 @@ def test_stream_dedupe(spark, events):
     shifted = events.withColumn("event_ts", F.col("event_ts") + F.expr("INTERVAL 1 SECOND")).withColumn(
         "timestamp", F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     )
-    path = write_files(spark, [events.unionByName(shifted).unionByName(events)])
+    hot = events.limit(1).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(2000)))).drop("copy")
+    path = write_files(spark, [events.unionByName(shifted).unionByName(events).unionByName(hot)])
     for spread in (1, 8):
         raw = read_wire(spark, "parquet", {}, path)
         stream = deduplicate(jobs.parse_events(raw), delay="10 seconds", spread=spread)

@@ -2,7 +2,7 @@
 
 import random
 from collections import defaultdict
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F

@@ -55,12 +55,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fixed folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (a single machine, as in tests) a new local temporary
-    folder stands in for it.
+    On a single machine (``local[n]``) a new temporary folder stands in for a missing setting.
+    Executors elsewhere could not see such a folder, so a cluster has to name one.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors can reach")
     if not shared:
         shared = tempfile.mkdtemp(prefix="tidewatch-")
     return f"{shared.rstrip('/')}/tidewatch/{name}"
