@@ -73,6 +73,47 @@ def test_upsert_recovers_from_a_lost_partition(spark, frame):
     )
 
 
+def test_empty_upsert_leaves_no_trace(spark, frame):
+    path, staging = work_dir(spark, "table"), work_dir(spark, "staging")
+    sinks.write_upsert(frame(("a", "2024-01-01", 1)).limit(0), path, ["k"], staging, ("day",))
+    assert not sinks.table_exists(spark, path) and not sinks.table_exists(spark, staging)
+
+
+def test_upsert_reads_only_touched_partitions(spark, frame):
+    path = work_dir(spark, "table")
+    frame(("a", "2024-01-01", 1), ("b", "2024-01-02", 2), ("c", "2024-01-03", 3), ("n", None, 4)).write.partitionBy(
+        "day"
+    ).parquet(path)
+    existing = spark.read.parquet(path).select("k", "day", "v")
+    touched = sinks.touched_partitions(existing, frame(("x", "2024-01-02", 9)), ("day",))
+    assert found(touched) == [("b", "2024-01-02", 2)]
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1]
+    assert ">= 2024-01-02" in filters and "<= 2024-01-02" in filters
+
+
+def test_upsert_keeps_the_undated_partition(spark, frame):
+    path = work_dir(spark, "table")
+    for place, rows in enumerate(([("a", None, 1), ("b", "2024-01-01", 2)], [("a", None, 7), ("c", None, 3)])):
+        sinks.write_upsert(frame(*rows), path, ["k"], work_dir(spark, f"s{place}"), ("day",))
+    stored_rows = {(r.k, r.v) for r in spark.read.parquet(path).collect()}
+    assert stored_rows == {("a", 7), ("b", 2), ("c", 3)}
+
+
+def test_repeated_micro_batch_replaces_its_rows(spark):
+    """What ranking writes for a batch id is written again, not added."""
+    path = work_dir(spark, "pages")
+    counts = spark.createDataFrame(
+        [("2024-01-01 00:00:00", f"/p{i}", i) for i in range(6)], "w string, page string, view_count long"
+    ).select(F.col("w").cast("timestamp").alias("window_start"), "page", "view_count")
+    source = work_dir(spark, "counts")
+    counts.coalesce(1).write.parquet(source)
+    for _ in range(2):  # a fresh checkpoint makes the same batch id come again
+        stream = spark.readStream.schema(counts.schema).parquet(source)
+        sinks.start_top_pages(stream, path, work_dir(spark, "checkpoint"), 3).awaitTermination()
+    assert sorted(r.page for r in spark.read.parquet(path).collect()) == ["/p3", "/p4", "/p5"]
+
+
 def test_append_and_pruned_read(spark):
     path = work_dir(spark, "table")
     rows = spark.range(0, 96).select(

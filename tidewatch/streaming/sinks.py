@@ -83,19 +83,38 @@ def write_upsert(
     if not table_exists(spark, f"{fresh_path}/_SUCCESS"):
         newest_per_key(df, keys, order).write.format(fmt).mode("overwrite").save(fresh_path)
     publish = fresh = spark.read.format(fmt).schema(df.schema).load(fresh_path)
+    files, target = _folder(spark, staging)
+    if fresh.isEmpty():
+        files.delete(target, True)
+        return
     if table_exists(spark, path):
         if not table_exists(spark, f"{merged_path}/_SUCCESS"):
             existing = spark.read.format(fmt).schema(df.schema).load(path).select(*df.columns)
-            touched = existing.join(
-                fresh.select(*partition_cols).distinct(), list(partition_cols), "left_semi"
-            ).select(*df.columns)
-            upsert(touched, fresh, keys, order).write.format(fmt).mode("overwrite").save(merged_path)
+            upsert(touched_partitions(existing, fresh, partition_cols), fresh, keys, order).write.format(fmt).mode("overwrite").save(merged_path)
         publish = spark.read.format(fmt).schema(df.schema).load(merged_path)
     _replace_partitions(publish, path, partition_cols, fmt)
-    files, target = _folder(spark, staging)
     files.delete(target, True)
 
 
+def touched_partitions(existing: DataFrame, fresh: DataFrame, partition_cols: tuple[str, ...]) -> DataFrame:
+    """Rows of ``existing`` in partitions for which ``fresh`` has rows.
+
+    The smallest and largest new values are looked up first, because only constants let the
+    reader skip folders; the join then settles which partitions in between are meant.
+    """
+    bounds = fresh.agg(
+        *(F.min(name).alias(f"low_{name}") for name in partition_cols),
+        *(F.max(name).alias(f"high_{name}") for name in partition_cols),
+    ).first()
+    for name in partition_cols:
+        within = F.col(name).between(F.lit(bounds[f"low_{name}"]), F.lit(bounds[f"high_{name}"]))
+        existing = existing.filter(within | F.col(name).isNull())
+    names = [f"_{name}" for name in partition_cols]
+    touched = fresh.select(*(F.col(name).alias(f"_{name}") for name in partition_cols)).distinct()
+    same = [F.col(name).eqNullSafe(F.col(other)) for name, other in zip(partition_cols, names)]
+    return existing.join(touched, same, "left_semi")
+
+
 def _replace_partitions(df: DataFrame, path: str, partition_cols: tuple[str, ...], fmt: str = "parquet") -> None:
     """Replaces exactly the partitions that ``df`` has rows for."""
     (
