@@ -6,13 +6,15 @@ import pytest
 import __spark_entry__ as contract
 from check import TABLES, table
 from tests.conftest import DATA
+from tidewatch.plans.oracle import oracle
+from tidewatch.plans.queries import REGISTRY
 
-STREAMS = [name for name in contract.queries() if name.startswith("stream_")]
+STREAMS = [name for name in REGISTRY if name.startswith("stream_")]
 SLOW = {"alerts_sliding", *STREAMS}
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(REGISTRY) == set(oracle())
 
 
 def test_entry(spark):
@@ -20,7 +22,7 @@ def test_entry(spark):
     assert df.columns[0] == "window_start" and df.count() > 0
 
 
-@pytest.mark.parametrize("name", [name for name in contract.queries() if name not in SLOW])
+@pytest.mark.parametrize("name", [name for name in REGISTRY if name not in SLOW])
 def test_query_agrees_with_sql(spark, name):
     df = contract.queries()[name](spark, DATA)
     db = duckdb.connect()
