@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import content_sort, packing, token_files
+from tidewatch.llm import content_sort, jaccard, packing, secrets, token_files, url_filter
 from tidewatch.llm.tokens import default_vocabulary
 from tidewatch.session import work_dir
 
@@ -43,6 +43,48 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The rules of the URL filter.
+URL_RULES = [
+    ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
+
+
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on every page's URL."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return url_filter.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    import public_tokenizers
+
+    found = secrets.find_secrets(
+        documents(spark, sf_dir), default_vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+    def joined(spans):
+        return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["begin"], x["end"])))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda x: x["kind"] != "random")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share three quarters of their five-word shingles."""
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 @query
 def op8_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts; the row with the largest doc_id stays."""
