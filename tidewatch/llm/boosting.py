@@ -33,20 +33,21 @@ class Boosted:
 def train(
     x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, rate: float = 0.2, penalty: float = 1.0
 ) -> Boosted:
-    """Fits logistic loss. Without rows the model says one half; with one class it says nearly that class."""
+    """Fits logistic loss, both classes weighing the same. Without rows the model says one half; with one class nearly that class."""
     if not len(y):
         return Boosted(depth, 0.0)
-    share = (y.sum() + 0.5) / (len(y) + 1)
-    model = Boosted(depth, float(np.log(share / (1 - share))))
     if y.min() == y.max():
-        return model
+        share = (y.sum() + 0.5) / (len(y) + 1)
+        return Boosted(depth, float(np.log(share / (1 - share))))
+    model = Boosted(depth, 0.0)
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
     cuts = [np.unique(np.quantile(column, np.linspace(0, 1, BINS + 1)[1:-1])) for column in x.T]
     binned = np.stack([np.searchsorted(cut, column) for cut, column in zip(cuts, x.T, strict=True)], axis=1)
     margin = np.full(len(y), model.base)
     inner = 2**depth - 1
     for _ in range(trees):
         p = 1 / (1 + np.exp(-margin))
-        gradient, hessian = p - y, p * (1 - p)
+        gradient, hessian = weight * (p - y), weight * p * (1 - p)
         feature, cut = np.zeros(inner, dtype=np.int64), np.full(inner, np.inf)
         node = np.zeros(len(y), dtype=np.int64)
         for level in range(depth):

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import content_sort, jaccard, packing, secrets, token_files, url_filter
+from tidewatch.llm import content_sort, jaccard, neighbours, packing, secrets, token_files, toxicity, url_filter
+from tidewatch.llm.samples import fold
 from tidewatch.llm.tokens import default_vocabulary
 from tidewatch.session import work_dir
 
@@ -97,3 +98,39 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+def judged(scored: DataFrame, folds: int, held_fold: int, from_score: float) -> DataFrame:
+    """Scores with the row's fold and the decision."""
+    held_out = (fold(F.col("doc_id"), folds) == held_fold).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= from_score).cast("int").alias("predicted"))
+
+
+#: Folds, the fold that labels aren't learnt from, and the score that decides.
+TOXIC_FOLDS, TOXIC_HELD, TOXIC_FROM = 3, 1, 0.7
+QUALITY_FOLDS, QUALITY_HELD, QUALITY_FROM = 5, 0, 0.3
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def toxicity_scorer(docs: DataFrame, marks: DataFrame):
+    return toxicity.train_toxicity(docs, marks, fold(F.col("doc_id"), TOXIC_FOLDS) != TOXIC_HELD)
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = documents(spark, sf_dir)
+    scored = toxicity.score_toxicity(docs, toxicity_scorer(docs, labels(spark, sf_dir)))
+    return judged(scored, TOXIC_FOLDS, TOXIC_HELD, TOXIC_FROM)
+
+
+@query
+def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    docs = documents(spark, sf_dir)
+    usable = fold(F.col("doc_id"), QUALITY_FOLDS) != QUALITY_HELD
+    voters = neighbours.train_quality(docs, labels(spark, sf_dir), usable)
+    return judged(neighbours.score_quality(docs, voters), QUALITY_FOLDS, QUALITY_HELD, QUALITY_FROM)

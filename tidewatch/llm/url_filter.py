@@ -21,7 +21,7 @@ TRAIN_ROWS = 8192
 SUFFIX_BINS = 4096
 #: Probability from which a URL is blocked.
 BLOCK_AT = 0.5
-#: Weight of the overall rate in a suffix's rate.
+#: Weight of one half in a suffix's rate, so a suffix without labels says nothing.
 PRIOR = 5.0
 
 
@@ -98,8 +98,7 @@ def suffix_statistics(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     counts, blocked = np.zeros(SUFFIX_BINS), np.zeros(SUFFIX_BINS)
     for row in bins:
         counts[row.bin], blocked[row.bin] = row.n, row.blocked
-    overall = (blocked.sum() + 0.5) / (counts.sum() + 1)
-    return (blocked + PRIOR * overall) / (counts + PRIOR), counts
+    return (blocked + PRIOR / 2) / (counts + PRIOR), counts
 
 
 def judge_urls(
