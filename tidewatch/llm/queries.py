@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import content_sort, jaccard, neighbours, packing, secrets, token_files, toxicity, url_filter
+from tidewatch.llm import (
+    content_sort,
+    jaccard,
+    language_model,
+    neighbours,
+    packing,
+    secrets,
+    tiling,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from tidewatch.llm.samples import fold
 from tidewatch.llm.tokens import default_vocabulary
 from tidewatch.session import work_dir
@@ -25,6 +36,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 @query
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each document lies in the token files, read back from them."""
@@ -35,15 +50,19 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces of documents in windows of 2048 ids."""
-    pieces = packing.pack_documents(documents(spark, sf_dir), default_vocabulary(), end_id=1)
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    pieces = packing.pack_documents(docs, default_vocabulary(), end_id=1)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
 
 
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows of 2048 ids."""
+    return packed_pieces(documents(spark, sf_dir))
+
+
 #: The rules of the URL filter.
 URL_RULES = [
     ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
@@ -86,6 +105,21 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir))
 
 
+@query
+def op6_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much more each document is like the good documents than like all, in nats a word."""
+    docs = documents(spark, sf_dir)
+    return language_model.score_difference(docs, language_model.train_difference(docs, labels(spark, sf_dir)))
+
+
+@query
+def op7_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each document holds an item of the benchmark."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    marked = tiling.mark_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return marked.select("row.doc_id", "coverage", "item_id", "n_items", "contaminated")
+
+
 @query
 def op8_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts; the row with the largest doc_id stays."""
@@ -111,10 +145,6 @@ TOXIC_FOLDS, TOXIC_HELD, TOXIC_FROM = 3, 1, 0.7
 QUALITY_FOLDS, QUALITY_HELD, QUALITY_FROM = 5, 0, 0.3
 
 
-def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/labels.parquet")
-
-
 def toxicity_scorer(docs: DataFrame, marks: DataFrame):
     return toxicity.train_toxicity(docs, marks, fold(F.col("doc_id"), TOXIC_FOLDS) != TOXIC_HELD)
 
@@ -122,8 +152,8 @@ def toxicity_scorer(docs: DataFrame, marks: DataFrame):
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
-    docs = documents(spark, sf_dir)
-    scored = toxicity.score_toxicity(docs, toxicity_scorer(docs, labels(spark, sf_dir)))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, toxicity_scorer(docs, labels(spark, sf_dir))).select("row.doc_id", "score")
     return judged(scored, TOXIC_FOLDS, TOXIC_HELD, TOXIC_FROM)
 
 

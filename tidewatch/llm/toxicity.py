@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from tidewatch.llm import gru
-from tidewatch.llm.common import id_and_text, slices
+from tidewatch.llm.common import append_columns
 from tidewatch.llm.samples import labelled_sample
 
 #: Documents of each class and characters in all that the network is trained on, at most.
 TRAIN_ROWS, TRAIN_CHARS = 1500, 16_000_000
-SCORE_SLICE = 2 << 20
-
-_ARROW = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+#: Texts that are scored together.
+TEXTS = 500
 
 
 def train_toxicity(
@@ -26,19 +26,20 @@ def train_toxicity(
 
 
 def score_toxicity(docs: DataFrame, scorer: gru.Scorer) -> DataFrame:
-    """``doc_id, score`` of every whole text: the probability that its strongest window gives it.
+    """``row, score`` of every document: its columns, and the probability that its strongest window gives.
 
-    One pass without a shuffle; every word lies in two windows. The network has a fixed size whatever the
+    One pass without a shuffle; every word but the outermost lies in two windows. The network has a fixed size whatever the
     input. Null and empty texts get the score of a window without words. Repeated rows and null
-    identifiers keep their rows; other columns are not read. An empty table gives no rows.
+    identifiers keep their rows; other columns are carried along. An empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast((scorer.network.p, scorer.scale))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(batches: Iterator[list[str]]) -> Iterator[list[pa.Array]]:
         network = gru.Network.__new__(gru.Network)
         network.p, scale = shared.value
         own = gru.Scorer(network, scale)
-        for ids, texts in slices(batches, SCORE_SLICE):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(own.scores(texts))], schema=_ARROW)
+        for texts in batches:
+            parts = [own.scores(texts[k : k + TEXTS]) for k in range(0, len(texts), TEXTS)]
+            yield [pa.array(np.concatenate(parts))]
 
-    return id_and_text(docs).mapInArrow(score, "doc_id long, score double")
+    return append_columns(docs, score, {"score": "double"})

@@ -47,3 +47,12 @@ def runs(ids: np.ndarray, length: int) -> np.ndarray:
     for k in range(length):
         total += ids[k : k + n] * FACTORS[k]
     return mix(total)
+
+
+TRIM = b".,!?;:|#$%&*()\"'"
+
+
+def tidy_ids(text: str, words: WordIds) -> np.ndarray:
+    """Ids of the words of a text in lower case, without punctuation around them; punctuation alone is no word."""
+    found = [own for word in text.lower().encode("utf-8", "surrogatepass").split() if (own := word.strip(TRIM))]
+    return np.fromiter(map(words.__getitem__, found), dtype=np.uint64, count=len(found))
