@@ -37,13 +37,8 @@ def _tokenise(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -
     docs = 0
     for doc_ids, texts in slices(batches):
         encoded = [raw + end for raw in tokenizer.encode(texts)]
-        seen = np.zeros(len(holders), dtype=bool)
-        for raw in encoded:
-            ids = np.frombuffer(raw, tokenizer.dtype)
-            seen[ids] = True
-            present = np.flatnonzero(seen)
-            seen[present] = False
-            holders[present] += 1
+        _, terms, _ = term_table([np.frombuffer(raw, tokenizer.dtype) for raw in encoded])
+        holders += np.bincount(terms, minlength=len(holders))
         docs += len(encoded)
         lengths = [len(raw) // tokenizer.dtype.itemsize for raw in encoded]
         yield pa.RecordBatch.from_arrays(
@@ -56,33 +51,38 @@ def _tokenise(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -
         )
 
 
+def term_table(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms of documents: document, term and number of occurrences, by document and term."""
+    lengths = [len(ids) for ids in docs]
+    keys = np.repeat(np.arange(len(docs), dtype=np.int64) << 32, lengths) | np.concatenate(docs)
+    keys.sort()
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    counts = np.diff(first, append=len(keys))
+    return keys[first] >> 32, keys[first] & 0xFFFFFFFF, counts
+
+
 class Shard:
-    """An inverted index with BM25 weights over some hundred documents."""
+    """An inverted index with BM25 weights over some hundred documents.
+
+    A term's list is a row with a place for each document of the shard. Terms of one document alone have no list: they find no other.
+    """
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        terms, weights, owners = [], [], []
-        for i, ids in enumerate(docs):
-            counts = np.bincount(ids, minlength=1)
-            own = np.flatnonzero(counts)
-            tf = counts[own]
-            scale = K1 * (1 - B + B * len(ids) / max(mean_length, 1.0))
-            terms.append(own)
-            weights.append((idf[own] * tf * (K1 + 1) / (tf + scale)).astype(np.float32))
-            owners.append(np.full(len(own), i, dtype=np.int32))
-        self.queries, self.n = terms, len(docs)
-        every = np.concatenate(terms)
-        order = np.argsort(every, kind="stable")
-        self.owners, self.weights = np.concatenate(owners)[order], np.concatenate(weights)[order]
-        sizes = np.bincount(every, minlength=len(idf))
-        self.begin = np.concatenate([[0], np.cumsum(sizes)])
+        owner, term, tf = term_table(docs)
+        shared = np.bincount(term, minlength=len(idf)) > 1
+        row = np.cumsum(shared) - 1
+        use = shared[term]
+        owner, term, tf = owner[use], term[use], tf[use]
+        length = np.array([len(ids) for ids in docs])[owner]
+        scale = K1 * (1 - B + B * length / max(mean_length, 1.0))
+        self.lists = np.zeros((int(shared.sum()), len(docs)), dtype=np.float32)
+        self.lists[row[term], owner] = idf[term] * tf * (K1 + 1) / (tf + scale)
+        self.queries = np.split(row[term], np.searchsorted(owner, np.arange(1, len(docs))))
+        self.n = len(docs)
 
     def scores(self, doc: int) -> np.ndarray:
         """BM25 scores of all documents of the shard for the terms of one of them."""
-        query = self.queries[doc]
-        begin, size = self.begin[query], self.begin[query + 1] - self.begin[query]
-        # Places of all postings of the query's terms, list after list.
-        at = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        return np.bincount(self.owners[at], weights=self.weights[at], minlength=self.n)
+        return self.lists[self.queries[doc]].sum(axis=0)
 
 
 def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int) -> Iterator[tuple[int, int, int, int, int]]:

@@ -13,6 +13,15 @@ MARK = "\x01"
 TAIL = ".,!?;:|#$%&*()"
 
 
+def _folded(text: str) -> str:
+    """The text in lower case if all its letters are Latin-1, where every library folds case alike."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 class WordTokenizer:
     """Encodes texts word by word and remembers the words.
 
@@ -60,7 +69,7 @@ class WordTokenizer:
         """Little-endian ids (``dtype``) of every text."""
         if not self.by_word:
             return [self._bytes(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        pieces = [text.replace("\n", " ").split(" ") for text in texts]
+        pieces = [_folded(text).replace("\n", " ").split(" ") for text in texts]
         new = set().union(*pieces).difference(self.known)
         if len(self.known) + len(new) > self.remember:
             self.known = {}
