@@ -1,0 +1,158 @@
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidewatch.llm import packing, token_files
+from tidewatch.llm.queries import REGISTRY
+from tidewatch.llm.tokens import WordTokenizer, default_vocabulary, word_tokenizer
+from tidewatch.session import work_dir
+from tests.conftest import DATA
+
+
+def plain_ids(text, end):
+    tokenizer = word_tokenizer(default_vocabulary()).tokenizer
+    return tokenizer.encode(text or "", add_special_tokens=False).ids + [end]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+@given(st.lists(st.text(max_size=60), max_size=5))
+@settings(max_examples=200, deadline=None)
+def test_word_by_word_equals_whole_texts(texts):
+    tokenizer = word_tokenizer(default_vocabulary())
+    assert tokenizer.by_word
+    want = [x.ids for x in tokenizer.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(raw, tokenizer.dtype).tolist() for raw in tokenizer.encode(texts)] == want
+
+
+def test_word_memory_starts_anew_and_marks_inside_words():
+    tokenizer = WordTokenizer(default_vocabulary(), remember=3)
+    texts = ["a\x01b c. d", "It's. <|endoftext|> DON'T, wait...", "é É. ß σ Σ.", "x.y, 3.5 …"]
+    for _ in range(2):
+        for text in texts:
+            assert np.frombuffer(tokenizer.encode([text])[0], tokenizer.dtype).tolist() == plain_ids(text, 0)[:-1]
+
+
+def test_other_vocabularies_get_whole_texts():
+    tokenizer = WordTokenizer(default_vocabulary("byte_bpe_50k.json"))
+    assert not tokenizer.by_word
+    text = "two  spaces and a\nline"
+    assert np.frombuffer(tokenizer.encode([text])[0], tokenizer.dtype).tolist() == tokenizer._ids(text)
+
+
+@given(st.lists(st.integers(0, 10**6), max_size=700))
+@settings(max_examples=60, deadline=None)
+def test_elias_fano_round_trip_and_select(values):
+    values = sorted(values)
+    code = token_files.EliasFano.encode(np.array(values, dtype=np.uint64))
+    assert code.decode().tolist() == values
+    for i in {0, len(values) // 2, len(values) - 1, 255, 256, 257} & set(range(len(values))):
+        assert code.select(i) == values[i]
+
+
+def test_elias_fano_is_near_its_bound():
+    n, u = 10_000, 5_000_000
+    values = np.sort(np.random.default_rng(1).integers(0, u, n))
+    code = token_files.EliasFano.encode(values)
+    bits = 8 * (len(code.low) + len(code.high) + len(code.samples)) / n
+    assert bits < np.log2(u / n) + 2.5
+
+
+def test_query_against_brute_force(spark):
+    rows = {r.doc_id: r for r in REGISTRY["op1_token_files"](spark, DATA).collect()}
+    start = 0
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    for doc_id, text in docs:
+        ids = plain_ids(text, 2)
+        assert (rows[doc_id].start, rows[doc_id].n_tokens, rows[doc_id].ids_crc32) == (start, len(ids), crc(ids))
+        start += len(ids)
+    assert len(rows) == len(docs)
+
+
+def test_edges_round_trip(spark, corpus, edges, monkeypatch):
+    monkeypatch.setattr(token_files, "SEGMENT_IDS", 50)
+    path = work_dir(spark, "edges")
+    token_files.write_token_files(corpus(edges), path, default_vocabulary())
+    rows = token_files.read_token_files(spark, path).collect()
+    assert sorted((r.doc_id is not None, r.doc_id or 0, crc(np.frombuffer(r.ids, "<u4"))) for r in rows) == sorted(
+        (i is not None, i or 0, crc(plain_ids(t, 2))) for i, t in edges
+    )
+    rows.sort(key=lambda r: r.start)
+    assert [r.start for r in rows] == np.cumsum([0, *(r.n_tokens for r in rows[:-1])]).tolist()
+    assert [r.doc_id for r in rows] == sorted((i for i, _ in edges), key=lambda i: (i is not None, i or 0))
+    segment = spark.read.parquet(path).filter("n_docs > 1").first().asDict()
+    ends = token_files._ends(segment).decode()
+    assert len(token_files.document_ids(segment, 1)) == ends[1] - ends[0]
+
+
+def test_empty_table(spark, corpus):
+    path = work_dir(spark, "none")
+    token_files.write_token_files(corpus([]), path, default_vocabulary())
+    assert token_files.read_token_files(spark, path).count() == 0
+    assert packing.pack_documents(corpus([]), default_vocabulary()).count() == 0
+
+
+def check_packing(pieces, docs, window):
+    """Every id in one piece, no gap in a sequence, few ids of padding."""
+    by_doc, by_sequence = {}, {}
+    for p in pieces:
+        by_doc.setdefault((p.doc_id, p.doc_tokens), []).append(p)
+        by_sequence.setdefault(p.sequence_id, []).append(p)
+    for own in by_sequence.values():
+        own.sort(key=lambda p: p.offset)
+        assert [p.offset for p in own] == np.cumsum([0, *(p.length for p in own[:-1])]).tolist()
+        assert sum(p.length for p in own) <= window
+    want = sorted(crc_id for i, t in docs for crc_id in [(str(i), len(plain_ids(t, 1)))])
+    assert sorted({(str(i), n) for i, n in by_doc}) == sorted(set(want))
+    assert sum(p.length for p in pieces) == sum(n for _, n in want)
+    return len(by_sequence)
+
+
+def test_packing_query_against_brute_force(spark):
+    pieces = REGISTRY["op2_packing"](spark, DATA).collect()
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()
+    ids = {i: plain_ids(t, 1) for i, t in docs}
+    for p in pieces:
+        assert p.ids_crc32 == crc(ids[p.doc_id][p.start : p.start + p.length])
+    spans = sorted((p.doc_id, p.start, p.length) for p in pieces)
+    for (i, start, length), after in zip(spans, [*spans[1:], (None, 0, 0)], strict=True):
+        assert start + length == (after[1] if after[0] == i else len(ids[i]))
+    sequences = check_packing(pieces, docs, 2048)
+    assert sequences * 2048 < 1.05 * sum(map(len, ids.values())) + 2048 * 8
+
+
+def test_packing_edges(spark, corpus, edges):
+    pieces = packing.pack_documents(corpus(edges), default_vocabulary(), window=32).collect()
+    check_packing(pieces, edges, 32)
+
+
+def test_neighbours_fill_the_window():
+    rng = np.random.default_rng(3)
+    topics = [rng.integers(100 * k, 100 * k + 60, (6, 20)) for k in (1, 2, 3)]
+    docs = [topics[i % 3][i // 3] for i in range(18)]
+    idf = np.ones(1000)
+    filled = {}
+    for i, _, _, sequence, _ in packing.pack_shard(docs, idf, 20.0, 120):
+        filled.setdefault(sequence, set()).add(i % 3)
+    assert all(len(kinds) == 1 for kinds in filled.values())
+
+
+def test_bm25_scores_against_the_formula():
+    docs = [np.array(x) for x in ([1, 2, 2, 3], [2, 3, 4], [5, 5, 6], [1, 1, 1])]
+    idf = np.arange(10) / 10
+    shard = packing.Shard(docs, idf, 3.0)
+    for q in range(4):
+        for d in range(4):
+            if d == q:
+                continue
+            want = sum(
+                idf[t] * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(docs[d]) / 3.0))
+                for t in set(docs[q].tolist())
+                if (tf := int((docs[d] == t).sum()))
+            )
+            assert shard.scores(q)[d] == pytest.approx(want, rel=1e-5)
