@@ -88,7 +88,7 @@ class Voters:
 
     def scores(self, counts: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
         """Similarity-weighted share of label 1 among the nearest voters: exact cosines to all of them, both classes weighing the same in numbers."""
-        share = (self.labels.sum() + 0.5) / (len(self.labels) + 1)
+        share = (float(self.labels.sum()) + 0.5) / (len(self.labels) + 1)
         if not len(self.labels):
             return np.full(len(counts), share)
         cosine = self.latent(weighted(counts, self.idf)) @ self.vectors.T

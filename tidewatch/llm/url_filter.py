@@ -123,10 +123,8 @@ def judge_urls(
     )
     rates, counts = suffix_statistics(labelled)
     sample = labelled.withColumn("_order", F.xxhash64("url")).orderBy("_order", "url").limit(train_rows).collect()
-    model: Boosted = train(
-        np.array([features(row.url, row.host, row.path, rates, counts) for row in sample], dtype=float).reshape(len(sample), -1),
-        np.array([row.blocked for row in sample], dtype=float),
-    )
+    x = [features(row.url, row.host, row.path, rates, counts) for row in sample]
+    model: Boosted = train(np.array(x, dtype=float), np.array([row.blocked for row in sample], dtype=float))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
