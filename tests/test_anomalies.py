@@ -192,3 +192,19 @@ def test_no_window_spans_a_whole_series(make_metrics):
     for line in plan.splitlines():
         if "Window [" in line and "RangeFrame" in line:
             assert "block#" in line
+
+
+def test_series_names_never_collide(spark):
+    keys = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("(none)", "c"), ("\\0", "c"), ("a\\", "p"), ("a\\p", ""), ("a|", ""), ("", "a")]
+    names = [r.series for r in series.with_series(spark.createDataFrame(keys, "x string, y string"), "x", "y").collect()]
+    assert len(set(names)) == len(keys)
+
+
+def test_baseline_longer_than_a_block(spark):
+    rows = [(i * 60, 10 + i % 7, 1.0, 1) for i in range(40)]
+    metrics = spark.createDataFrame(rows, "s long, event_count long, revenue double, active_users long").selectExpr(
+        "timestamp_seconds(s) AS window_start", "event_count", "revenue", "active_users"
+    )
+    filled = series.fill_gaps(series.with_series(metrics), "1 minute")
+    found = series.with_baselines(filled, 25, block=4).orderBy("window_no").collect()
+    assert [r.count_n for r in found] == [min(i, 25) for i in range(40)]

@@ -121,7 +121,9 @@ def test_source_options_and_environment(monkeypatch):
     assert (config.brokers, config.micro_batch_seconds, config.topic) == ("b:1", 7, "t")
     options = kafka_options(config)
     assert options["subscribe"] == "t" and options["startingOffsets"] == "latest"
-    assert options["failOnDataLoss"] == "false" and options["maxOffsetsPerTrigger"] == "10000"
+    assert options["failOnDataLoss"] == "true" and options["maxOffsetsPerTrigger"] == "10000"
+    skipping = kafka_options(StreamConfig(fail_on_data_loss=False, max_offsets_per_trigger=None))
+    assert skipping["failOnDataLoss"] == "false" and "maxOffsetsPerTrigger" not in skipping
 
 
 @pytest.mark.parametrize("text, expected", [("30 seconds", 30_000_000), ("1 minute", 60_000_000), ("2 hours", 7_200_000_000)])

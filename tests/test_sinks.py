@@ -3,6 +3,8 @@
 import json
 import os
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,18 +102,20 @@ def test_upsert_keeps_the_undated_partition(spark, frame):
     assert stored_rows == {("a", 7), ("b", 2), ("c", 3)}
 
 
-def test_repeated_micro_batch_replaces_its_rows(spark):
-    """What ranking writes for a batch id is written again, not added."""
-    path = work_dir(spark, "pages")
-    counts = spark.createDataFrame(
-        [("2024-01-01 00:00:00", f"/p{i}", i) for i in range(6)], "w string, page string, view_count long"
-    ).select(F.col("w").cast("timestamp").alias("window_start"), "page", "view_count")
-    source = work_dir(spark, "counts")
-    counts.coalesce(1).write.parquet(source)
-    for _ in range(2):  # a fresh checkpoint makes the same batch id come again
-        stream = spark.readStream.schema(counts.schema).parquet(source)
-        sinks.start_top_pages(stream, path, work_dir(spark, "checkpoint"), 3).awaitTermination()
-    assert sorted(r.page for r in spark.read.parquet(path).collect()) == ["/p3", "/p4", "/p5"]
+def test_micro_batches_share_one_folder_a_date_and_compact(spark):
+    """Many small batches leave one folder for each date; the compacted copy has the same rows in fewer files."""
+    path, out = work_dir(spark, "table"), work_dir(spark, "compact")
+    rows = spark.range(0, 48).select(
+        F.timestamp_micros(F.lit(1704067200000000) + F.col("id") * 3600000000).alias("window_start"), F.col("id").alias("n")
+    )
+    for place in range(12):
+        sinks.append(sinks.with_date(rows.filter(F.col("n") % 12 == place)), path, ("event_date",))
+    assert {p.name for p in Path(path).iterdir() if p.is_dir()} == {"event_date=2024-01-01", "event_date=2024-01-02"}
+    for _ in range(2):  # compacting again replaces, not adds
+        sinks.compact_dates(spark, path, out, until="2024-01-02")
+    closed = spark.read.parquet(path).filter("event_date < '2024-01-02'")
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(map(tuple, closed.select("window_start", "n", "event_date").collect()))
+    assert len(list(Path(out).rglob("*.parquet"))) < len(list(Path(path).rglob("event_date=2024-01-01/*.parquet")))
 
 
 def test_append_and_pruned_read(spark):

@@ -54,15 +54,28 @@ class StreamConfig:
     brokers: str = "localhost:9092"
     topic: str = "user-events"
     starting_offsets: str = "latest"
-    max_offsets_per_trigger: int = 10_000
+    # Offsets of a micro-batch; None takes all there are.
+    max_offsets_per_trigger: int | None = 10_000
+    # Stop when the topic no longer has offsets that were not read yet, instead of skipping them.
+    fail_on_data_loss: bool = True
+    # Files of the landed tables that a micro-batch of the streams behind them takes; None takes all there are.
+    # One landing batch writes a file for each date, so a limit below that hands on its rows out of time
+    # order: set it only with watermarks that cover the span of a landing batch.
+    max_files_per_trigger: int | None = None
+    # Format of the tables, for readers and writers that Spark knows by name.
+    table_format: str = "parquet"
+    # How far an event's time may lie ahead of the clock that landed it. Events beyond that stay in the
+    # landed table and go to the table ``misdated`` instead of the streams with watermarks.
+    clock_skew: str = "1 hour"
     source_options: dict[str, str] = field(default_factory=dict)
     micro_batch_seconds: int = 5
     checkpoint_dir: str | None = None
     base_path: str | None = None
     # Shuffle and state partitions; None keeps what the session says.
     shuffle_partitions: int | None = None
-    # How long the landing query recognises copies and waits for late events. Its own
-    # watermark: the metric queries keep the shorter one of their windows.
+    # How long the cleaning query recognises copies and waits for late events. Its own
+    # watermark: the metric queries keep the shorter one of their windows. What comes later is in the
+    # landed table all the same.
     dedupe_delay: str = "10 minutes"
     # Files of the archive per micro-batch and date; None leaves one per task with rows.
     archive_files: int | None = None
@@ -82,10 +95,16 @@ class StreamConfig:
             "checkpoint_dir": os.environ.get("CHECKPOINT_DIR"),
             "base_path": os.environ.get("DELTA_PATH"),
             "micro_batch_seconds": os.environ.get("BATCH_SECS"),
+            "max_offsets_per_trigger": os.environ.get("MAX_OFFSETS"),
+            "fail_on_data_loss": os.environ.get("FAIL_ON_DATA_LOSS"),
+            "table_format": os.environ.get("TABLE_FORMAT"),
         }
         values = {name: value for name, value in found.items() if value}
-        if "micro_batch_seconds" in values:
-            values["micro_batch_seconds"] = int(values["micro_batch_seconds"])
+        for name in {"micro_batch_seconds", "max_offsets_per_trigger"} & values.keys():
+            # 0 offsets means no limit.
+            values[name] = int(values[name]) or None
+        if "fail_on_data_loss" in values:
+            values["fail_on_data_loss"] = values["fail_on_data_loss"].lower() != "false"
         return StreamConfig(**{**values, **overrides})
 
 

@@ -1,7 +1,7 @@
 """Conditional counts and exact money arithmetic.
 
-Money is summed in whole cents and averages are rounded with integer arithmetic, so a result
-does not depend on how Spark happened to split or merge the rows.
+Amounts are summed in ten-thousandths, as decimals, and rounded once at the end, so a result does
+not depend on how Spark happened to split or merge the rows, and many small amounts add up.
 """
 
 from __future__ import annotations
@@ -20,10 +20,38 @@ def count_name(event_type: str) -> str:
     return "count_" + event_type.replace("_", "")
 
 
+# Amounts beyond this, infinite ones and NaN are no amounts.
+MOST = 1e12
+# Parts of one unit that amounts are summed in.
+PARTS = 10_000
+
+
+def finite(amount: Column | str) -> Column:
+    """The amount, or null where it is not a number that can be summed."""
+    amount = F.col(amount) if isinstance(amount, str) else amount
+    # NaN is larger than any number in Spark's order.
+    return F.when((amount <= MOST) & (amount >= -MOST), amount)
+
+
 def cents(amount: Column | str) -> Column:
     """An amount in whole cents."""
-    amount = F.col(amount) if isinstance(amount, str) else amount
-    return F.round(amount * 100).cast("long")
+    return F.round(finite(amount) * 100).cast("long")
+
+
+def parts(amount: Column | str) -> Column:
+    """An amount in ten-thousandths."""
+    return F.round(finite(amount) * PARTS).cast("long")
+
+
+def sum_of_parts(amount: Column | str) -> Column:
+    """Sum in ten-thousandths; a decimal, so no number of rows overflows it."""
+    return F.sum(parts(amount).cast("decimal(20,0)"))
+
+
+def whole_cents(total: Column | str) -> Column:
+    """A sum of parts in whole cents, rounded half away from zero; null if too large for a long."""
+    total = F.col(total) if isinstance(total, str) else total
+    return F.round(total / F.lit(PARTS // 100).cast("decimal(3,0)"), 0).try_cast("long")
 
 
 def money(amount_in_cents: Column | str) -> Column:
@@ -32,9 +60,9 @@ def money(amount_in_cents: Column | str) -> Column:
     return value / F.lit(100.0)
 
 
-def revenue_cents() -> Column:
-    """Sum of the amounts of all rows; rows without amount add nothing."""
-    return F.coalesce(F.sum(cents("amount")), F.lit(0).cast("long"))
+def revenue_parts() -> Column:
+    """Sum of the amounts of all rows in parts; rows without amount add nothing."""
+    return F.coalesce(sum_of_parts("amount"), F.lit(0).cast("decimal(20,0)"))
 
 
 def floor_div(value: Column, step: int) -> Column:
@@ -64,6 +92,6 @@ def round_double_sql(value: str, digits: int) -> str:
     return f"(signum({value}) * floor(abs({value}) * {scale} + 0.5D) / {scale})"
 
 
-def mean_money(total_cents: str, count: str) -> Column:
-    """Mean amount with two decimals; null when there is nothing to average."""
-    return money(F.expr(quotient_sql(total_cents, count)))
+def mean_money(total_parts: str, count: str) -> Column:
+    """Mean amount with two decimals from a sum of parts; null when there is nothing to average."""
+    return money(F.expr(quotient_sql(total_parts, f"({count} * {PARTS // 100}L)")))

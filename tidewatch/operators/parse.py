@@ -37,6 +37,34 @@ def split_valid(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return decoded.filter(_usable()), decoded.filter(~_usable())
 
 
+def rejected_wire(raw: DataFrame) -> DataFrame:
+    """Wire rows that give no usable event, with their text and when they were landed, so none is lost."""
+    decoded = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA)
+    rows = raw.select(F.col("value").cast("string").alias("value"), F.inline(F.array(decoded)))
+    return rows.filter(~_usable()).select(
+        "value", "event_id", "user_id", F.current_timestamp().alias("landed_at")
+    ).withColumn("event_date", F.to_date("landed_at"))
+
+
+def landing(raw: DataFrame) -> DataFrame:
+    """Usable events as they are landed: no state, no watermark, nothing dropped."""
+    return parse_events(raw).withColumn("landed_at", F.current_timestamp())
+
+
+def misdated(landed: DataFrame, skew: str) -> DataFrame:
+    """Landed events whose time lies further ahead of the landing clock than ``skew``."""
+    return landed.filter(_ahead(skew))
+
+
+def well_dated(landed: DataFrame, skew: str) -> DataFrame:
+    """Landed events with a time that is not ahead of the landing clock; those without a time count in no window."""
+    return landed.filter(F.col("event_ts").isNotNull() & ~_ahead(skew))
+
+
+def _ahead(skew: str):
+    return F.col("event_ts") > F.col("landed_at") + F.expr(f"INTERVAL {skew}")
+
+
 def reject_counts(raw: DataFrame) -> DataFrame:
     """One row: how many wire rows were usable, rejected, and usable without a time."""
     return decode_events(raw).agg(

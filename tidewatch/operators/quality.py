@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import DEVICES, EVENT_TYPES
+from tidewatch.functions.measures import finite
+from tidewatch.schema import EVENT_FIELDS
 
-REQUIRED = ("event_id", "user_id", "event_type", "timestamp", "page", "session_id", "device")
+REQUIRED = tuple(name for name in EVENT_FIELDS if name != "amount")
 
 
 def check_contract(
@@ -17,33 +19,32 @@ def check_contract(
 ) -> DataFrame:
     """A long table ``rule, violations``, every rule present, zero when it holds.
 
-    The row rules are one partial aggregate per task. Only the event ids are shuffled, for
-    the uniqueness rule, in a second read of the events.
+    The events are read once. Rules are counted per event id first, combined before the shuffle, so that
+    the same pass tells how often an id occurs; then the counts are added up.
     """
     buys = F.col("event_type") == "purchase"
-    violations = {
-        f"{name}_present": F.count_if(F.col(name).isNull()) for name in REQUIRED
-    } | {
-        "event_type_known": F.count_if(~F.col("event_type").isin(*types)),
-        "device_known": F.count_if(~F.col("device").isin(*devices)),
-        "purchase_has_amount": F.count_if(buys & (F.col("amount").isNull() | (F.col("amount") <= 0))),
-        "other_has_no_amount": F.count_if(~buys & F.col("amount").isNotNull()),
-        "timestamp_is_iso": F.count_if(
-            ~(F.col("timestamp").contains("T") & F.col("timestamp").rlike(r"Z$|\+"))
-        ),
-        "timestamp_readable": F.count_if(F.col("timestamp").isNotNull() & F.col("event_ts").isNull()),
-        # One violation for the whole table when views do not clearly outnumber purchases.
-        "views_outnumber_purchases": (
-            F.count_if(F.col("event_type") == "page_view") <= 3 * F.count_if(buys)
-        ).cast("long"),
+    rules = {
+        **{f"{name}_present": F.col(name).isNull() for name in REQUIRED},
+        "event_type_known": ~F.col("event_type").isin(*types),
+        "device_known": ~F.col("device").isin(*devices),
+        "amount_is_finite": F.col("amount").isNotNull() & finite("amount").isNull(),
+        "purchase_has_amount": buys & (F.col("amount").isNull() | (F.col("amount") <= 0)),
+        "other_has_no_amount": ~buys & F.col("amount").isNotNull(),
+        "timestamp_is_iso": ~(F.col("timestamp").contains("T") & F.col("timestamp").rlike(r"Z$|\+")),
+        "timestamp_readable": F.col("timestamp").isNotNull() & F.col("event_ts").isNull(),
     }
-    rules = events.agg(*(check.alias(rule) for rule, check in violations.items()))
-    rows = F.array(*(F.struct(F.lit(rule).alias("rule"), F.col(rule).alias("violations")) for rule in violations))
-    repeats = (
-        events.filter(F.col("event_id").isNotNull())
-        .groupBy("event_id")
-        .count()
-        .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("violations"))
-        .select(F.lit("event_id_unique").alias("rule"), "violations")
+    shares = {"_views": F.col("event_type") == "page_view", "_buys": buys}
+    per_id = events.groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("_copies"), *(F.count_if(test).alias(name) for name, test in {**rules, **shares}.items())
     )
-    return rules.select(F.inline(rows)).unionByName(repeats)
+    zero = F.lit(0).cast("long")
+    totals = per_id.agg(
+        *(F.coalesce(F.sum(name), zero).alias(name) for name in (*rules, *shares)),
+        F.coalesce(F.sum(F.when(F.col("event_id").isNotNull(), F.col("_copies") - 1)), zero).alias("event_id_unique"),
+    )
+    # One violation for the whole table when views do not clearly outnumber purchases.
+    crowded = (F.col("_views") <= 3 * F.col("_buys")).cast("long")
+    totals = totals.withColumn("views_outnumber_purchases", crowded)
+    names = (*rules, "views_outnumber_purchases", "event_id_unique")
+    rows = F.array(*(F.struct(F.lit(rule).alias("rule"), F.col(rule).alias("violations")) for rule in names))
+    return totals.select(F.inline(rows))

@@ -21,8 +21,15 @@ BLOCK = 1024
 
 
 def with_series(metrics: DataFrame, *keys: str) -> DataFrame:
-    """Adds the ``series`` name: the given key columns, or one series for everything."""
-    parts = [F.coalesce(F.col(key).cast("string"), F.lit("(none)")) for key in keys]
+    """Adds the ``series`` name: the given key columns, or one series for everything.
+
+    Different keys never share a name: ``|`` separates keys, inside a key it becomes ``\\p``, a backslash two, and a
+    null is ``\\0``.
+    """
+    parts = [
+        F.coalesce(F.replace(F.replace(F.col(key).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\p")), F.lit("\\0"))
+        for key in keys
+    ]
     return metrics.withColumn("series", F.concat_ws("|", *parts) if parts else F.lit(ALL))
 
 
@@ -126,6 +133,7 @@ def with_baselines(
 
     ``filled`` is read twice, so it should come from a stored table (``tables.stored``).
     """
+    block = max(block, size)
     rows = filled.withColumns({"revenue_cents": cents("revenue"), "ordinal": F.col("window_no") - 1})
     out = _add_baseline(rows, "count", "event_count", False, "ordinal", size, block)
     if not names:

@@ -14,18 +14,21 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import SLIDING_COUNT_TYPES, WindowConfig, micros
 from tidewatch.functions.measures import (
-    cents,
     count_name,
     count_of,
+    finite,
     floor_div,
     mean_money,
     money,
-    revenue_cents,
+    parts,
+    revenue_parts,
+    sum_of_parts,
+    whole_cents,
 )
 from tidewatch.operators.dedupe import with_delay
 
-# Bits of a long used as a calendar of consecutive panes; the sign bit stays free.
-_MASK_BITS = 63
+# Windows of a table are summed up in blocks of this many starts.
+_SLOTS = 1024
 
 
 def _totals(*names: str) -> list[Column]:
@@ -34,7 +37,7 @@ def _totals(*names: str) -> list[Column]:
 
 TUMBLING_SUMS = (
     "total_events", "purchase_count", "page_views", "clicks", "searches",
-    "revenue_cents", "order_cents", "orders",
+    "revenue_parts", "order_parts", "orders",
 )
 
 
@@ -82,8 +85,8 @@ def tumbling_metrics(
         "unique_users",
         "unique_sessions",
         "purchase_count",
-        money(F.coalesce("revenue_cents", F.lit(0).cast("long"))).alias("total_revenue"),
-        mean_money("order_cents", "orders").alias("avg_order_value"),
+        money(F.coalesce(whole_cents("revenue_parts"), F.lit(0).cast("long"))).alias("total_revenue"),
+        mean_money("order_parts", "orders").alias("avg_order_value"),
         "page_views",
         "clicks",
         "searches",
@@ -103,9 +106,9 @@ def _tumbling_sums(counted: Column) -> list[Column]:
         of_type("page_view").alias("page_views"),
         of_type("click").alias("clicks"),
         of_type("search").alias("searches"),
-        F.sum(F.when(counted, cents("amount"))).alias("revenue_cents"),
-        F.sum(cents(order_amount)).alias("order_cents"),
-        F.count(order_amount).alias("orders"),
+        sum_of_parts(F.when(counted, F.col("amount"))).alias("revenue_parts"),
+        sum_of_parts(order_amount).alias("order_parts"),
+        F.count(finite(order_amount)).alias("orders"),
     ]
 
 
@@ -118,14 +121,13 @@ def sliding_metrics(
     """Traffic, active users and revenue per sliding window.
 
     A stream uses Spark's sliding window as it is: a late event must still count in those of
-    its windows that are open. A table is first cut into panes one slide long, which avoids
-    copying each event into every window that covers it. The table is read twice, two or three
+    its windows that are open. A table whose width is a multiple of the slide is cut into panes one slide long and
+    no event is copied into the windows that cover it, however many those are. The table is read twice, two or three
     columns each time, so it should be stored typed events rather than undecoded JSON.
     """
     panes = micros(width) // micros(slide)
-    whole = micros(width) == panes * micros(slide)
-    if not events.isStreaming and whole and 1 < panes <= _MASK_BITS // 2:
-        metrics = _sliding_by_panes(events, slide, panes)
+    if not events.isStreaming and micros(width) == panes * micros(slide):
+        metrics = _sliding_by_changes(events, slide, panes)
     else:
         metrics = _sliding_direct(with_delay(events, delay), width, slide)
     return metrics.select(
@@ -133,7 +135,7 @@ def sliding_metrics(
         "window_end",
         "event_count",
         "active_users",
-        money("revenue_cents").alias("revenue"),
+        money(whole_cents("revenue_parts")).alias("revenue"),
         *(count_name(kind) for kind in SLIDING_COUNT_TYPES),
     )
 
@@ -141,13 +143,13 @@ def sliding_metrics(
 def _sliding_sums() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("event_count"),
-        revenue_cents().alias("revenue_cents"),
+        revenue_parts().alias("revenue_parts"),
         *(count_of(kind).alias(count_name(kind)) for kind in SLIDING_COUNT_TYPES),
     ]
 
 
 def _sliding_totals() -> list[Column]:
-    return _totals("event_count", "revenue_cents", *map(count_name, SLIDING_COUNT_TYPES))
+    return _totals("event_count", "revenue_parts", *map(count_name, SLIDING_COUNT_TYPES))
 
 
 def _sliding_direct(events: DataFrame, width: str, slide: str) -> DataFrame:
@@ -163,57 +165,70 @@ def _sliding_direct(events: DataFrame, width: str, slide: str) -> DataFrame:
     )
 
 
-def _sliding_by_panes(events: DataFrame, slide: str, panes: int) -> DataFrame:
-    """Sums and distinct users of all windows of ``panes`` consecutive panes.
+def _sliding_by_changes(events: DataFrame, slide: str, panes: int) -> DataFrame:
+    """Sums and distinct users of all windows of ``panes`` consecutive panes, from what changes between windows.
 
-    Sums: one row per pane, then each pane is added to the windows that cover it.
-
-    Users: a user's active panes within a stretch of time are bits of one long, combined with
-    ``bit_or`` before the shuffle. A window holds the user if any of its bits is set, so one
-    row per user and stretch crosses the network instead of one per user and window. The
-    last windows of a stretch reach into the next one, whose first panes are therefore
-    entered in both.
+    A pane enters the window that ends with it and leaves the one that starts after it: two rows for each pane, plus and
+    minus its sums. A user counts from the first window that holds one of their panes up to the last, so their
+    next pane only adds the windows that it newly covers: two rows for each user and pane, whatever the width. What changes is added
+    up per window start, then along the starts, in blocks, so that no task orders all of them.
     """
     step = micros(slide)
-    stretch = _MASK_BITS - panes + 1
     dated = events.filter(F.col("event_ts").isNotNull())
-    pane = floor_div(F.unix_micros("event_ts"), step)
-
-    sums = (
-        dated.groupBy(pane.alias("pane"))
-        .agg(*_sliding_sums())
-        .withColumn("slot", F.explode(F.sequence(F.col("pane") - (panes - 1), F.col("pane"))))
-        .groupBy("slot")
-        .agg(*_sliding_totals())
+    pane = floor_div(F.unix_micros("event_ts"), step).alias("pane")
+    names = ["event_count", "revenue_parts", *map(count_name, SLIDING_COUNT_TYPES)]
+    measures = [*names, "active_users"]
+
+    def changes(rows: DataFrame, first: Column, values: dict[str, Column]) -> DataFrame:
+        """Rows ``slot`` and measures: ``values`` from slot ``first`` on, taken back behind slot ``pane``."""
+        plus = F.struct(first.alias("slot"), *(value.alias(name) for name, value in values.items()))
+        minus = F.struct((F.col("pane") + 1).alias("slot"), *((-value).alias(name) for name, value in values.items()))
+        return rows.select(F.inline(F.array(plus, minus)))
+
+    zero = F.lit(0).cast("long")
+    sums = dated.groupBy(pane).agg(*_sliding_sums()).withColumn("revenue_parts", F.col("revenue_parts").cast("decimal(38,0)"))
+    of_panes = changes(sums, F.col("pane") - (panes - 1), {**{name: F.col(name) for name in names}, "active_users": zero})
+    # Where a block of starts begins inside a window, the running sums need a row of their own.
+    edges = sums.select(
+        F.explode(
+            F.sequence(floor_div(F.col("pane") - (panes - 1), _SLOTS) + 1, floor_div(F.col("pane"), _SLOTS) + 1)
+        ).alias("block"), "pane",
+    ).filter(F.col("block") * _SLOTS <= F.col("pane") + 1)
+    of_edges = edges.select(
+        (F.col("block") * _SLOTS).alias("slot"),
+        *(F.lit(0).cast(of_panes.schema[name].dataType).alias(name) for name in measures),
+    ).distinct()
+
+    own = W.partitionBy("user_id").orderBy("pane")
+    users = (
+        dated.filter(F.col("user_id").isNotNull()).select("user_id", pane).distinct()
+        .withColumn("before", F.lag("pane").over(own))
     )
-
-    bit = F.pmod(F.col("pane"), F.lit(stretch))
-    block = floor_div(F.col("pane"), stretch)
-    own = F.struct(block.alias("block"), bit.alias("bit"))
-    before = F.struct((block - 1).alias("block"), (bit + stretch).alias("bit"))
-    calendar = (
-        dated.filter(F.col("user_id").isNotNull())
-        .select("user_id", pane.alias("pane"))
-        .select("user_id", F.inline(F.when(bit < panes - 1, F.array(own, before)).otherwise(F.array(own))))
-        .groupBy("user_id", "block")
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").cast("int"))).alias("mask"))
+    fresh = F.greatest(F.col("pane") - (panes - 1), F.col("before") + 1)
+    none = {name: F.lit(0).cast(of_panes.schema[name].dataType) for name in names}
+    of_users = changes(users, fresh, {**none, "active_users": F.lit(1).cast("long")})
+
+    per_slot = (
+        of_panes.unionByName(of_edges).unionByName(of_users)
+        .groupBy("slot").agg(*_totals(*measures))
+        .withColumn("block", floor_div(F.col("slot"), _SLOTS))
     )
-    covered = F.col("mask")
-    for shift in range(1, panes):
-        covered = covered.bitwiseOR(F.shiftrightunsigned("mask", shift))
-    offsets = F.array(*(F.lit(offset) for offset in range(stretch)))
-    users = (
-        calendar.select("block", covered.alias("covered"))
-        .withColumn("offset", F.explode(offsets))
-        .filter(F.call_function("bit_get", F.col("covered"), F.col("offset")) == 1)
-        .groupBy((F.col("block") * stretch + F.col("offset")).alias("slot"))
-        .agg(F.count(F.lit(1)).alias("active_users"))
+    # One row for each block: few, whatever the number of events.
+    earlier = W.orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    carried = per_slot.groupBy("block").agg(*_totals(*measures)).select(
+        "block", *(F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"{name}_before") for name in measures)
+    )
+    along = W.partitionBy("block").orderBy("slot")
+    running = along.rowsBetween(W.unboundedPreceding, 0)
+    levels = per_slot.join(carried, "block").select(
+        "slot", *((F.sum(name).over(running) + F.col(f"{name}_before")).alias(name) for name in measures),
+        F.coalesce(F.lead("slot").over(along), (F.col("block") + 1) * _SLOTS).alias("next"),
     )
     return (
-        sums.join(users, "slot", "left")
+        levels.filter(F.col("event_count") > 0)
+        .withColumn("slot", F.explode(F.sequence("slot", F.col("next") - 1)))
         .withColumn("window_start", F.timestamp_micros(F.col("slot") * step))
         .withColumn("window_end", F.timestamp_micros((F.col("slot") + panes) * step))
-        .withColumn("active_users", F.coalesce("active_users", F.lit(0).cast("long")))
     )
 
 
@@ -224,14 +239,14 @@ def traffic(
     per_user = (
         with_delay(events, delay)
         .groupBy(F.window("event_ts", width).alias("window"), *keys, "user_id")
-        .agg(F.count(F.lit(1)).alias("event_count"), revenue_cents().alias("revenue_cents"))
+        .agg(F.count(F.lit(1)).alias("event_count"), revenue_parts().alias("revenue_parts"))
     )
     return (
         per_user.groupBy("window", *keys)
-        .agg(*_totals("event_count", "revenue_cents"), F.count("user_id").alias("active_users"))
+        .agg(*_totals("event_count", "revenue_parts"), F.count("user_id").alias("active_users"))
         .select(
             F.col("window.start").alias("window_start"), *keys,
-            "event_count", money("revenue_cents").alias("revenue"), "active_users",
+            "event_count", money(whole_cents("revenue_parts")).alias("revenue"), "active_users",
         )
     )
 
@@ -268,8 +283,8 @@ def top_pages(
 ) -> DataFrame:
     """The most viewed pages per window of a table.
 
-    On a stream ranking needs whole windows: count with ``page_counts`` and rank each
-    micro-batch, see ``streaming.sinks.start_top_pages``.
+    On a stream ranking needs whole windows: append ``page_counts`` to a table, which gets all pages of a
+    window at once, and rank when it is read (``rank_pages``).
     """
     return rank_pages(page_counts(events, width), n)
 
@@ -294,20 +309,20 @@ def revenue(
     events: DataFrame, width: str = WindowConfig.short, delay: str | None = None
 ) -> DataFrame:
     """Sum, number, mean and maximum of the purchases per window."""
-    paid = events.filter((F.col("event_type") == "purchase") & F.col("amount").isNotNull())
+    paid = events.filter((F.col("event_type") == "purchase") & finite("amount").isNotNull())
     return (
         with_delay(paid, delay)
         .groupBy(F.window("event_ts", width).alias("window"))
         .agg(
-            F.sum(cents("amount")).alias("total_cents"),
+            sum_of_parts("amount").alias("total_parts"),
             F.count(F.lit(1)).alias("order_count"),
-            F.max(cents("amount")).alias("max_cents"),
+            F.max(parts("amount")).cast("decimal(20,0)").alias("max_parts"),
         )
         .select(
             F.col("window.start").alias("window_start"),
-            money("total_cents").alias("revenue"),
+            money(whole_cents("total_parts")).alias("revenue"),
             "order_count",
-            mean_money("total_cents", "order_count").alias("avg_order"),
-            money("max_cents").alias("max_order"),
+            mean_money("total_parts", "order_count").alias("avg_order"),
+            money(whole_cents("max_parts")).alias("max_order"),
         )
     )

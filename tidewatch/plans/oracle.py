@@ -117,6 +117,22 @@ traffic AS (
 )"""
 
 
+# Amounts as the damaged wire has them, in ten-thousandths.
+BAD_AMOUNTS = """
+paid AS (
+  SELECT time_bucket(INTERVAL '1 hour', event_ts) AS window_start, CAST(sum(part) AS BIGINT) AS parts, count(part) AS orders
+  FROM (SELECT event_ts, CASE CAST(event_id AS BIGINT) % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL
+               WHEN 3 THEN 40 ELSE CAST(round(amount * 10000) AS BIGINT) END AS part
+        FROM ev WHERE event_type = 'purchase')
+  GROUP BY 1
+)"""
+
+
+def _escaped(column: str) -> str:
+    """A key as the series name holds it."""
+    return f"coalesce(replace(replace({column}, '\\', '\\\\'), '|', '\\p'), '\\0')"
+
+
 SLIDING_TRAFFIC = """
 traffic AS (
   SELECT 'all' AS series, window_start, event_count,
@@ -281,6 +297,7 @@ RULES = {
     "device_present": "device IS NULL",
     "event_type_known": "event_type NOT IN ('page_view', 'click', 'search', 'purchase', 'add_to_cart')",
     "device_known": "device NOT IN ('mobile', 'desktop', 'tablet')",
+    "amount_is_finite": "amount IS NOT NULL AND NOT (abs(amount) <= 1e12)",
     "purchase_has_amount": "event_type = 'purchase' AND (amount IS NULL OR amount <= 0)",
     "other_has_no_amount": "event_type <> 'purchase' AND amount IS NOT NULL",
     "timestamp_is_iso": "NOT (\"timestamp\" LIKE '%T%' AND (\"timestamp\" LIKE '%Z' OR \"timestamp\" LIKE '%+%'))",
@@ -333,12 +350,14 @@ def _job() -> str:
     sliding = _sliding("1 hour", "10 minutes", 6)
     ended = f"window_start + INTERVAL '1 hour' <= {CLOSED}"
     parts = {
-        "raw": (_with() + "SELECT", "count(*) FROM ev"),
+        "raw": (_with(DAMAGED) + "SELECT", "count(event_ts) FROM damaged"),
+        "rejects": (_with("twice AS (SELECT event_id FROM ev UNION ALL SELECT NULL FROM ev)") + "SELECT", "count(event_id) FROM twice"),
+        "events": (_with() + "SELECT", "count(*) FROM ev"),
         "metrics_1min": (_with(_tumbling("1 hour")) + "SELECT", f"sum(total_events) FROM m WHERE {ended}"),
         "metrics_5min": (_with(sliding) + "SELECT", f"sum(event_count) FROM m WHERE {ended}"),
         "revenue": (_with(REVENUE) + "SELECT", f"sum(order_count) FROM rev WHERE {ended}"),
         "devices": (_with(_devices()) + "SELECT", f"sum(unique_users) FROM devices WHERE {ended}"),
-        "top_pages": (_with(_pages("1 hour"), _ranked(3)) + "SELECT", f"sum(view_count) FROM ranked WHERE {ended}"),
+        "page_counts": (_with(_pages("1 hour")) + "SELECT", f"sum(view_count) FROM pages_per WHERE {ended}"),
         "alerts": (
             _with(sliding, CLOSED_SLIDING_TRAFFIC, _spine("10 minutes"), BASELINES, _alerts("1 hour")) + "SELECT",
             "count(*) FILTER (severity = 'critical') FROM alerts",
@@ -385,6 +404,21 @@ def oracle() -> dict[str, str]:
         "metrics_tumbling": _with(_tumbling("1 minute")) + "SELECT * FROM m",
         "metrics_hourly": metrics + "SELECT * FROM m",
         "metrics_sliding": _with(SLIDING) + "SELECT * FROM m",
+        "metrics_sliding_long": _with(_sliding("1 hour", "30 seconds", 120)) + "SELECT * FROM m",
+        "metrics_bad_amounts": _with(_tumbling("1 hour"), BAD_AMOUNTS)
+        + f"""SELECT m.* REPLACE (CAST((2 * coalesce(parts, 0) + 100) // 200 AS BIGINT) / 100.0 AS total_revenue,
+                CAST({_mean_cents("coalesce(parts, 0)", "100 * orders")} AS DOUBLE) AS avg_order_value)
+              FROM m LEFT JOIN paid USING (window_start)""",
+        "alerts_by_device_page": _with(
+            """spelled AS (SELECT * REPLACE (
+                 CASE WHEN device = 'tablet' AND page = '/p3' THEN 'tablet|a' ELSE device END AS device,
+                 CASE page WHEN '/p0' THEN NULL WHEN '/p1' THEN '(none)' WHEN '/p2' THEN 'a|b' WHEN '/p3' THEN 'b'
+                   ELSE 'c\\d' END AS page) FROM ev)""",
+            _traffic("1 hour", f"{_escaped('device')} || '|' || {_escaped('page')}").replace("FROM ev", "FROM spelled"),
+            _spine("1 hour"), BASELINES, _alerts("1 hour"),
+        )
+        + ALERT_OUT
+        + " FROM alerts",
         "top_pages": _with(_pages("1 hour"), _ranked(3)) + "SELECT * FROM ranked",
         "page_counts": _with(_pages("1 minute")) + "SELECT * FROM pages_per",
         "device_breakdown": _with(_devices()) + "SELECT * FROM devices",
@@ -468,4 +502,11 @@ def oracle() -> dict[str, str]:
         + ALERT_OUT
         + " FROM alerts",
         "stream_job": _job(),
+        "stream_landing": _with()
+        + f"""SELECT 'raw' AS name, count(*) + count(*) FILTER (event_ts < (SELECT min(event_ts) FROM ev) + INTERVAL '1 hour') + 1
+                AS rows FROM ev
+              UNION ALL SELECT 'rejects', count(*) FROM ev WHERE page = '/p1'
+              UNION ALL SELECT 'misdated', 1
+              UNION ALL SELECT 'metric_events', count(*) FROM ev
+                WHERE time_bucket(INTERVAL '1 hour', event_ts) + INTERVAL '1 hour' <= {CLOSED}""",
     }

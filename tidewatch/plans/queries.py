@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.config import StreamConfig, WindowConfig
+from tidewatch.functions.measures import revenue_parts, whole_cents
 from tidewatch.operators import anomalies, quality, serving, windows
 from tidewatch.operators.dedupe import deduplicate
 from tidewatch.operators.parse import parse_events, reject_counts, split_valid
@@ -54,17 +55,14 @@ def zoneless(df: DataFrame) -> DataFrame:
 
 def damaged_wire(events: DataFrame) -> DataFrame:
     """The wire form of every event four times: intact, cut off, with an unreadable time and without user."""
-    whole, undated, anonymous = (
-        encode_events(frame)
-        for frame in (
-            events,
-            events.withColumn("timestamp", F.lit("not a time")),
-            events.withColumn("user_id", F.lit(None).cast("string")),
-        )
-    )
-    cut_off = F.expr("left(string(value), length(string(value)) - 1)")
-    broken = whole.withColumn("value", cut_off.cast("binary"))
-    return whole.unionByName(broken).unionByName(undated).unionByName(anonymous)
+    forms = F.explode(F.array(*map(F.lit, ("whole", "broken", "undated", "anonymous")))).alias("form")
+    copies = events.select("*", forms)
+    form = F.col("form")
+    changed = copies.withColumn(
+        "timestamp", F.when(form == "undated", "not a time").otherwise(F.col("timestamp"))
+    ).withColumn("user_id", F.when(form != "anonymous", F.col("user_id")))
+    cut_off = F.expr("left(string(value), length(string(value)) - 1)").cast("binary")
+    return encode_events(changed, "form").select("key", F.when(form == "broken", cut_off).otherwise(F.col("value")).alias("value"))
 
 
 @query
@@ -132,6 +130,19 @@ def metrics_tumbling(spark, sf_dir):
     return windows.tumbling_metrics(read_events(spark, sf_dir))
 
 
+@query
+def metrics_bad_amounts(spark, sf_dir):
+    """Hourly metrics from a wire on which amounts are NaN, infinite, huge or below a cent."""
+    turn = F.col("event_id").cast("long") % 7
+    amount = F.col("amount")
+    spoilt = (
+        F.when(turn == 0, F.lit(float("nan"))).when(turn == 1, F.lit(float("inf"))).when(turn == 2, F.lit(1e300))
+        .when(turn == 3, F.lit(0.004)).otherwise(amount)
+    )
+    events = read_events(spark, sf_dir).withColumn("amount", F.when(amount.isNotNull(), spoilt))
+    return windows.tumbling_metrics(parse_events(encode_events(events)), "1 hour")
+
+
 @query
 def metrics_hourly(spark, sf_dir):
     """The same metrics per hour, from the wire through parsing and deduplication."""
@@ -145,6 +156,12 @@ def metrics_sliding(spark, sf_dir):
     return windows.sliding_metrics(read_events(spark, sf_dir))
 
 
+@query
+def metrics_sliding_long(spark, sf_dir):
+    """One-hour metrics every 30 seconds: 120 windows hold each event."""
+    return windows.sliding_metrics(read_events(spark, sf_dir), "1 hour", "30 seconds")
+
+
 @query
 def top_pages(spark, sf_dir):
     """The three most viewed pages of every hour."""
@@ -227,6 +244,19 @@ def alerts_by_device(spark, sf_dir):
     return _alerts(spark, sf_dir, BUSY, keys=("device",))
 
 
+@query
+def alerts_by_device_page(spark, sf_dir):
+    """All rules, a series per device and page per hour; keys with the separator, a null and a text that looks like none."""
+    spelled = (
+        F.when(F.col("page") == "/p0", F.lit(None)).when(F.col("page") == "/p1", "(none)")
+        .when(F.col("page") == "/p2", "a|b").when(F.col("page") == "/p3", "b").otherwise("c\\d")
+    )
+    device = F.when((F.col("device") == "tablet") & (F.col("page") == "/p3"), "tablet|a").otherwise(F.col("device"))
+    events = read_events(spark, sf_dir).withColumn("device", device).withColumn("page", spelled)
+    table = stored(windows.traffic(events, BUSY, ("device", "page")), "metrics")
+    return anomalies.detect(table, BUSY, keys=("device", "page"), detected_at=F.col("window_end"))
+
+
 @query
 def alerts_sliding(spark, sf_dir):
     """All rules over five-minute windows every 30 seconds."""
@@ -400,6 +430,45 @@ def _drained(spark: SparkSession, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def batched_wire(spark: SparkSession, sf_dir: str, parts: int = 4) -> str:
+    """Wire files of the events table by time, one micro-batch each with ``maxFilesPerTrigger`` 1, and a last one of odd rows.
+
+    The odd rows: a copy of each event of the first hour, one event in the year 2100, and a damaged form of each event on page ``/p1``.
+    """
+    events = read_events(spark, sf_dir)
+    low, high = events.agg(F.min(F.unix_micros("event_ts")), F.max(F.unix_micros("event_ts"))).first()
+    path = work_dir(spark, "batched-wire")
+    part = F.least(F.floor((F.unix_micros("event_ts") - low) * parts / (high - low + 1)), F.lit(parts - 1))
+    for place in range(parts):
+        write_wire(encode_events(events.filter(part == place)).coalesce(1), "parquet", {"path": path})
+    late = events.filter(F.unix_micros("event_ts") < low + 3_600_000_000)
+    future = events.orderBy("event_id").limit(1).withColumns(
+        {"event_id": F.lit("future"), "timestamp": F.lit("2100-01-01T00:00:00+00:00")}
+    )
+    broken = encode_events(events.filter(F.col("page") == "/p1")).withColumn("value", F.lit("{").cast("binary"))
+    odd = encode_events(late.unionByName(future)).unionByName(broken)
+    write_wire(odd.coalesce(1), "parquet", {"path": path})
+    return path
+
+
+@query
+def stream_landing(spark, sf_dir):
+    """Five micro-batches with late copies, a date in the future and broken rows: every wire row is landed or rejected."""
+    base = work_dir(spark, "landing")
+    config = StreamConfig(
+        base_path=base, checkpoint_dir=f"{base}-checkpoints", shuffle_partitions=_state_count(spark),
+        windows=WindowConfig(short="1 hour", long="1 hour", slide="1 hour"),
+    )
+    wire = read_wire(spark, "parquet", {"maxFilesPerTrigger": "1"}, batched_wire(spark, sf_dir))
+    job = start_all(spark, config, wire, once=True)
+    counts = [
+        spark.read.parquet(job.path(name)).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"))
+        for name in ("raw", "rejects", "misdated")
+    ]
+    hours = spark.read.parquet(job.path("metrics_1min")).agg(F.lit("metric_events").alias("name"), F.sum("total_events").alias("rows"))
+    return reduce(DataFrame.unionByName, [*counts, hours])
+
+
 def _state_count(spark: SparkSession) -> int:
     """State partitions for a whole-table run: one per core the session offers."""
     return spark.sparkContext.defaultParallelism
@@ -437,14 +506,9 @@ def stream_page_counts(spark, sf_dir):
 
 @query
 def stream_top_pages(spark, sf_dir):
-    """The three most viewed pages of every closed hour, ranked per micro-batch."""
-    wire = encode_events(read_events(spark, sf_dir, streaming=True))
-    counts = windows.page_counts(clean_events(wire, StreamConfig()), "1 hour")
-    path = work_dir(spark, "stream")
-    with state_partitions(spark, _state_count(spark)):
-        started = sinks.start_top_pages(counts, path, work_dir(spark, "checkpoint"), 3)
-    started.awaitTermination()
-    return spark.read.parquet(path).select("window_start", "page", "view_count")
+    """The three most viewed pages of every closed hour, ranked when the streamed counts are read."""
+    counts = _streamed(spark, sf_dir, lambda events: windows.page_counts(events, "1 hour"))
+    return windows.rank_pages(counts, 3)
 
 
 @query
@@ -457,7 +521,7 @@ def stream_archive(spark, sf_dir):
     started.awaitTermination()
     landed = spark.read.parquet(path)
     return landed.groupBy("event_date", "event_type").agg(
-        F.count(F.lit(1)).alias("events"), windows.revenue_cents().alias("cents")
+        F.count(F.lit(1)).alias("events"), whole_cents(revenue_parts()).alias("cents")
     )
 
 
@@ -492,14 +556,16 @@ def stream_job(spark, sf_dir):
         shuffle_partitions=_state_count(spark),
         windows=WindowConfig(short="1 hour", long="1 hour", slide="10 minutes", top_n=3),
     )
-    job = start_all(spark, config, encode_events(read_events(spark, sf_dir, streaming=True)), once=True)
+    job = start_all(spark, config, damaged_wire(read_events(spark, sf_dir, streaming=True)), once=True)
     totals = {
-        "raw": F.count(F.lit(1)),
+        "raw": F.count_if(F.col("event_ts").isNotNull()),
+        "rejects": F.count("event_id"),
+        "events": F.count("user_id"),
         "metrics_1min": F.sum("total_events"),
         "metrics_5min": F.sum("event_count"),
         "revenue": F.sum("order_count"),
         "devices": F.sum("unique_users"),
-        "top_pages": F.sum("view_count"),
+        "page_counts": F.sum("view_count"),
         "alerts": F.count_if(F.col("severity") == "critical"),
     }
     written = [

@@ -24,6 +24,12 @@ PARSED_SCHEMA = (
     .add("event_date", T.DateType())
 )
 
+# Landed events also say when they were landed. The partition column comes last, where readers of a table
+# without files yet put it too.
+LANDED_SCHEMA = T.StructType(
+    [*PARSED_SCHEMA.fields[:-1], T.StructField("landed_at", T.TimestampType()), PARSED_SCHEMA.fields[-1]]
+)
+
 WIRE_SCHEMA = T.StructType(
     [T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType())]
 )

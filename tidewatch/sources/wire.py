@@ -10,14 +10,16 @@ from tidewatch.schema import EVENT_FIELDS, WIRE_SCHEMA
 
 
 def kafka_options(config: StreamConfig) -> dict[str, str]:
-    """Options of the topic source (fixed values: no failure on lost offsets)."""
-    return {
+    """Options of the topic source."""
+    options = {
         "kafka.bootstrap.servers": config.brokers,
         "subscribe": config.topic,
         "startingOffsets": config.starting_offsets,
-        "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": str(config.max_offsets_per_trigger),
+        "failOnDataLoss": str(config.fail_on_data_loss).lower(),
     }
+    if config.max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(config.max_offsets_per_trigger)
+    return options
 
 
 def read_wire(
@@ -47,11 +49,11 @@ def source_stream(spark: SparkSession, config: StreamConfig) -> DataFrame:
     return read_wire(spark, config.source_format, options, path)
 
 
-def encode_events(events: DataFrame) -> DataFrame:
-    """Events as wire rows: the user as key, all fields as JSON with nulls written out."""
+def encode_events(events: DataFrame, *kept: str) -> DataFrame:
+    """Events as wire rows: the user as key, all fields as JSON with nulls written out; columns ``kept`` stay."""
     body = F.to_json(F.struct(*EVENT_FIELDS), {"ignoreNullFields": "false"})
     return events.select(
-        F.col("user_id").cast("binary").alias("key"), body.cast("binary").alias("value")
+        F.col("user_id").cast("binary").alias("key"), body.cast("binary").alias("value"), *kept
     )
 
 

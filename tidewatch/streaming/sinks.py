@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators.upsert import newest_per_key, upsert
-from tidewatch.operators.windows import rank_pages
 
 
 def with_date(df: DataFrame, time: str = "window_start") -> DataFrame:
@@ -207,27 +206,24 @@ def start_batches(
 
 
 def start_archive(
-    events: DataFrame, path: str, checkpoint: str, seconds: int | None = None, files: int | None = None
+    events: DataFrame, path: str, checkpoint: str, seconds: int | None = None, files: int | None = None,
+    fmt: str = "parquet", name: str = "raw",
 ) -> StreamingQuery:
     """Lands parsed events, one folder per date; events without a date have their own."""
-    return start_append(events, path, checkpoint, seconds, ("event_date",), name="raw", files=files)
+    return start_append(events, path, checkpoint, seconds, ("event_date",), fmt, name=name, files=files)
 
 
-def start_top_pages(
-    counts: DataFrame, path: str, checkpoint: str, n: int, seconds: int | None = None
-) -> StreamingQuery:
-    """Ranks the pages of every window a micro-batch closes.
+def compact_dates(
+    spark: SparkSession, path: str, out: str, until: str, since: str | None = None, fmt: str = "parquet"
+) -> None:
+    """Copies the closed dates of a table, [since, until), into ``out`` with few files for each date.
 
-    Append mode emits all pages of a window in one micro-batch, so ranking inside it is exact,
-    and the rank is an ordinary distributed window function. A micro-batch owns the folders
-    named after it, below its dates; one that closes no window leaves none.
+    A streamed table keeps its own files, which its sink's log names; readers of old dates turn to the copy. Dates that the copy has are replaced.
     """
-
-    def rank(batch: DataFrame, batch_id: int) -> None:
-        ranked = with_date(rank_pages(batch, n)).withColumn("batch_id", F.lit(batch_id))
-        _replace_partitions(ranked, path, ("event_date", "batch_id"))
-
-    return start_batches(counts, rank, checkpoint, seconds, name="top_pages")
+    table = spark.read.format(fmt).load(path).filter(F.col("event_date") < F.lit(until).cast("date"))
+    if since is not None:
+        table = table.filter(F.col("event_date") >= F.lit(since).cast("date"))
+    _replace_partitions(table, out, ("event_date",), fmt)
 
 
 def start_alert_index(
