@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -73,6 +75,39 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark, name)}-{uuid.uuid4().hex}"
 
 
+_REACHABLE: set[str] = set()
+
+_PROBE = """
+def probe(batches):
+    import importlib.util, pyarrow
+    for batch in batches:
+        found = importlib.util.find_spec(name) is not None
+        yield pyarrow.RecordBatch.from_pydict({"found": [found]})
+"""
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes sure that Python workers can import this package; asked once for each application.
+
+    Where they cannot, the package goes to them as an archive, by Spark's own way of shipping code.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _REACHABLE:
+        return
+    # Defined outside of the package, so that it travels by value.
+    scope = {"name": __package__}
+    exec(_PROBE, scope)
+    if not spark.range(1).mapInArrow(scope["probe"], "found boolean").first().found:
+        root = Path(__file__).resolve().parent
+        # The driver serves this file to executors, also to those that come later, so it stays.
+        archive = f"{tempfile.mkdtemp(prefix='tidewatch-code-')}/{__package__}.zip"
+        with zipfile.ZipFile(archive, "w") as packed:
+            for file in root.rglob("*.py"):
+                packed.write(file, str(file.relative_to(root.parent)))
+        spark.sparkContext.addPyFile(archive)
+    _REACHABLE.add(app)
+
+
 @contextmanager
 def state_partitions(spark: SparkSession, count: int | None):
     """Shuffle partitions for streams started inside the block.

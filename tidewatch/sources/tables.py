@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,6 +107,15 @@ def read_table(
     return table
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
+    """A stored table, or no rows of that schema where nothing was written yet."""
+    from tidewatch.streaming.sinks import table_exists
+
+    if table_exists(spark, path):
+        return spark.read.format(fmt).schema(schema).load(path)
+    return spark.createDataFrame([], schema)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes a derived table once to the shared work folder and reads it back.
 
@@ -114,3 +125,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Work tables of one computation, in a folder of the shared one that is removed when it is done.
+
+    ``with Scratch(spark, name) as scratch`` stores what later steps read again; what leaves the block has to be stored elsewhere.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.path = work_dir(spark, name)
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """Writes a table once and reads it back."""
+        path = f"{self.path}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
