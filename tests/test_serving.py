@@ -3,6 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.streaming import sinks
+from tidewatch.sources.tables import read_or_empty, read_table
+from tidewatch.session import work_dir
 from tidewatch.operators import serving
 
 
@@ -56,3 +59,19 @@ def test_alert_search(spark):
     assert serving.search_alerts(alerts).count() == 20
     recent = serving.recent_alerts(alerts).collect()
     assert len(recent) == 5 and recent[0]["time"] == "1970-01-01 00:00:29"
+
+
+def test_newest_reads_only_the_dates_it_needs(spark):
+    path = work_dir(spark, "dated")
+    rows = spark.range(0, 24 * 30).select(
+        F.timestamp_micros(F.lit(1704067200000000) + F.col("id") * 3600000000).alias("window_start"), F.col("id").alias("n")
+    )
+    sinks.append(sinks.with_date(rows), path, ("event_date",))
+    table = read_table(spark, path)
+    for n, dates in ((1, 1), (24, 1), (25, 2), (100, 5), (10**6, 30)):
+        found = serving.newest(table, n)
+        assert [r.n for r in found.collect()] == list(range(24 * 30 - 1, max(-1, 24 * 30 - 1 - n), -1))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(event_date" in plan
+        assert found.select("event_date").distinct().count() == dates
+    assert serving.newest(read_or_empty(spark, path + "-none", "window_start timestamp, event_date date")).count() == 0

@@ -259,3 +259,33 @@ def test_processor_travels_with_its_code(tmp_path):
     check = f"import pickle; print(pickle.load(open({str(stored_at)!r}, 'rb')).stride)"
     done = subprocess.run([sys.executable, "-c", check], cwd="/", capture_output=True, text=True, timeout=60)
     assert done.stdout.strip() == "60", done.stderr
+
+
+def test_outage_raises_alerts_without_any_event(spark):
+    """No row arrives after the first batch, yet empty windows are emitted while the clock goes on."""
+    import time
+
+    from tidewatch.streaming.baseline import detect_stream
+
+    schema = "window_start timestamp, event_count long, revenue double, active_users long"
+    path, out = work_dir(spark, "metrics"), work_dir(spark, "out")
+    now = int(time.time())
+    rows = spark.range(0, 12).select(
+        F.timestamp_seconds(F.lit(now - 14) + F.col("id")).alias("window_start"),
+        F.lit(100).cast("long").alias("event_count"), F.lit(5.0).alias("revenue"), F.lit(3).cast("long").alias("active_users"),
+    )
+    rows.coalesce(1).write.parquet(path)
+    stream = detect_stream(spark.readStream.schema(schema).parquet(path), "1 second", patience="1 second")
+    query = start_append(stream, out, work_dir(spark, "checkpoint"), seconds=1)
+    found = None
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            assert query.exception() is None
+            found = spark.read.schema(stream.schema).parquet(out).filter("alert_type = 'zero_events'")
+            if found.count() >= 3:
+                break
+    finally:
+        query.stop()
+    starts = sorted(r.window_start.timestamp() for r in found.collect())
+    assert len(starts) >= 3 and starts == list(range(int(starts[0]), int(starts[0]) + len(starts))) and starts[0] == now - 2

@@ -83,6 +83,9 @@ class StreamConfig:
     # copies costs the same whatever the number, and a hot one is split over this many.
     dedupe_spread: int = 1024
     summary_every: int = 10
+    # How long after its end an empty window is reported while no event arrives; for live runs. A checkpoint of
+    # the alerts belongs to one kind of run.
+    outage_patience: str | None = "1 minute"
     windows: WindowConfig = field(default_factory=WindowConfig)
     detector: DetectorConfig = field(default_factory=DetectorConfig)
 

@@ -502,6 +502,16 @@ def oracle() -> dict[str, str]:
         + ALERT_OUT
         + " FROM alerts",
         "stream_job": _job(),
+        "stream_late": metrics + "SELECT * FROM m",
+        "stream_restart": metrics + _closed("m"),
+        "compact_table": _with(
+            """quarters AS (SELECT *, least(floor(CAST(epoch_us(event_ts) - (SELECT min(epoch_us(event_ts)) FROM ev WHERE event_type = 'purchase') AS DOUBLE) * 4
+                 / (SELECT max(epoch_us(event_ts)) - min(epoch_us(event_ts)) + 1 FROM ev WHERE event_type = 'purchase')), 3) AS part
+               FROM ev WHERE event_type = 'purchase')"""
+        )
+        + """SELECT time_bucket(INTERVAL '1 hour', event_ts) AS window_start, device, count(*) AS event_count,
+               count(DISTINCT user_id) AS unique_users, CAST(time_bucket(INTERVAL '1 hour', event_ts) AS DATE) AS event_date
+             FROM quarters WHERE event_ts < TIMESTAMP '2024-01-20' GROUP BY part, 1, 2, 5""",
         "stream_landing": _with()
         + f"""SELECT 'raw' AS name, count(*) + count(*) FILTER (event_ts < (SELECT min(event_ts) FROM ev) + INTERVAL '1 hour') + 1
                 AS rows FROM ev

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewatch.config import StreamConfig, WindowConfig
 from tidewatch.functions.measures import revenue_parts, whole_cents
 from tidewatch.operators import anomalies, quality, serving, windows
-from tidewatch.operators.dedupe import deduplicate
+from tidewatch.operators.dedupe import deduplicate, with_delay
 from tidewatch.operators.parse import parse_events, reject_counts, split_valid
 from tidewatch.operators.series import fill_gaps, with_series
 from tidewatch.operators.upsert import upsert
@@ -356,41 +356,48 @@ def metrics_index(spark, sf_dir):
 
 
 def _hourly(spark, sf_dir):
-    return windows.tumbling_metrics(read_events(spark, sf_dir), "1 hour")
+    """Hourly metrics as a stored table with a folder for each date, as the job leaves them."""
+    return _dated(windows.tumbling_metrics(read_events(spark, sf_dir), "1 hour"), "hourly")
 
 
 def _hourly_pages(spark, sf_dir):
-    return windows.page_counts(read_events(spark, sf_dir, kinds=("page_view",)), "1 hour")
+    return _dated(windows.page_counts(read_events(spark, sf_dir, kinds=("page_view",)), "1 hour"), "pages")
+
+
+def _dated(table: DataFrame, name: str) -> DataFrame:
+    path = work_dir(table.sparkSession, name)
+    sinks.append(sinks.with_date(table), path, ("event_date",))
+    return read_table(table.sparkSession, path)
 
 
 @query
 def latest_metrics(spark, sf_dir):
-    """The 100 newest hours."""
-    return serving.latest(_hourly(spark, sf_dir))
+    """The 100 newest hours of the stored table."""
+    return serving.newest(_hourly(spark, sf_dir)).drop("event_date")
 
 
 @query
 def metrics_history(spark, sf_dir):
     """The 60 newest hours in time order."""
-    return serving.history(_hourly(spark, sf_dir))
+    return serving.history(serving.newest(_hourly(spark, sf_dir), 60)).drop("event_date")
 
 
 @query
 def latest_pages(spark, sf_dir):
     """The 20 newest page rows."""
-    return serving.latest(_hourly_pages(spark, sf_dir), 20)
+    return serving.newest(_hourly_pages(spark, sf_dir), 20).drop("event_date")
 
 
 @query
 def kpi_latest(spark, sf_dir):
     """Status row of the newest hour."""
-    return serving.kpis(_hourly(spark, sf_dir))
+    return serving.kpis(serving.newest(_hourly(spark, sf_dir), 2))
 
 
 @query
 def type_breakdown(spark, sf_dir):
     """Views, clicks and searches of the 60 newest hours."""
-    return serving.type_breakdown(serving.history(_hourly(spark, sf_dir)))
+    return serving.type_breakdown(serving.newest(_hourly(spark, sf_dir), 60))
 
 
 @query
@@ -430,27 +437,73 @@ def _drained(spark: SparkSession, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def batched_wire(spark: SparkSession, sf_dir: str, parts: int = 4) -> str:
-    """Wire files of the events table by time, one micro-batch each with ``maxFilesPerTrigger`` 1, and a last one of odd rows.
+PARTS = 4
 
-    The odd rows: a copy of each event of the first hour, one event in the year 2100, and a damaged form of each event on page ``/p1``.
-    """
-    events = read_events(spark, sf_dir)
+
+def timed_part(events: DataFrame) -> DataFrame:
+    """Events with the quarter of the whole time span, 0 to 3, that they fall into."""
     low, high = events.agg(F.min(F.unix_micros("event_ts")), F.max(F.unix_micros("event_ts"))).first()
+    place = F.floor((F.unix_micros("event_ts") - low) * PARTS / (high - low + 1))
+    return events.withColumn("part", F.least(place, F.lit(PARTS - 1))).withColumn("first_hour", F.unix_micros("event_ts") < low + 3_600_000_000)
+
+
+def write_part(events: DataFrame, path: str) -> None:
+    """One wire file, so one micro-batch with ``maxFilesPerTrigger`` 1."""
+    write_wire(encode_events(events).coalesce(1), "parquet", {"path": path})
+
+
+def batched_wire(spark: SparkSession, sf_dir: str) -> str:
+    """Wire files of the events table in time order, and a last one of odd rows.
+
+    The odd rows: a copy of each event of the first hour, one event in the year 2100, and a broken row for each event on page ``/p1``.
+    """
+    events = timed_part(read_events(spark, sf_dir))
     path = work_dir(spark, "batched-wire")
-    part = F.least(F.floor((F.unix_micros("event_ts") - low) * parts / (high - low + 1)), F.lit(parts - 1))
-    for place in range(parts):
-        write_wire(encode_events(events.filter(part == place)).coalesce(1), "parquet", {"path": path})
-    late = events.filter(F.unix_micros("event_ts") < low + 3_600_000_000)
+    for place in range(PARTS):
+        write_part(events.filter(F.col("part") == place), path)
     future = events.orderBy("event_id").limit(1).withColumns(
         {"event_id": F.lit("future"), "timestamp": F.lit("2100-01-01T00:00:00+00:00")}
     )
     broken = encode_events(events.filter(F.col("page") == "/p1")).withColumn("value", F.lit("{").cast("binary"))
-    odd = encode_events(late.unionByName(future)).unionByName(broken)
+    odd = encode_events(events.filter("first_hour").unionByName(future)).unionByName(broken)
     write_wire(odd.coalesce(1), "parquet", {"path": path})
     return path
 
 
+@query
+def stream_late(spark, sf_dir):
+    """Five micro-batches straight into hourly windows: rows that come when their hour is closed change nothing."""
+    wire = read_wire(spark, "parquet", {"maxFilesPerTrigger": "1"}, batched_wire(spark, sf_dir))
+    return _drained(spark, windows.tumbling_metrics(with_delay(parse_events(wire), WindowConfig.watermark), "1 hour"))
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """A stream that stops after half of the time and goes on from its checkpoint."""
+    events = timed_part(read_events(spark, sf_dir))
+    source, path, checkpoint = (work_dir(spark, name) for name in ("restart-wire", "stream", "checkpoint"))
+    for half in ((0, 1), (2, 3)):
+        for place in half:
+            write_part(events.filter(F.col("part") == place), source)
+        wire = read_wire(spark, "parquet", {"maxFilesPerTrigger": "1"}, source)
+        metrics = windows.tumbling_metrics(clean_events(wire, StreamConfig()), "1 hour")
+        with state_partitions(spark, _state_count(spark)):
+            started = sinks.start_append(metrics, path, checkpoint)
+        started.awaitTermination()
+    return spark.read.schema(metrics.schema).parquet(path)
+
+
+@query
+def compact_table(spark, sf_dir):
+    """Hourly revenue appended in four batches; the closed dates, compacted."""
+    events = timed_part(read_events(spark, sf_dir, kinds=("purchase",)))
+    path, out = work_dir(spark, "revenue"), work_dir(spark, "compacted")
+    for place in range(PARTS):
+        sinks.append(sinks.with_date(windows.device_breakdown(events.filter(F.col("part") == place), "1 hour")), path, ("event_date",))
+    sinks.compact_dates(spark, path, out, until="2024-01-20")
+    return spark.read.parquet(out)
+
+
 @query
 def stream_landing(spark, sf_dir):
     """Five micro-batches with late copies, a date in the future and broken rows: every wire row is landed or rejected."""
