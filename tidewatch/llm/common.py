@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task works on at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def whole_text(name: str = "text") -> Column:

@@ -161,7 +161,7 @@ class Network:
 class Scorer:
     """Runs a trained network over whole texts; remembers projected words up to a bound."""
 
-    def __init__(self, network: Network, scale: tuple[float, float] = (1.0, 0.0), remember: int = 400_000):
+    def __init__(self, network: Network, scale: tuple[float, float] = (1.0, 0.0), remember: int = 250_000):
         self.network, self.scale, self.remember = network, scale, remember
         self.place: dict[bytes, int] = {}
         self.table = np.zeros((1024, 6 * HIDDEN), np.float32)
@@ -234,17 +234,24 @@ def train(texts: list[str], labels: list[int], rounds: int = 3, epochs: int = 3,
         return Scorer(network, (0.0, float(np.log(share / (1 - share)))))
     docs = [tidy(text) for text in texts]
     _first_guess(network, docs, y)
-    vocabulary = list(set().union(*docs)) or [b""]
-    place = {word: i for i, word in enumerate(vocabulary)}
-    rows = [np.array([place[word] for word in words], dtype=np.int64) for words in docs]
+    place: dict[bytes, int] = {}
+    rows = [np.array([place.setdefault(word, len(place)) for word in words], dtype=np.int32) for words in docs]
+    vocabulary = list(place) or [b""]
+    del docs
+
+    def scored() -> list[np.ndarray]:
+        runner = Scorer(network)
+        return [out for k in range(0, len(texts), 100) for out in runner.window_outputs(texts[k : k + 100])]
+
     moments = {name: (np.zeros_like(value), np.zeros_like(value)) for name, value in network.p.items()}
     step = 0
     for turn in range(rounds):
         if turn:
-            outputs = Scorer(network, remember=10**9).window_outputs(texts)
+            outputs = scored()
         else:
-            evidence, _ = network.inputs(vocabulary)
-            hint = evidence[:, 0] + evidence[:, WIDTH]
+            parts = [network.inputs(vocabulary[k : k + 20_000])[0] for k in range(0, len(vocabulary), 20_000)]
+            hint = np.concatenate([part[:, 0] + part[:, WIDTH] for part in parts])
+            del parts
             outputs = [
                 np.array([hint[own[s : s + WINDOW]].max(initial=-9.0) for s in windows(len(own))], np.float32) for own in rows
             ]
@@ -295,8 +302,7 @@ def train(texts: list[str], labels: list[int], rounds: int = 3, epochs: int = 3,
                     second[rows_of] = 0.99 * second[rows_of] + 0.01 * value**2
                     correction = np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
                     network.p[name][rows_of] -= rate * correction * first[rows_of] / (np.sqrt(second[rows_of]) + 1e-6)
-    scorer = Scorer(network)
-    strongest = np.array([out.max() for out in scorer.window_outputs(texts)], dtype=float)
+    strongest = np.array([out.max() for out in scored()], dtype=float)
     a, b = 1.0, 0.0
     for _ in range(200):  # a short logistic regression on one number
         p = sigmoid(a * strongest + b)

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from tidewatch.llm import gru
 from tidewatch.llm.common import append_columns
 from tidewatch.llm.samples import labelled_sample
+from tidewatch.llm.tokens import word_tokenizer
 
 #: Documents of each class and characters in all that the network is trained on, at most.
-TRAIN_ROWS, TRAIN_CHARS = 1500, 16_000_000
+TRAIN_ROWS, TRAIN_CHARS = 1500, 5_000_000
 #: Texts that are scored together.
 TEXTS = 500
 
@@ -35,6 +36,8 @@ def score_toxicity(docs: DataFrame, scorer: gru.Scorer) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((scorer.network.p, scorer.scale))
 
     def score(batches: Iterator[list[str]]) -> Iterator[list[pa.Array]]:
+        # A worker that tokenised before gives its memory of words back.
+        word_tokenizer.cache_clear()
         network = gru.Network.__new__(gru.Network)
         network.p, scale = shared.value
         own = gru.Scorer(network, scale)
