@@ -103,6 +103,8 @@ class Difference:
 def train_difference(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Difference:
     """Background from all documents, target from all documents whose label is 1."""
     chosen = labels.filter(F.col(label) == 1).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    # Labels grow with the documents: the join is the same at every size, never a broadcast.
+    chosen = chosen.hint("shuffle_hash")
     return Difference(Model(id_and_text(docs).join(chosen, "doc_id", "left_semi")), Model(docs))
 
 
