@@ -119,6 +119,16 @@ def test_jaccard_query_against_brute_force(spark):
     assert got == plain_components(docs)
 
 
+def test_jaccard_sql_agrees_with_brute_force():
+    import duckdb
+
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    docs = db.sql("SELECT doc_id, text FROM documents").fetchall()
+    rows = db.sql(f"SELECT doc_id, n_shingles, component_id FROM ({ORACLE['op5_jaccard_join']})").fetchall()
+    assert {i: (n, c) for i, n, c in rows} == plain_components(docs)
+
+
 @pytest.mark.parametrize("bits", [16, 20])
 def test_jaccard_near_the_threshold(spark, corpus, bits, monkeypatch):
     """Loose families, a passage that many share, chains of edits; with few minimum hashes the lists have to find the links."""

@@ -18,6 +18,13 @@ def test_fold_is_the_crc_of_the_text(spark):
         assert r.f == zlib.crc32(b"" if r.doc_id is None else str(r.doc_id).encode()) % 3
 
 
+def test_hash_bound_takes_its_share(spark):
+    from tidewatch.llm.samples import hash_below
+
+    share = spark.range(20_000).filter(F.xxhash64("id") <= hash_below(0.25)).count() / 20_000
+    assert 0.23 < share < 0.27 and hash_below(5) == 2**63 - 1 and hash_below(0) == -(2**63)
+
+
 def test_sample_is_bounded_and_keeps_to_its_fold(spark, corpus):
     docs = corpus([(i, f"text {i}") for i in range(200)] + [(3, "again")])
     labels = spark.createDataFrame([(i, i % 2) for i in range(300)] + [(4, 0), (5, None), (None, 1)], "doc_id long, toxic int")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,15 +22,22 @@ from tidewatch.llm import (
 )
 from tidewatch.llm.samples import fold
 from tidewatch.llm.tokens import default_vocabulary
-from tidewatch.session import work_dir
+from tidewatch.session import ship_package, work_dir
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(build):
-    REGISTRY[build.__name__] = build
-    return build
+    """Registers a query under its function name."""
+
+    @functools.wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return build(spark, sf_dir)
+
+    REGISTRY[build.__name__] = run
+    return run
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +134,34 @@ def op8_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.exact_groups(documents(spark, sf_dir))
 
 
+ORACLE["op5_jaccard_join"] = r"""
+WITH RECURSIVE
+words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 75 * (any_value(p.n) + any_value(q.n) - count(*))
+),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y
+)
+SELECT d.doc_id, coalesce(any_value(z.n), 0) AS n_shingles, min(r.y) AS component_id
+FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
 ORACLE["op8_content_sort"] = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

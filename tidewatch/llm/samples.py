@@ -13,6 +13,11 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % folds
 
 
+def hash_below(share: float) -> int:
+    """The 64-bit hash below which about this share of all hashes lie."""
+    return min(2**63 - 1, int(-(2**63) + min(max(share, 0.0), 1.0) * 2**64))
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int, chars: int
 ) -> tuple[list[str], list[int]]:
@@ -26,7 +31,14 @@ def labelled_sample(
         .filter(usable & F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
         .withColumn("place", F.xxhash64("doc_id"))
     )
-    picked = [known.filter(F.col("label") == k).orderBy("place", "doc_id").limit(rows) for k in (0, 1)]
+    # A bound on the hash, twice the share that is wanted, keeps tasks from sending rows that cannot be among the smallest.
+    totals = {row.label: row.n for row in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    picked = [
+        known.filter((F.col("label") == k) & (F.col("place") <= hash_below((2 * rows + 100) / totals.get(k, 1))))
+        .orderBy("place", "doc_id")
+        .limit(rows)
+        for k in (0, 1)
+    ]
     chosen = picked[0].union(picked[1]).dropDuplicates(["doc_id"])
     found = id_and_text(docs).join(chosen, "doc_id")
     order = sorted(

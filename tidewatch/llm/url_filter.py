@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.boosting import Boosted, train
+from tidewatch.llm.samples import hash_below
 
 #: Labelled URLs that the trees are trained on, at most. Statistics cover all labelled URLs.
 TRAIN_ROWS = 8192
@@ -107,7 +108,7 @@ def judge_urls(
     """Verdicts on URLs: ``page_id, host, path, rule, verdict, score``.
 
     The longest fitting rule decides. URLs with a rule are the labelled ones: suffix statistics count all of
-    them, and the trees learn from at most ``train_rows`` of them, those with the smallest hash. A URL without a
+    them, and the trees learn from at most ``train_rows`` of them, those with the smallest hash of id and URL. A URL without a
     rule is blocked when the trees' probability (``score``) is ``block_at`` or more.
 
     A null URL and one without ``://`` have an empty host and path and are judged by the trees. Without
@@ -119,10 +120,13 @@ def judge_urls(
     urls = urls.withColumn("host", host).withColumn("path", path)
     urls = urls.withColumn("found", rule_match(F.col("host"), F.col("path"), rules))
     labelled = urls.filter("found IS NOT NULL").select(
-        "url", "host", "path", (F.col("found.verdict") == "block").cast("int").alias("blocked")
+        "url", "host", "path", (F.col("found.verdict") == "block").cast("int").alias("blocked"),
+        F.xxhash64("page_id", "url").alias("place"),
     )
     rates, counts = suffix_statistics(labelled)
-    sample = labelled.withColumn("_order", F.xxhash64("url")).orderBy("_order", "url").limit(train_rows).collect()
+    # The last label and the last two of each labelled URL were counted. Only rows that can be in the sample leave their task.
+    bound = hash_below((2 * train_rows + 100) / max(1.0, counts.sum() / 2))
+    sample = labelled.filter(F.col("place") <= bound).orderBy("place", "url").limit(train_rows).collect()
     x = [features(row.url, row.host, row.path, rates, counts) for row in sample]
     model: Boosted = train(np.array(x, dtype=float), np.array([row.blocked for row in sample], dtype=float))
 
