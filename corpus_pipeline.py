@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import content_sort, jaccard, queries, tiling, toxicity
-from tidewatch.session import work_dir
+from tidewatch.session import ship_package, work_dir
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,6 +50,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, applied to ``documents``."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = work_dir(spark, f"pipeline-{name}")
