@@ -171,3 +171,33 @@ def test_divide_retains_what_can_reach_the_overlap():
     assert list(jaccard.divide(short, 8, 75)) == [1]
     assert jaccard.probe(np.array([1, 5, 9], np.uint64), np.array([0, 1, 9, 11], np.uint64)) == 2
     assert jaccard.least_overlap(8) == 6 and jaccard.least_overlap(8, 8) == 7
+
+
+def test_divide_keeps_a_longer_document_met_by_a_shorter_query():
+    """The document's rare shingles push those that it shares out of its short part, so few of them are met."""
+    # 100 and 120 shingles, 95 shared: 94 are needed, the short parts hold 26 and 31, of which the document has 25 of its own.
+    assert list(jaccard.divide([[(1, 120)]] * 6, 100, 75)) == [1]
+    assert list(jaccard.divide([[(1, 120)]] * 4, 100, 75)) == []
+    # The larger of both sets counts, whichever side asks.
+    assert list(jaccard.divide([[(1, 100)]] * 6, 120, 75)) == [1]
+
+
+def test_lists_alone_find_insertions(spark, corpus, monkeypatch):
+    """No leaders: every link between texts with insertions over shared passages has to come from the lists."""
+    monkeypatch.setattr(jaccard, "meet_leaders", lambda candidates: candidates.sparkSession.createDataFrame([], jaccard.PAIR_SCHEMA))
+    monkeypatch.setattr(jaccard, "LIST_BLOCK", 8)
+    rng = random.Random(1)
+    word = lambda: f"w{rng.randrange(100_000)}"
+    passages = [[word() for _ in range(30)] for _ in range(4)]
+    texts = []
+    for _ in range(40):
+        base = [*rng.choice(passages), *(word() for _ in range(70))]
+        at = rng.randrange(len(base))
+        longer = [*base[:at], *(word() for _ in range(rng.randint(15, 27))), *base[at:]]
+        pair = [" ".join(base), " ".join(longer)]
+        rng.shuffle(pair)
+        texts += pair
+    docs = list(enumerate(texts))
+    want = plain_components(docs)
+    assert len({name for _, name in want.values()}) < 60
+    assert spark_components(corpus(docs)) == want
