@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import counters, gru, language_model, neighbours, toxicity
 from tidewatch.llm.queries import REGISTRY
-from tidewatch.llm.samples import fold, labelled_sample
+from tidewatch.llm.samples import fitting, fold, labelled_sample
 from tidewatch.llm.words import WordIds
 
 LARGER = "/root/testdata/sf0.01"
@@ -39,6 +39,23 @@ def test_sample_is_bounded_and_keeps_to_its_fold(spark, corpus):
     assert labelled_sample(docs.limit(0), labels, "toxic", F.lit(True), 5, 100) == ([], [])
 
 
+def test_long_text_does_not_end_the_sample():
+    # One text over the whole budget comes first, and the frequent class would use up what the rare one needs.
+    order = [(0, 1, 5000), *((i, int(i % 10 == 0), 30) for i in range(1, 101))]
+    taken = fitting(order, 1000)
+    assert 0 not in taken and sum(30 for _ in taken) <= 1000 and len(taken) == 33
+    assert sum(i % 10 == 0 for i in taken) == 10
+    # What one class leaves goes to the other.
+    assert fitting([(i, 0, 10) for i in range(20)], 100) == list(range(10))
+
+
+def test_long_text_is_skipped_on_tables(spark, corpus):
+    docs = corpus([(i, "x" * (3000 if i == 0 else 20)) for i in range(40)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    texts, marks = labelled_sample(docs, labels, "toxic", F.lit(True), 50, 1000)
+    assert len(texts) == 39 and sum(marks) == 20
+
+
 def test_gradients_of_the_network():
     rng = np.random.default_rng(1)
     net = gru.Network(3)

@@ -18,13 +18,33 @@ def hash_below(share: float) -> int:
     return min(2**63 - 1, int(-(2**63) + min(max(share, 0.0), 1.0) * 2**64))
 
 
+def fitting(order: list[tuple[int, int, int]], chars: int) -> list[int]:
+    """Names of the rows ``(name, label, size)``, in this order, that fit into ``chars`` characters.
+
+    First each class fills its half; what is left then takes rows of either class. Only what is taken counts.
+    """
+    taken: set[int] = set()
+    left = {label: chars // 2 for label in (0, 1)}
+    for name, label, size in order:
+        if size <= left[label]:
+            taken.add(name)
+            left[label] -= size
+    rest = chars - sum(chars // 2 - x for x in left.values())
+    for name, _, size in order:
+        if name not in taken and size <= rest:
+            taken.add(name)
+            rest -= size
+    return [name for name, _, _ in order if name in taken]
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int, chars: int
 ) -> tuple[list[str], list[int]]:
     """Texts and labels of at most ``rows`` documents for each class and ``chars`` characters in all, on the driver.
 
     ``usable`` says, from ``doc_id``, which rows may be learnt from. Those with the smallest hash of the identifier are taken, so the
-    sample doesn't depend on how the tables are cut. Null labels and rows without a document are left out.
+    sample doesn't depend on how the tables are cut. Each class has half of the characters, and what the other one leaves; a text
+    that doesn't fit is skipped, those behind it still enter. Null labels and rows without a document are left out.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -44,11 +64,7 @@ def labelled_sample(
     order = sorted(
         found.select("place", "doc_id", "label", F.length("text").alias("size")).dropDuplicates(["doc_id"]).collect()
     )
-    taken, total = [], 0
-    for row in order:
-        total += row.size
-        if total <= chars:
-            taken.append(row.doc_id)
+    taken = fitting([(row.doc_id, row.label, row.size) for row in order], chars)
     texts = found.filter(F.col("doc_id").isin(taken)).select("place", "doc_id", "label", "text").dropDuplicates(["doc_id"])
     kept = sorted(texts.collect(), key=lambda row: (row.place, row.doc_id))
     return [row.text for row in kept], [row.label for row in kept]
