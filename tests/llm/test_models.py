@@ -216,6 +216,34 @@ def test_language_models_against_plain_counts(spark, corpus):
     assert language_model.score_difference(corpus([]), language_model.train_difference(docs, labels)).count() == 0
 
 
+def test_unlike_words_never_share_a_count(spark, corpus, monkeypatch):
+    """Two words that shared a cell of 2^22, and pairs in more buckets than one, with and without hot words: all counts stay exact."""
+    seen, twin = {}, None
+    words = WordIds()
+    for i in range(100_000):
+        cell = int(words[f"w{i}".encode()]) >> (64 - 22)
+        if cell in seen:
+            twin = (seen[cell], f"w{i}")
+            break
+        seen[cell] = f"w{i}"
+    once, often = twin
+    docs = corpus([(0, f"a {once} b a"), (1, f"{often} a {often} b"), (2, f"b {often} a")])
+    labels = spark.createDataFrame([(1, 1), (0, 0)], "doc_id long, quality int")
+    got = []
+    for share in (0.0, 1.0):
+        model = language_model.train_difference(docs, labels, hot_share=share)
+        assert (model.every, model.mine, model.size, model.unknown_every, model.unknown_mine) == (11, 4, 4, 1, 0)
+        assert len(model.hot[0]) == (4 if share == 0 else 0)
+        got.append({r.doc_id: r.score for r in language_model.score_difference(docs, model).collect()})
+    assert got[0] == pytest.approx(got[1], abs=1e-12)
+    # Text 0, by hand: a, the unknown word, b, a. Words and pairs of target (4, 1 a, 2 often, 1 b) and background (11, 4 a, 3 often, 3 b, 1 once).
+    mine = [4 * 2 / 8, (4 * 1 / 8) / 5, 4 * 2 / 8 / 4, (4 * 2 / 8) / 5]
+    every = [4 * 5 / 15, (4 * 2 / 15) / 8, 4 * 4 / 15 / 5, (1 + 4 * 5 / 15) / 7]
+    mine[0], every[0] = mine[0] / 4, every[0] / 4
+    mine[2], every[2] = (4 * 2 / 8) / 4, (1 * 1 + 4 * 4 / 15) / 5
+    assert got[0][0] == pytest.approx(float(np.mean(np.log(mine) - np.log(every))), abs=1e-9)
+
+
 def test_language_model_query_prefers_good_documents(spark):
     rows = REGISTRY["op6_language_models"](spark, LARGER)
     marks = spark.read.parquet(f"{LARGER}/labels.parquet")

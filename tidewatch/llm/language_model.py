@@ -1,28 +1,42 @@
-"""Cross-entropy difference of a target and a background bigram model."""
+"""Cross-entropy difference of a target and a background bigram model, with exact counts."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import id_and_text, slices
-from tidewatch.llm.counters import BLOB_ARROW, BLOB_SCHEMA, CHUNK_BITS, gather, pack_counts
 from tidewatch.llm.words import FACTORS, WordIds, mix
-from tidewatch.sources.tables import stored
+from tidewatch.sources.tables import Scratch, stored
 
-#: Cells of the tables of word and of word-pair counts, as powers of two.
-WORD_BITS, PAIR_BITS = 22, 23
 #: Occurrences in the background that make a word one of the vocabulary.
 LEAST = 2
 #: Weight of the word's own probability in that of a pair.
 PRIOR = 4.0
-FLUSH = 1 << 22
 #: Stands before the first word of a text.
 START = np.uint64(0x5EED)
+#: Least buckets of the tables, words of one, and words that a task counts before it sends them on.
+BUCKETS, BUCKET_WORDS = 64, 2_000_000
+FLUSH = 1 << 20
+#: A word with more than this share of all occurrences of the words is known to every task, and its pairs are dealt by pair.
+HOT_SHARE = 1 / 20_000
+
+KEYED_SCHEMA = "bucket long, name long, docs boolean, cells binary"
+_KEYED = pa.schema([("bucket", pa.int64()), ("name", pa.int64()), ("docs", pa.bool_()), ("cells", pa.binary())])
+#: Columns of packed records: word, pair, document, occurrences, occurrences with a word behind, counted how, has a word before.
+RECORD = ("<u8", "<u8", "<u4", "<u4", "<u4", "u1", "u1")
+#: Columns of packed documents: place in the slice, identifier and whether there is one, words, what is known of the sum.
+DOC = ("<u4", "<i8", "u1", "<i8", "<f8")
+#: How a document is counted: in the background, in the target too, or not at all.
+BACKGROUND, TARGET, NEITHER = 0, 1, 2
 
 
 def pairs(ids: np.ndarray) -> np.ndarray:
@@ -31,100 +45,284 @@ def pairs(ids: np.ndarray) -> np.ndarray:
     return mix(before * FACTORS[0] + ids * FACTORS[1])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed counts of the words and pairs of a partition; chunks of pairs follow those of words."""
-    words, held, size = WordIds(), [], 0
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length as compressed bytes."""
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(x).tobytes() for x in columns))
+
+
+def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n, at, out = len(raw) // sum(np.dtype(k).itemsize for k in kinds), 0, []
+    for kind in kinds:
+        out.append(np.frombuffer(raw, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    return out
+
+
+def groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by these keys, the first one leading, and where in it a new combination begins."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for key in keys:
+        own = key[order]
+        new[1:] |= own[1:] != own[:-1]
+    return order, np.flatnonzero(new)
+
+
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def cut(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Bucket, begin and end of the runs of a sorted array."""
+    begins = np.flatnonzero(np.diff(bucket, prepend=-1))
+    yield from zip(bucket[begins].tolist(), begins.tolist(), np.append(begins[1:], len(bucket)).tolist(), strict=True)
+
+
+def keyed(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), _KEYED, strict=True)], schema=_KEYED)
+
+
+def _count_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Occurrences of words in all documents and in those of the target, added up for each run of ``FLUSH`` words."""
+    words, held, marks, size = WordIds(), [], [], 0
 
     def flush() -> pa.RecordBatch:
-        ids = np.concatenate([own for own, _ in held])
-        pair = np.concatenate([own for _, own in held])
-        first = pack_counts((ids >> np.uint64(64 - WORD_BITS)).astype(np.uint32))
-        second = pack_counts((pair >> np.uint64(64 - PAIR_BITS)).astype(np.uint32), 1 << (WORD_BITS - CHUNK_BITS))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(first[0] + second[0], pa.int32()), pa.array(first[1] + second[1], pa.binary())], schema=BLOB_ARROW
-        )
+        ids, mark = np.concatenate(held), np.repeat(marks, [len(x) for x in held])
+        names, at = np.unique(ids, return_inverse=True)
+        every, mine = np.bincount(at, minlength=len(names)), np.bincount(at, mark, minlength=len(names)).astype(np.int64)
+        return keyed([(b, None, False, pack(names[i:j], every[i:j], mine[i:j])) for b, i, j in cut(bucket_of(names, buckets))])
 
-    for _, texts in slices(batches):
-        for text in texts:
-            ids = words.of(text)
-            if len(ids):
-                held.append((ids, pairs(ids)))
-                size += len(ids)
-        if size >= FLUSH:
-            yield flush()
-            held, size = [], 0
+    for batch in batches:
+        place = 0
+        mark = batch.column(2).to_pylist()
+        for _, texts in slices([batch]):
+            for text in texts:
+                ids = words.of(text)
+                if len(ids):
+                    held.append(ids)
+                    marks.append(mark[place])
+                    size += len(ids)
+                place += 1
+            if size >= FLUSH:
+                yield flush()
+                held, marks, size = [], [], 0
     if size:
         yield flush()
 
 
-class Model:
-    """Counts of words and of pairs of one corpus."""
+def _by(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[tuple[int, list[tuple]]]:
+    """The rows ``(bucket, name, docs, blob)`` of each bucket or name of a sorted partition, one at a time."""
+    current, held = None, []
+    for batch in batches:
+        for row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            if row[key] != current:
+                if held:
+                    yield current, held
+                current, held = row[key], []
+            held.append(row)
+    if held:
+        yield current, held
 
-    def __init__(self, docs: DataFrame):
-        blobs = stored(id_and_text(docs).mapInArrow(_count, BLOB_SCHEMA), "model-counts")
-        edge = 1 << (WORD_BITS - CHUNK_BITS)
-        self.words = gather(blobs.filter(F.col("chunk") < edge), WORD_BITS).view("<u4")
-        behind = blobs.filter(F.col("chunk") >= edge).select((F.col("chunk") - edge).alias("chunk"), "cells")
-        self.pairs = gather(behind, PAIR_BITS).view("<u4")
-        self.total = int(self.words.sum(dtype=np.int64))
 
-    def chances(self, ids: np.ndarray, pair: np.ndarray, known: np.ndarray, unknown: int, size: int) -> np.ndarray:
-        """Log probability of each word after the one before it."""
-        shift = np.uint64(64 - WORD_BITS)
-        own = np.where(known, self.words[ids >> shift], unknown).astype(float)
-        alone = (own + 1) / (self.total + size)
-        before = np.concatenate([[0.0], self.words[ids[:-1] >> shift]])
-        both = np.minimum(self.pairs[pair >> np.uint64(64 - PAIR_BITS)], before)
-        both[0] = 0.0
-        return np.log((both * known + PRIOR * alone) / (before + PRIOR))
+def _add_words(batches: Iterator[pa.RecordBatch], hot_from: float, least: int) -> Iterator[pa.RecordBatch]:
+    """For each bucket: occurrences, those of words outside the vocabulary, its size; and the words that are hot."""
+    for _, held in _by(batches, 0):
+        ids, every, mine = (np.concatenate(x) for x in zip(*(unpack(row[3], "<u8", "<i8", "<i8") for row in held), strict=True))
+        names, at = np.unique(ids, return_inverse=True)
+        every, mine = (np.bincount(at, x, minlength=len(names)).astype(np.int64) for x in (every, mine))
+        known, hot = every >= least, every > hot_from
+        sums = [int(every.sum()), int(mine.sum()), int(every[~known].sum()), int(mine[~known].sum()), int(known.sum())]
+        yield pa.RecordBatch.from_pydict(
+            {"sums": [sums], "hot": [pack(names[hot], every[hot], mine[hot])]},
+            schema=pa.schema([("sums", pa.list_(pa.int64())), ("hot", pa.binary())]),
+        )
 
 
+@dataclass
 class Difference:
-    """Target and background over one vocabulary: the cells of words with ``LEAST`` or more in the background."""
-
-    def __init__(self, target: Model, background: Model):
-        self.target, self.background = target, background
-        self.known = background.words >= LEAST
-        self.size = int(self.known.sum()) + 1
-        self.unknown = [int(model.words[~self.known].sum(dtype=np.int64)) for model in (target, background)]
-
-    def score(self, ids: np.ndarray) -> float | None:
-        """Background loss minus target loss in nats a word; above 0 the text is more like the target."""
-        if not len(ids):
-            return None
-        pair, known = pairs(ids), self.known[ids >> np.uint64(64 - WORD_BITS)]
-        mine, other = (
-            model.chances(ids, pair, known, unknown, self.size)
-            for model, unknown in zip((self.target, self.background), self.unknown, strict=True)
-        )
-        return float((mine - other).mean())
+    """What every task knows of the two models, target and background: totals, and the counts of hot words. ``marked`` are the documents of ``docs`` learnt from."""
+
+    docs: DataFrame
+    marked: DataFrame
+    buckets: int
+    every: int = 0
+    mine: int = 0
+    unknown_every: int = 0
+    unknown_mine: int = 0
+    size: int = 1
+    hot: tuple[np.ndarray, ...] = ()
 
 
-def train_difference(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Difference:
-    """Background from all documents, target from all documents whose label is 1."""
+def mark_target(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id, text, mark``: 1 where a label says that the document belongs to the target."""
     chosen = labels.filter(F.col(label) == 1).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     # Labels grow with the documents: the join is the same at every size, never a broadcast.
-    chosen = chosen.hint("shuffle_hash")
-    return Difference(Model(id_and_text(docs).join(chosen, "doc_id", "left_semi")), Model(docs))
+    chosen = chosen.withColumn("mark", F.lit(TARGET)).hint("shuffle_hash")
+    return id_and_text(docs).join(chosen, "doc_id", "left").select("doc_id", "text", F.coalesce("mark", F.lit(BACKGROUND)).alias("mark"))
 
 
-def score_difference(docs: DataFrame, difference: Difference) -> DataFrame:
-    """``doc_id, n_words, score`` of every whole text: mean difference of the two models' losses for each word.
+def train_difference(docs: DataFrame, labels: DataFrame, label: str = "quality", bucket_words: int = BUCKET_WORDS, hot_share: float = HOT_SHARE) -> Difference:
+    """Background from all documents, target from all documents whose label is 1: exact totals of words."""
+    marked = stored(mark_target(docs, labels, label), "marked")
+    # A word takes about six characters as a rule; only the cut into buckets and what is hot depend on this.
+    chars = marked.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(BUCKETS, math.ceil(chars / 6 / bucket_words))
+    counted = stored(marked.mapInArrow(lambda batches: _count_words(batches, buckets), KEYED_SCHEMA), "words")
+    hot_from = chars / 6 * hot_share
+    added = counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        lambda batches: _add_words(batches, hot_from, LEAST), "sums array<long>, hot binary"
+    )
+    out = Difference(docs, marked, buckets)
+    names = [np.zeros(0, "<u8")], [np.zeros(0, "<i8")], [np.zeros(0, "<i8")]
+    for row in added.toLocalIterator():
+        every, mine, unknown_every, unknown_mine, known = row.sums
+        out.every, out.mine, out.size = out.every + every, out.mine + mine, out.size + known
+        out.unknown_every, out.unknown_mine = out.unknown_every + unknown_every, out.unknown_mine + unknown_mine
+        for own, found in zip(names, unpack(row.hot, "<u8", "<i8", "<i8"), strict=True):
+            own.append(found)
+    hot, every, mine = map(np.concatenate, names)
+    order = np.argsort(hot)
+    out.hot = hot[order], every[order], mine[order]
+    return out
 
-    Both models count every word and pair of their documents; the packed counts that tasks send grow with the corpus, the tables that they are
-    added up in have a fixed number of cells, so the broadcast does too. A clash of two words in a cell adds their counts. Scoring is one
-    pass without a shuffle. Null and empty texts have no words and a null score. Repeated rows and null identifiers keep their rows; other columns
-    are not read. An empty table gives no rows.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(difference)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, model = WordIds(), shared.value
-        for ids, texts in slices(batches):
+def find(sorted_names: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ids in a sorted array, and whether they are there."""
+    if not len(sorted_names):
+        return np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+    at = np.minimum(np.searchsorted(sorted_names, ids), len(sorted_names) - 1)
+    return at, sorted_names[at] == ids
+
+
+def _deal(batches: Iterator[pa.RecordBatch], shared, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The documents to score of each slice, and its distinct pairs, cut into buckets.
+
+    A pair goes where all occurrences of its second word go, so that word's and pair's counts meet there. The pairs of a
+    hot word are dealt by pair; the word's counts are known.
+    """
+    words, (hot, hot_every, hot_mine) = WordIds(), shared.value
+    name = TaskContext.get().partitionId() << 40
+    for batch in batches:
+        marks, scored = (np.array(batch.column(k).to_pylist(), dtype=np.uint8) for k in (2, 3))
+        place = 0
+        for doc_ids, texts in slices([batch]):
+            n = len(texts)
+            mark, wanted = marks[place : place + n], np.flatnonzero(scored[place : place + n])
+            place += n
             own = [words.of(text) for text in texts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array([model.score(x) for x in own], pa.float64())],
-                names=["doc_id", "n_words", "score"],
-            )
+            lengths = np.array([len(x) for x in own], dtype=np.int64)
+            ids, pair = np.concatenate(own), np.concatenate([pairs(x) for x in own])
+            doc = np.repeat(np.arange(n), lengths)
+            first, last = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+            ends = lengths.cumsum()
+            first[(ends - lengths)[lengths > 0]] = True
+            last[ends[lengths > 0] - 1] = True
+            at, is_hot = find(hot, ids)
+            # What a hot word gives as the word before another is known here.
+            gives, use = np.zeros(len(ids)), is_hot & ~last
+            gives[use] = np.log(hot_every[at[use]] + PRIOR) - np.log(hot_mine[at[use]] + PRIOR)
+            given = np.bincount(doc, gives, minlength=n)
+            rows = []
+            if len(wanted):
+                has = np.array([x is not None for x in doc_ids])
+                numbers = np.array([x or 0 for x in doc_ids], dtype=np.int64)
+                columns = zip((wanted, numbers[wanted], has[wanted], lengths[wanted], given[wanted]), DOC, strict=True)
+                rows.append((name % buckets, name, True, pack(*(x.astype(kind) for x, kind in columns))))
+            if len(ids):
+                key = np.where(is_hot, pair, ids)
+                order, begins = groups(key, pair, doc)
+                behind = np.add.reduceat((~last & ~is_hot)[order].astype(np.int64), begins)
+                kept, times = order[begins], np.diff(begins, append=len(order))
+                columns = [ids[kept], pair[kept], doc[kept], times, behind, mark[doc[kept]], ~first[kept]]
+                columns = [x.astype(kind) for x, kind in zip(columns, RECORD, strict=True)]
+                rows += [(b, name, False, pack(*(x[i:j] for x in columns))) for b, i, j in cut(bucket_of(key[kept], buckets))]
+            if rows:
+                yield keyed(rows)
+            name += 1
+
+
+def _weigh(batches: Iterator[pa.RecordBatch], shared, totals: tuple[tuple[int, int], tuple[int, int], int]) -> Iterator[pa.RecordBatch]:
+    """What the pairs of a bucket add to the sum of each document, from exact counts: all occurrences are here."""
+    hot, hot_every, hot_mine = shared.value
+    for bucket, held in _by(batches, 0):
+        docs, held = [row for row in held if row[2]], [row for row in held if not row[2]]
+        if docs:
+            yield keyed(docs)
+        if not held:
+            continue
+        parts = [unpack(row[3], *RECORD) for row in held]
+        ends = np.cumsum([len(x[0]) for x in parts])
+        names = [row[1] for row in held]
+        ids, pair, doc, times, behind, mark, joined = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts, held
+        order, begins = groups(ids, pair)
+        both = np.empty(len(ids), np.int32)
+        both[order] = np.repeat(np.arange(len(begins), dtype=np.int32), np.diff(begins, append=len(ids)))
+        vocabulary, word_of_pair = np.unique(ids[order[begins]], return_inverse=True)
+        del order
+        word = word_of_pair[both]
+        at, is_hot = find(hot, vocabulary)
 
-    return id_and_text(docs).mapInArrow(score, "doc_id long, n_words long, score double")
+        def count(counted: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            of_words = np.bincount(word, times * counted, minlength=len(vocabulary))
+            of_words[is_hot] = known[at[is_hot]]
+            return of_words, np.bincount(both, times * (counted & joined), minlength=len(begins))
+
+        every, pair_every = count((mark != NEITHER).astype(np.uint8), hot_every)
+        mine, pair_mine = count((mark == TARGET).astype(np.uint8), hot_mine)
+        known = every >= LEAST
+        delta = np.zeros(len(ids))
+        # Target minus background. What a word gives as the word before another comes with its own records.
+        for sign, own, twice, (total, unknown) in ((1.0, mine, pair_mine, totals[0]), (-1.0, every, pair_every, totals[1])):
+            alone = PRIOR * (np.where(known, own, unknown) + 1) / (total + totals[2])
+            twice = twice * known[word_of_pair]
+            delta += sign * (times * np.log(twice[both] * joined + alone[word]) - behind * np.log(own + PRIOR)[word])
+        begin = 0
+        for name, end in zip(names, ends.tolist(), strict=True):
+            sums = np.bincount(doc[begin:end], delta[begin:end])
+            met = np.unique(doc[begin:end])
+            begin = end
+            yield keyed([(bucket, name, False, pack(met.astype("<u4"), sums[met]))])
+
+
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of each slice's documents over all buckets, whose rows come slice by slice."""
+    for _, held in _by(batches, 1):
+        docs = [row[3] for row in held if row[2]]
+        if not docs:
+            continue
+        place, numbers, has, lengths, total = (x.copy() for x in unpack(docs[0], *DOC))
+        for _, _, _, blob in sorted((row for row in held if not row[2]), key=lambda row: row[0]):
+            met, sums = unpack(blob, "<u4", "<f8")
+            at, there = find(place, met)
+            total[at[there]] += sums[there]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(numbers, mask=has == 0), pa.array(lengths), pa.array(total / np.maximum(lengths, 1), mask=lengths == 0)],
+            names=["doc_id", "n_words", "score"],
+        )
+
+
+def score_difference(docs: DataFrame, difference: Difference) -> DataFrame:
+    """``doc_id, n_words, score`` of every whole text: mean difference of the two models' losses for each word; above 0 it is more like the target.
+
+    Counts of words and pairs are exact up to clashes of 64-bit hashes, and grow with the corpus. One shuffle sends the distinct pairs
+    of each slice of documents, those learnt from and those scored, to the bucket of their second word; there its and their counts are
+    added up over the corpus and give what each document gets. A second shuffle adds that up. Hot words, whose number is bounded by
+    their share, are known to all tasks, and their pairs are spread by pair. Null and empty texts have no words and a null
+    score. Repeated rows and null identifiers keep their rows; other columns are not read. An empty table gives no rows.
+    """
+    d = difference
+    learnt = d.marked.withColumn("scored", F.lit(docs is d.docs))
+    if docs is not d.docs:
+        others = id_and_text(docs).select("doc_id", "text", F.lit(NEITHER).alias("mark"), F.lit(True).alias("scored"))
+        # Stored: slices must be the same if a task is run again.
+        learnt = stored(learnt.union(others), "learnt-and-scored")
+    shared = docs.sparkSession.sparkContext.broadcast(d.hot)
+    totals, buckets = ((d.mine, d.unknown_mine), (d.every, d.unknown_every), d.size), d.buckets
+    dealt = learnt.mapInArrow(lambda batches: _deal(batches, shared, buckets), KEYED_SCHEMA)
+    weighed = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        lambda batches: _weigh(batches, shared, totals), KEYED_SCHEMA
+    )
+    return weighed.repartition("name").sortWithinPartitions("name").mapInArrow(_finish, "doc_id long, n_words long, score double")
