@@ -156,3 +156,18 @@ def test_bm25_scores_against_the_formula():
                 if (tf := int((docs[d] == t).sum()))
             )
             assert shard.scores(q)[d] == pytest.approx(want, rel=1e-5)
+
+
+def test_related_documents_far_apart_share_a_window(spark, monkeypatch):
+    """Topics dealt round robin over a file of many shards: neighbours lie in other shards of the file's order."""
+    monkeypatch.setattr(packing, "SHARD_DOCS", 8)
+    nouns = ["river", "castle", "engine", "violin", "doctor", "market", "winter", "planet", "forest", "dragon", "window", "orange", "soldier", "camera", "kitchen", "pencil"]
+    docs = [(i, " ".join([nouns[i % 16]] * 6 + [nouns[(i * 7) % 16]])) for i in range(128)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    pieces = packing.pack_documents(frame, default_vocabulary(), window=32).collect()
+    filled = {}
+    for p in pieces:
+        filled.setdefault(p.sequence_id, []).append(p.doc_id % 16)
+    several = [x for x in filled.values() if len(x) > 1]
+    same = sum(len(set(x)) == 1 for x in several) / len(several)
+    assert len(several) > 20 and same > 0.6

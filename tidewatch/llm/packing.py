@@ -61,6 +61,30 @@ def term_table(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return keys[first] >> 32, keys[first] & 0xFFFFFFFF, counts
 
 
+def content_key(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray, holders: np.ndarray, least: int) -> int:
+    """The three heaviest terms of a document that ``least`` documents or more hold, as one number: documents near in it are related."""
+    use = holders[terms] >= least
+    terms, tf = terms[use], tf[use]
+    weight = idf[terms] * tf * (K1 + 1) / (tf + K1)
+    key = 0
+    for k in range(3):
+        best = -1
+        if k < len(terms):
+            best = int(np.lexsort((terms, -weight))[0])
+            weight[best] = -np.inf
+        key = key << 21 | (int(terms[best]) + 1 if best >= 0 else 0)
+    return key
+
+
+def _keys(batches: Iterator[pa.RecordBatch], dtype: str, idf: np.ndarray, holders: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = []
+        for raw in batch.column(1).to_pylist():
+            terms, tf = np.unique(np.frombuffer(raw, dtype), return_counts=True)
+            keys.append(content_key(terms, tf, idf, holders, least))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.int64())], names=["doc_id", "ids", "key"])
+
+
 class Shard:
     """An inverted index with BM25 weights over some hundred documents.
 
@@ -173,9 +197,10 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, window: in
 
     First pass: tokenise into a table in the shared folder and count, over all documents, how many hold each id
     of the vocabulary (one number for each id of the vocabulary goes to the driver, whatever the input).
-    Second pass: each partition cuts its documents into shards of at most 512 documents, builds each shard's inverted
-    index with those global weights and packs it (``pack_shard``). Nothing is shuffled; the memory of a task
-    is one shard. Every id lies in exactly one piece; padding occurs in the last window of a shard alone.
+    Second pass: a range shuffle by content (``content_key``, then a hash, so that a hot key spreads) brings related
+    documents of the whole input together, wherever they lay; each partition cuts its documents into shards of at most 512, builds each shard's inverted
+    index with those global weights and packs it (``pack_shard``). A neighbour outside the shard is not returned. The memory of a task
+    is one shard beside the sort. Every id lies in exactly one piece; padding occurs in the last window of a shard alone.
 
     Null and empty texts consist of the end id. Rows repeated in the input are packed each. Null identifiers
     stay null. An empty table gives no pieces. Piece ids are 4-byte little-endian numbers.
@@ -208,6 +233,11 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, window: in
     idf = np.log1p((lengths.docs - holders + 0.5) / (holders + 0.5))
     mean_length = (lengths.total or 0) / max(lengths.docs, 1)
     dtype = tokenizer.dtype.str
-    return tokens.filter("ids IS NOT NULL").select("doc_id", "ids").mapInArrow(
-        lambda batches: _pack(batches, dtype, idf, mean_length, window), PIECE_SCHEMA
+    # A key term has so many holders that its documents can fill a good part of a shard; fewer where the input is small.
+    least = max(2, min(SHARD_DOCS // 4, lengths.docs // 50))
+    keyed = tokens.filter("ids IS NOT NULL").select("doc_id", "ids").mapInArrow(
+        lambda batches: _keys(batches, dtype, idf, holders, least), "doc_id long, ids binary, key long"
     )
+    spread = keyed.withColumn("spread", F.xxhash64("doc_id", "ids"))
+    related = spread.repartitionByRange("key", "spread").sortWithinPartitions("key", "spread", "doc_id").select("doc_id", "ids")
+    return related.mapInArrow(lambda batches: _pack(batches, dtype, idf, mean_length, window), PIECE_SCHEMA)
