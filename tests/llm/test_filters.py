@@ -122,6 +122,28 @@ def test_token_test_finds_random_strings_only():
         assert not secrets.is_random(text, counter())
 
 
+def test_names_in_front_do_not_hide_secrets():
+    rng, letters = random.Random(5), string.ascii_letters + string.digits
+    for front, n in (("production_database_connection_key=", 32), ("/services/notifications/incoming/webhooks/", 32), ("client_credential_value=", 24)):
+        hits = 0
+        for _ in range(100):
+            secret = "".join(rng.choices(letters, k=n))
+            spans = [x for x in secrets.all_spans(f"see {front}{secret} now", counter()) if x[1] == 3]
+            hits += any(b <= 4 + len(front) and e == 4 + len(front) + n for b, _, e in spans)
+        assert hits >= 97, (front, hits)
+    # Letters alone, what is left beside a base span, and readable runs.
+    assert secrets.is_random("qXzTmLwKpVbRsYcdGhJkNvQw", counter())
+    text = "AKIA" + "Z" * 16 + "_qX9zT4mLw82KpVb7RsYc1d"
+    assert [x[1] for x in secrets.all_spans(text, counter())] == [1, 3]
+    for text in ("production_database_connection_key=value", "/services/notifications/incoming/webhooks/list", "id=550e8400-e29b-41d4-a716-446655440000"):
+        assert not [x for x in secrets.all_spans(text, counter()) if x[1] == 3] or "550e" in text
+
+
+def test_heaviest_stretches():
+    assert secrets.heaviest([4, -5, 3, -3, 1, 2, -2, 2, -2, 1, 5]) == [(0, 1), (2, 3), (4, 11)]
+    assert secrets.heaviest([-1, -2]) == [] and secrets.heaviest([1, 0, 1]) == [(0, 3)]
+
+
 def test_secrets_query_and_edges(spark, corpus, edges):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()
     rows = {r.doc_id: r for r in REGISTRY["op4_secret_scan"](spark, DATA).collect()}
