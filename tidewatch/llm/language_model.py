@@ -31,8 +31,10 @@ HOT_SHARE = 1 / 20_000
 
 KEYED_SCHEMA = "bucket long, name long, docs boolean, cells binary"
 _KEYED = pa.schema([("bucket", pa.int64()), ("name", pa.int64()), ("docs", pa.bool_()), ("cells", pa.binary())])
-#: Columns of packed records: word, pair, document, occurrences, occurrences with a word behind, counted how, has a word before.
-RECORD = ("<u8", "<u8", "<u4", "<u4", "<u4", "u1", "u1")
+#: Columns of packed records: lower 16 and upper 32 bits of 48 that tell a word's pairs apart, document, occurrences, occurrences with a
+#: word behind, counted how, has a word before. The words go before, each once with its number of records.
+RECORD = ("<u2", "<u4", "<u4", "<u4", "<u4", "u1", "u1")
+WORD = ("<u8", "<u4")
 #: Columns of packed documents: place in the slice, identifier and whether there is one, words, what is known of the sum.
 DOC = ("<u4", "<i8", "u1", "<i8", "<f8")
 #: How a document is counted: in the background, in the target too, or not at all.
@@ -59,6 +61,22 @@ def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def pack_records(ids: np.ndarray, pair: np.ndarray, *columns: np.ndarray) -> bytes:
+    """Records whose equal words follow each other."""
+    begins = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    names = pack(ids[begins], np.diff(begins, append=len(ids)).astype("<u4"))
+    low, high = (pair >> np.uint64(16)).astype("<u2"), (pair >> np.uint64(32)).astype("<u4")
+    return len(names).to_bytes(4, "little") + names + pack(low, high, *(x.astype(k) for x, k in zip(columns, RECORD[2:], strict=True)))
+
+
+def unpack_records(blob: bytes) -> list[np.ndarray]:
+    """Words, pairs and the other columns."""
+    end = 4 + int.from_bytes(blob[:4], "little")
+    names, times = unpack(blob[4:end], *WORD)
+    low, high, *columns = unpack(blob[end:], *RECORD)
+    return [np.repeat(names, times), (high.astype(np.uint64) << np.uint64(16)) | low, *columns]
+
+
 def groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order by these keys, the first one leading, and where in it a new combination begins."""
     order = np.lexsort(keys[::-1])
@@ -236,8 +254,7 @@ def _deal(batches: Iterator[pa.RecordBatch], shared, buckets: int) -> Iterator[p
                 behind = np.add.reduceat((~last & ~is_hot)[order].astype(np.int64), begins)
                 kept, times = order[begins], np.diff(begins, append=len(order))
                 columns = [ids[kept], pair[kept], doc[kept], times, behind, mark[doc[kept]], ~first[kept]]
-                columns = [x.astype(kind) for x, kind in zip(columns, RECORD, strict=True)]
-                rows += [(b, name, False, pack(*(x[i:j] for x in columns))) for b, i, j in cut(bucket_of(key[kept], buckets))]
+                rows += [(b, name, False, pack_records(*(x[i:j] for x in columns))) for b, i, j in cut(bucket_of(key[kept], buckets))]
             if rows:
                 yield keyed(rows)
             name += 1
@@ -252,7 +269,7 @@ def _weigh(batches: Iterator[pa.RecordBatch], shared, totals: tuple[tuple[int, i
             yield keyed(docs)
         if not held:
             continue
-        parts = [unpack(row[3], *RECORD) for row in held]
+        parts = [unpack_records(row[3]) for row in held]
         ends = np.cumsum([len(x[0]) for x in parts])
         names = [row[1] for row in held]
         ids, pair, doc, times, behind, mark, joined = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -307,7 +324,7 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def score_difference(docs: DataFrame, difference: Difference) -> DataFrame:
     """``doc_id, n_words, score`` of every whole text: mean difference of the two models' losses for each word; above 0 it is more like the target.
 
-    Counts of words and pairs are exact up to clashes of 64-bit hashes, and grow with the corpus. One shuffle sends the distinct pairs
+    Counts of words and pairs are exact up to clashes of hashes (64 bits for a word, 48 more for each pair that ends in it), and grow with the corpus. One shuffle sends the distinct pairs
     of each slice of documents, those learnt from and those scored, to the bucket of their second word; there its and their counts are
     added up over the corpus and give what each document gets. A second shuffle adds that up. Hot words, whose number is bounded by
     their share, are known to all tasks, and their pairs are spread by pair. Null and empty texts have no words and a null
