@@ -12,17 +12,21 @@ from tidewatch.llm import (
     content_sort,
     jaccard,
     language_model,
+    merkle,
     neighbours,
     packing,
+    repeats,
     secrets,
     tiling,
     token_files,
     toxicity,
     url_filter,
+    whitening,
 )
 from tidewatch.llm.samples import fold
 from tidewatch.llm.tokens import default_vocabulary
 from tidewatch.session import ship_package, work_dir
+from tidewatch.sources.tables import Scratch, stored
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -200,3 +204,135 @@ def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     usable = fold(F.col("doc_id"), QUALITY_FOLDS) != QUALITY_HELD
     voters = neighbours.train_quality(docs, labels(spark, sf_dir), usable)
     return judged(neighbours.score_quality(docs, voters), QUALITY_FOLDS, QUALITY_HELD, QUALITY_FROM)
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding on its eight leading principal components, whitened."""
+    with Scratch(spark, "whitening") as scratch:
+        found = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), scratch)
+        explained = F.lit(found.explained).cast("array<double>")
+        return stored(
+            found.table.select("vec_id", "deviation", F.posexplode("z").alias("place", "whitened")).select(
+                "vec_id", (F.col("place") + 1).alias("component"), F.lit(found.n).cast("long").alias("n"), "deviation", "whitened",
+                F.get(explained, F.col("place")).alias("explained"), F.lit(found.identity_error).alias("identity_error"),
+            ),
+            "whitened",
+        )
+
+
+@query
+def op12_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the 50-byte strings of smaller documents."""
+    with Scratch(spark, "repeats") as scratch:
+        found = repeats.remove_repeats(documents(spark, sf_dir), scratch)
+        removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["begin"])
+        return stored(
+            found.select(
+                "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                F.sha2("kept", 256).alias("kept_sha256"),
+            ),
+            "without-repeats",
+        )
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether its tampered form still folds to the root."""
+    with Scratch(spark, "merkle") as scratch:
+        proved = merkle.prove_documents(documents(spark, sf_dir), scratch).select(
+            "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+            merkle.fold(F.col("tampered"), F.col("proof")).alias("folded_root"),
+        )
+        return stored(proved.withColumn("verified", F.col("folded_root") == F.col("root")), "merkle-proofs")
+
+
+ORACLE["op12_repeated_strings"] = """
+WITH
+bytes AS (SELECT rowid AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM (SELECT row_number() OVER () AS rowid, * FROM documents)),
+strings AS (
+  SELECT r, doc_id, i, substr(h, 2 * i + 1, 100) AS s
+  FROM (SELECT r, doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM bytes WHERE doc_id IS NOT NULL AND len(h) >= 100)
+),
+firsts AS (SELECT s, min(doc_id) AS least FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT r, i FROM strings JOIN firsts USING (s) WHERE least < doc_id),
+marked AS (SELECT r, i, coalesce(i > lag(i) OVER w + 50, true) AS opens FROM hits WINDOW w AS (PARTITION BY r ORDER BY i)),
+numbered AS (SELECT r, i, sum(opens::INT) OVER (PARTITION BY r ORDER BY i) AS span FROM marked),
+spans AS (SELECT r, span, min(i) AS b, max(i) + 50 AS e FROM numbered GROUP BY r, span),
+kept AS (
+  SELECT s.r, substr(y.h, 2 * coalesce(lag(e) OVER w, 0) + 1, 2 * (b - coalesce(lag(e) OVER w, 0))) AS part, b, e
+  FROM spans s JOIN bytes y USING (r) WINDOW w AS (PARTITION BY s.r ORDER BY b)
+),
+left_over AS (SELECT r, string_agg(part, '' ORDER BY b) AS front, max(e) AS tail, count(*) AS n, sum(e - b) AS gone FROM kept GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN tail IS NULL THEN h ELSE front || substr(h, 2 * tail + 1) END)) AS kept_sha256
+FROM bytes LEFT JOIN left_over USING (r)
+"""
+
+
+def _merkle_sql(levels: int) -> str:
+    """SQL of op13 for trees of up to 16 ** levels leaves; the same steps for the trees of the sources and for the top tree."""
+
+    def field(name: str, value: str | None = None) -> str:
+        text = f"({value or name})::VARCHAR"
+        return f"coalesce(octet_length(encode({text}))::VARCHAR || ':' || {text}, '-')"
+
+    def climbed(prefix: str) -> list[str]:
+        steps = []
+        for k in range(levels):
+            steps.append(
+                f"{prefix}{k + 1} AS (SELECT tree, idx // 16 AS idx, any_value((n + 15) // 16) AS n, sha256(string_agg(digest, '' ORDER BY idx)) AS digest "
+                f"FROM {prefix}{k} WHERE n > 1 GROUP BY tree, idx // 16)"
+            )
+            steps.append(
+                f"{prefix}s{k} AS (SELECT a.tree, a.idx, coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l, "
+                f"coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r "
+                f"FROM {prefix}{k} a JOIN {prefix}{k} b ON b.tree = a.tree AND b.idx // 16 = a.idx // 16 WHERE a.n > 1 GROUP BY a.tree, a.idx)"
+            )
+        union = " UNION ALL ".join(f"SELECT tree, digest FROM {prefix}{k} WHERE n = 1" for k in range(levels + 1))
+        return [*steps, f"{prefix}root AS ({union})"]
+
+    def folded(prefix: str, before: str, columns: str) -> list[str]:
+        steps = []
+        for k in range(levels):
+            source = before if k == 0 else f"{prefix}f{k - 1}"
+            steps.append(
+                f"{prefix}f{k} AS (SELECT {columns}, f.tree, f.idx // 16 AS idx, proof || coalesce(l || r, '') AS proof, "
+                f"CASE WHEN l IS NULL THEN acc ELSE sha256(l || acc || r) END AS acc "
+                f"FROM {source} f LEFT JOIN {prefix}s{k} s ON s.tree = f.tree AND s.idx = f.idx)"
+            )
+        return steps
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    leaf = " || ".join(field(name) for name in merkle.LEAF_COLUMNS)
+    changed = " || ".join(field(name, lower if name == "text" else None) for name in merkle.LEAF_COLUMNS)
+    # DuckDB has no crc32: bit by bit, over the decimal digits, for the rows it is asked of.
+    table = "list_reduce([c::UBIGINT] || range(8)::UBIGINT[], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    crc = (
+        f"xor(list_reduce([4294967295::UBIGINT] || list_transform(range(len(doc_id::VARCHAR)), lambda i: ascii(substr(doc_id::VARCHAR, (i + 1)::INT, 1))::UBIGINT), "
+        f"lambda c, y: xor(c >> 8, crc_table[(xor(c, y) & 255)::INT + 1])), 4294967295::UBIGINT)"
+    )
+    parts = [
+        f"crcs AS (SELECT list({table} ORDER BY c) AS crc_table FROM range(256) t(c))",
+        f"leaves AS (SELECT coalesce('s' || source, 'n') AS tree, doc_id, sha256({leaf}) AS leaf, "
+        f"sha256(CASE WHEN coalesce({crc} % 5 = 0, false) THEN {changed} ELSE {leaf} END) AS tampered FROM documents, crcs)",
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n FROM leaves)",
+        "a0 AS (SELECT tree, idx, n, leaf AS digest FROM placed)",
+        *climbed("a"),
+        "t0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n, digest FROM aroot)",
+        "named AS (SELECT tree AS name, row_number() OVER (ORDER BY tree) - 1 AS idx FROM aroot)",
+        *climbed("t"),
+        "start AS (SELECT doc_id, leaf, tree AS name, tree, idx, '' AS proof, tampered AS acc FROM placed)",
+        *folded("a", "start", "doc_id, leaf, name"),
+        f"middle AS (SELECT doc_id, leaf, name, '' AS tree, m.idx, proof, acc FROM af{levels - 1} f JOIN named m USING (name))",
+        *folded("t", "middle", "doc_id, leaf, name"),
+    ]
+    return (
+        "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, a.digest AS subroot, t.digest AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = t.digest AS verified
+FROM tf{levels - 1} f JOIN aroot a ON a.tree = f.name CROSS JOIN troot t"""
+    )
+
+
+#: Six levels hold 16,777,216 documents of one source.
+ORACLE["op13_merkle_manifest"] = _merkle_sql(6)
