@@ -47,7 +47,7 @@ def test_write_upsert(spark, frame):
     def write(df, name):
         staging = work_dir(spark, name)
         sinks.write_upsert(df, path, ["k"], staging, ("day",))
-        assert not sinks.table_exists(spark, staging)
+        assert not sinks.path_exists(spark, staging)
 
     write(frame(("a", "2024-01-01", 1), ("b", "2024-01-02", 2)), "one")
     untouched = {f for f in os.listdir(f"{path}/day=2024-01-01")}
@@ -78,7 +78,7 @@ def test_upsert_recovers_from_a_lost_partition(spark, frame):
 def test_empty_upsert_leaves_no_trace(spark, frame):
     path, staging = work_dir(spark, "table"), work_dir(spark, "staging")
     sinks.write_upsert(frame(("a", "2024-01-01", 1)).limit(0), path, ["k"], staging, ("day",))
-    assert not sinks.table_exists(spark, path) and not sinks.table_exists(spark, staging)
+    assert not sinks.path_exists(spark, path) and not sinks.path_exists(spark, staging)
 
 
 def test_upsert_reads_only_touched_partitions(spark, frame):

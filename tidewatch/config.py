@@ -43,6 +43,9 @@ class DetectorConfig:
     revenue_critical: float = 0.50
     # An empty window is an alert from the window after this one.
     zero_grace: int = 3
+    # A hole longer than this ends a segment of a series: it is filled with empty windows up to here, and what
+    # follows has a baseline of its own. None fills every hole.
+    longest_gap: str | None = "7 days"
 
 
 @dataclass(frozen=True)
@@ -79,12 +82,17 @@ class StreamConfig:
     dedupe_delay: str = "10 minutes"
     # Files of the archive per micro-batch and date; None leaves one per task with rows.
     archive_files: int | None = None
+    # Days before the newest one whose files stay as they were streamed when the job starts; older dates are compacted
+    # then. None compacts nothing.
+    open_days: int | None = 2
+    # Files older than this leave the logs of the file sinks; longer than the job runs between two starts and its open days. None keeps all.
+    sink_retention: str | None = None
     # First-pass buckets of the stream dedupe; 1 switches the pre-pass off. An event without
     # copies costs the same whatever the number, and a hot one is split over this many.
     dedupe_spread: int = 1024
     summary_every: int = 10
-    # How long after its end an empty window is reported while no event arrives; for live runs. A checkpoint of
-    # the alerts belongs to one kind of run.
+    # How long after its end and the watermark's delay an empty window is reported while no event arrives; for live
+    # runs. It has to cover what a window takes from there to the detector: a few triggers. A checkpoint of the alerts belongs to one kind of run.
     outage_patience: str | None = "1 minute"
     windows: WindowConfig = field(default_factory=WindowConfig)
     detector: DetectorConfig = field(default_factory=DetectorConfig)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.schema import EVENT_SCHEMA
+from tidewatch.schema import EVENT_SCHEMA, EVENTS_SCHEMA, LANDED_SCHEMA
 
 
 def decode_events(raw: DataFrame) -> DataFrame:
@@ -37,32 +37,35 @@ def split_valid(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return decoded.filter(_usable()), decoded.filter(~_usable())
 
 
-def rejected_wire(raw: DataFrame) -> DataFrame:
-    """Wire rows that give no usable event, with their text and when they were landed, so none is lost."""
-    decoded = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA)
-    rows = raw.select(F.col("value").cast("string").alias("value"), F.inline(F.array(decoded)))
-    return rows.filter(~_usable()).select(
-        "value", "event_id", "user_id", F.current_timestamp().alias("landed_at")
-    ).withColumn("event_date", F.to_date("landed_at"))
-
-
-def landing(raw: DataFrame) -> DataFrame:
-    """Usable events as they are landed: no state, no watermark, nothing dropped."""
-    return parse_events(raw).withColumn("landed_at", F.current_timestamp())
-
+# What a landed row is.
+EVENT, MISDATED, REJECT = "event", "misdated", "reject"
 
-def misdated(landed: DataFrame, skew: str) -> DataFrame:
-    """Landed events whose time lies further ahead of the landing clock than ``skew``."""
-    return landed.filter(_ahead(skew))
 
+def landing(raw: DataFrame, skew: str) -> DataFrame:
+    """Every wire row as it is landed, decoded once: no state, no watermark, nothing dropped.
 
-def well_dated(landed: DataFrame, skew: str) -> DataFrame:
-    """Landed events with a time that is not ahead of the landing clock; those without a time count in no window."""
-    return landed.filter(F.col("event_ts").isNotNull() & ~_ahead(skew))
+    ``kind`` is ``event`` for a usable event, ``misdated`` for one whose time lies further ahead of the landing clock than
+    ``skew``, and ``reject`` for a row that gives no usable event; that one keeps its text in ``value`` and has the date it was landed.
+    """
+    decoded = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA)
+    rows = raw.select(F.col("value").cast("string").alias("value"), F.inline(F.array(decoded))).select(
+        "*", F.try_to_timestamp("timestamp").alias("event_ts"), F.current_timestamp().alias("landed_at")
+    )
+    ahead = F.coalesce(F.col("event_ts") > F.col("landed_at") + F.expr(f"INTERVAL {skew}"), F.lit(False))
+    kind = F.when(~_usable(), REJECT).when(ahead, MISDATED).otherwise(EVENT)
+    dated = F.when(F.col("kind") == REJECT, F.to_date("landed_at")).otherwise(F.to_date("event_ts"))
+    return rows.withColumn("kind", kind).select(
+        *(F.when(F.col("kind") == REJECT, F.col("value")).alias("value") if name == "value" else name for name in LANDED_SCHEMA.fieldNames()[:-1]),
+        dated.alias("event_date"),
+    )
 
 
-def _ahead(skew: str):
-    return F.col("event_ts") > F.col("landed_at") + F.expr(f"INTERVAL {skew}")
+def landed_rows(landed: DataFrame, *kinds: str) -> DataFrame:
+    """Landed rows of some kinds: events without the columns that only rejected rows need, or those rows."""
+    rows = landed.filter(F.col("kind").isin(*kinds))
+    if REJECT in kinds:
+        return rows.select("value", "event_id", "user_id", "landed_at", "event_date")
+    return rows.select(*EVENTS_SCHEMA.fieldNames())
 
 
 def reject_counts(raw: DataFrame) -> DataFrame:

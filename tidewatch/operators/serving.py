@@ -6,11 +6,12 @@ at most ``n`` rows per task, never as a full sort.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.functions.measures import ratio_sql
+from tidewatch.sources.tables import TOTALS
 
 
 def latest(table: DataFrame, n: int = 100, time: str = "window_start") -> DataFrame:
@@ -47,7 +48,9 @@ def search_alerts(
     n: int = 20,
     newest: str = "indexed_at",
 ) -> DataFrame:
-    """The ``n`` newest alerts that fit the given severity and type, newest first."""
+    """The ``n`` newest alerts that fit the given severity and type, newest first; those taken back don't count."""
+    if "withdrawn" in alerts.columns:
+        alerts = alerts.filter(~F.col("withdrawn"))
     if severity:
         alerts = alerts.filter(F.col("severity") == severity)
     if alert_type:
@@ -55,6 +58,39 @@ def search_alerts(
     return alerts.orderBy(F.desc(newest), F.asc("alert_id")).limit(n)
 
 
+def alert_dates(
+    totals: DataFrame, severity: str | None = None, alert_type: str | None = None, n: int = 20
+) -> list:
+    """The dates that can hold the ``n`` newest alerts of a kind, from the totals beside the index; one row a date is looked at.
+
+    Dates are added, those first whose oldest alert is the newest, until they hold ``n`` alerts. No alert indexed before the
+    oldest of these is wanted, so a date whose newest one is older can be left out, however rare the kind is.
+    """
+    for name, value in (("severity", severity), ("alert_type", alert_type)):
+        if value:
+            totals = totals.filter(F.col(name) == value)
+    per_date = (
+        totals.filter("alerts > 0").groupBy("event_date")
+        .agg(F.sum("alerts").alias("alerts"), F.min("oldest").alias("oldest"), F.max("newest").alias("newest"))
+        .collect()
+    )
+    held, bound = 0, None
+    for row in sorted(per_date, key=lambda row: row.oldest, reverse=True):
+        held, bound = held + row.alerts, row.oldest
+        if held >= n:
+            break
+    return sorted(row.event_date for row in per_date if row.newest >= bound)
+
+
+def search_index(
+    spark: SparkSession, path: str, severity: str | None = None, alert_type: str | None = None, n: int = 20, fmt: str = "parquet"
+) -> DataFrame:
+    """The ``n`` newest alerts of a stored index that fit, newest first, reading only the dates that can hold them."""
+    dates = alert_dates(spark.read.format(fmt).load(path + TOTALS), severity, alert_type, n)
+    alerts = spark.read.format(fmt).load(path).filter(F.col("event_date").isin(dates) if dates else F.lit(False))
+    return search_alerts(alerts, severity, alert_type, n)
+
+
 def recent_alerts(
     alerts: DataFrame, shown: int = 5, loaded: int = 10, newest: str = "indexed_at"
 ) -> DataFrame:

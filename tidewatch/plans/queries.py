@@ -515,10 +515,10 @@ def stream_landing(spark, sf_dir):
     wire = read_wire(spark, "parquet", {"maxFilesPerTrigger": "1"}, batched_wire(spark, sf_dir))
     job = start_all(spark, config, wire, once=True)
     counts = [
-        spark.read.parquet(job.path(name)).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"))
+        job.read(name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"))
         for name in ("raw", "rejects", "misdated")
     ]
-    hours = spark.read.parquet(job.path("metrics_1min")).agg(F.lit("metric_events").alias("name"), F.sum("total_events").alias("rows"))
+    hours = job.read("metrics_1min").agg(F.lit("metric_events").alias("name"), F.sum("total_events").alias("rows"))
     return reduce(DataFrame.unionByName, [*counts, hours])
 
 
@@ -622,7 +622,7 @@ def stream_job(spark, sf_dir):
         "alerts": F.count_if(F.col("severity") == "critical"),
     }
     written = [
-        spark.read.parquet(job.path(name))
+        job.read(name)
         .agg(F.count(F.lit(1)).alias("rows"), total.alias("total"))
         .select(F.lit(name).alias("name"), "rows", "total")
         for name, total in totals.items()

@@ -24,11 +24,15 @@ PARSED_SCHEMA = (
     .add("event_date", T.DateType())
 )
 
-# Landed events also say when they were landed. The partition column comes last, where readers of a table
-# without files yet put it too.
+# Landed rows: the event fields, when they were landed, the text of a rejected row, and the partition columns: what kind of
+# row it is and its date.
 LANDED_SCHEMA = T.StructType(
-    [*PARSED_SCHEMA.fields[:-1], T.StructField("landed_at", T.TimestampType()), PARSED_SCHEMA.fields[-1]]
+    [
+        *PARSED_SCHEMA.fields[:-1], T.StructField("landed_at", T.TimestampType()), T.StructField("value", T.StringType()),
+        T.StructField("kind", T.StringType()), PARSED_SCHEMA.fields[-1],
+    ]
 )
+EVENTS_SCHEMA = T.StructType([f for f in LANDED_SCHEMA.fields if f.name not in ("value", "kind")])
 
 WIRE_SCHEMA = T.StructType(
     [T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType())]

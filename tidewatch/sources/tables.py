@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidewatch.session import work_dir
 
@@ -109,13 +110,60 @@ def read_table(
 
 def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
     """A stored table, or no rows of that schema where nothing was written yet."""
-    from tidewatch.streaming.sinks import table_exists
-
-    if table_exists(spark, path):
+    if path_exists(spark, path):
         return spark.read.format(fmt).schema(schema).load(path)
     return spark.createDataFrame([], schema)
 
 
+def folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = folder(spark, path)
+    return files.exists(target)
+
+
+# Where the totals of an alert index stand.
+TOTALS = "-totals"
+# Where a streamed table's closed dates are copied to, and the pointer that says up to where.
+CLOSED, FRONTIER = "-closed", "-frontier"
+FRONTIER_SCHEMA = "version int, mark timestamp, until date"
+FILE_TIME = "_metadata.file_modification_time"
+
+
+def frontier(spark: SparkSession, path: str) -> Row | None:
+    """The newest pointer of a table: how many copies hold, which files they cover (``mark``), and the dates below ``until``."""
+    if not path_exists(spark, path + FRONTIER):
+        return None
+    return spark.read.schema(FRONTIER_SCHEMA).json(path + FRONTIER).orderBy(F.desc("version")).first()
+
+
+def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A streamed table: closed dates from their compacted copies, everything else from the files of the stream.
+
+    Rows that came late for a closed date are in files younger than the pointer and are read from there until they are
+    compacted too, so each row is read once at any time. The three parts are filtered by partition and by file time
+    alone, so files that the copies cover are not opened.
+    """
+    streamed = spark.read.format(fmt).load(path)
+    newest = frontier(spark, path)
+    if newest is None:
+        return streamed
+    schema = streamed.schema
+    copies = spark.read.format(fmt).schema(StructType([*schema.fields, StructField("run", IntegerType())])).load(path + CLOSED)
+    closed = F.col("event_date").isNull() | (F.col("event_date") < F.lit(newest.until))
+    late = streamed.filter(closed).filter(F.col(FILE_TIME) > F.lit(newest.mark))
+    names = schema.fieldNames()
+    return (
+        copies.filter(F.col("run") <= newest.version).select(*names)
+        .unionByName(streamed.filter(F.col("event_date") >= F.lit(newest.until)).select(*names))
+        .unionByName(late.select(*names))
+    )
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes a derived table once to the shared work folder and reads it back.
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators.upsert import newest_per_key, upsert
+from tidewatch.sources.tables import CLOSED, FILE_TIME, FRONTIER, TOTALS, folder, frontier, path_exists
 
 
 def with_date(df: DataFrame, time: str = "window_start") -> DataFrame:
@@ -47,16 +48,6 @@ def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
-def _folder(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    files, target = _folder(spark, path)
-    return files.exists(target)
-
-
 def write_upsert(
     df: DataFrame,
     path: str,
@@ -65,8 +56,8 @@ def write_upsert(
     partition_cols: tuple[str, ...] = ("event_date",),
     order: list[Column] | None = None,
     fmt: str = "parquet",
-) -> None:
-    """Merges rows into a partitioned table by key.
+) -> tuple | None:
+    """Merges rows into a partitioned table by key; the smallest and largest value of the first partition column that it wrote, if any.
 
     Only partitions that receive rows are read and rewritten, so the partition columns must
     follow from the keys, as a date follows from a window.
@@ -79,20 +70,23 @@ def write_upsert(
     """
     spark = df.sparkSession
     fresh_path, merged_path = f"{staging}/fresh", f"{staging}/merged"
-    if not table_exists(spark, f"{fresh_path}/_SUCCESS"):
+    if not path_exists(spark, f"{fresh_path}/_SUCCESS"):
         newest_per_key(df, keys, order).write.format(fmt).mode("overwrite").save(fresh_path)
     publish = fresh = spark.read.format(fmt).schema(df.schema).load(fresh_path)
-    files, target = _folder(spark, staging)
-    if fresh.isEmpty():
+    files, target = folder(spark, staging)
+    first = F.col(partition_cols[0])
+    low, high, rows = fresh.agg(F.min(first), F.max(first), F.count(F.lit(1))).first()
+    if not rows:
         files.delete(target, True)
-        return
-    if table_exists(spark, path):
-        if not table_exists(spark, f"{merged_path}/_SUCCESS"):
+        return None
+    if path_exists(spark, path):
+        if not path_exists(spark, f"{merged_path}/_SUCCESS"):
             existing = spark.read.format(fmt).schema(df.schema).load(path).select(*df.columns)
             upsert(touched_partitions(existing, fresh, partition_cols), fresh, keys, order).write.format(fmt).mode("overwrite").save(merged_path)
         publish = spark.read.format(fmt).schema(df.schema).load(merged_path)
     _replace_partitions(publish, path, partition_cols, fmt)
     files.delete(target, True)
+    return low, high
 
 
 def touched_partitions(existing: DataFrame, fresh: DataFrame, partition_cols: tuple[str, ...]) -> DataFrame:
@@ -127,10 +121,31 @@ def _replace_partitions(df: DataFrame, path: str, partition_cols: tuple[str, ...
 
 
 def index_alerts(
-    alerts: DataFrame, path: str, staging: str, indexed_at: Column | None = None
+    alerts: DataFrame, path: str, staging: str, indexed_at: Column | None = None, fmt: str = "parquet"
 ) -> None:
-    """Stores alerts under their id, the last write of an id winning."""
-    write_upsert(stamp(with_date(alerts), indexed_at), path, ["alert_id"], staging)
+    """Stores alerts under their id, the last write of an id winning, and renews the totals of the dates it touched.
+
+    An alert that a stream takes back stays in the table, as ``withdrawn``; readers of alerts pass it over.
+    """
+    spark = alerts.sparkSession
+    touched = write_upsert(stamp(with_date(alerts), indexed_at), path, ["alert_id"], staging, fmt=fmt)
+    if touched:
+        refresh_totals(spark, path, *touched, fmt=fmt)
+
+
+def refresh_totals(spark: SparkSession, path: str, low, high, fmt: str = "parquet") -> None:
+    """Counts the alerts of some dates anew: per date, series, severity and type, with the oldest and newest time of indexing.
+
+    A small table beside the alerts that searches and reports read first. Only the dates between ``low`` and ``high`` are read; a count that is
+    made again is the same, so a repeated batch changes nothing.
+    """
+    alerts = spark.read.format(fmt).load(path).filter(F.col("event_date").between(F.lit(low), F.lit(high)))
+    holds = ~F.col("withdrawn") if "withdrawn" in alerts.columns else F.lit(True)
+    # A date whose alerts were all withdrawn keeps rows that count none, so that its partition is replaced too.
+    totals = alerts.groupBy("event_date", "series", "severity", "alert_type").agg(
+        F.count_if(holds).alias("alerts"), F.min("indexed_at").alias("oldest"), F.max("indexed_at").alias("newest")
+    )
+    _replace_partitions(totals, path + TOTALS, ("event_date",), fmt)
 
 
 def index_metrics(metrics: DataFrame, path: str, indexed_at: Column | None = None) -> None:
@@ -151,9 +166,13 @@ def start_append(
     fmt: str = "parquet",
     name: str | None = None,
     files: int | None = None,
+    retention: str | None = None,
 ) -> StreamingQuery:
     """Appends a stream to a table; without ``seconds`` it works off what is there and ends.
 
+    Files older than ``retention`` leave the sink's log, so that it stays short; give it only where
+    ``compact_closed`` has copied them by then.
+
     ``files`` limits the files of a micro-batch, for results that are small by nature or
     triggers that are short. The rows are shuffled for it; the tasks before keep their number.
     """
@@ -166,6 +185,8 @@ def start_append(
     )
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
+    if retention:
+        writer = writer.option("retention", retention)
     if name:
         writer = writer.queryName(name)
     return writer.start()
@@ -207,10 +228,10 @@ def start_batches(
 
 def start_archive(
     events: DataFrame, path: str, checkpoint: str, seconds: int | None = None, files: int | None = None,
-    fmt: str = "parquet", name: str = "raw",
+    fmt: str = "parquet", name: str = "raw", partition_cols: tuple[str, ...] = ("event_date",), retention: str | None = None,
 ) -> StreamingQuery:
     """Lands parsed events, one folder per date; events without a date have their own."""
-    return start_append(events, path, checkpoint, seconds, ("event_date",), fmt, name=name, files=files)
+    return start_append(events, path, checkpoint, seconds, partition_cols, fmt, name=name, files=files, retention=retention)
 
 
 def compact_dates(
@@ -226,17 +247,45 @@ def compact_dates(
     _replace_partitions(table, out, ("event_date",), fmt)
 
 
+def compact_closed(spark: SparkSession, path: str, until, fmt: str = "parquet", partition_cols: tuple[str, ...] = ("event_date",)) -> None:
+    """Copies what a streamed table has for dates before ``until``, and without a date, and moves the pointer; for tables that no query is writing to.
+
+    A copy holds what no earlier one has: closed dates that were open then, and rows that came late for older ones, told by the time of their files. It is written
+    whole before the pointer names it, and never changed, so a reader sees either state; a run that failed is repeated with the same
+    result. ``read_current`` reads copies and stream as one table.
+    """
+    if not path_exists(spark, path):
+        return
+    table = spark.read.format(fmt).load(path)
+    before = frontier(spark, path)
+    date, written = F.col("event_date"), F.col(FILE_TIME)
+    mark = table.agg(F.max(written)).first()[0]
+    if mark is None or (before and before.until >= until and before.mark >= mark):
+        return
+    version, wanted = 1, date.isNull() | (date < F.lit(until))
+    if before:
+        version, until = before.version + 1, max(until, before.until)
+        wanted = (date >= F.lit(before.until)) & (date < F.lit(until)) | (
+            (date.isNull() | (date < F.lit(before.until))) & (written > F.lit(before.mark))
+        )
+    rows = table.filter(wanted).hint("rebalance", *partition_cols)
+    rows.write.format(fmt).mode("overwrite").partitionBy(*partition_cols).save(f"{path}{CLOSED}/run={version}")
+    pointer = spark.createDataFrame([(version, mark, until)], "version int, mark timestamp, until date")
+    pointer.coalesce(1).write.mode("append").json(path + FRONTIER)
+
+
 def start_alert_index(
     alerts: DataFrame,
     path: str,
     checkpoint: str,
     seconds: int | None = None,
     report: Callable[[int], None] | None = None,
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     """Indexes streamed alerts by id; ``report`` is told the id of every finished batch."""
 
     def index(batch: DataFrame, batch_id: int) -> None:
-        index_alerts(batch, path, f"{checkpoint}/staging/{batch_id}")
+        index_alerts(batch, path, f"{checkpoint}/staging/{batch_id}", fmt=fmt)
         if report:
             report(batch_id)
 
