@@ -102,7 +102,7 @@ def test_keys_and_hashes_depend_on_the_bytes_alone(data, length):
 
 def test_pieces_hold_every_string_once(spark):
     texts = [t.encode() for _, t in odd_rows() if t]
-    part = repeats.Slice(repeats.Slice.blob(list(range(len(texts))), texts))
+    part = repeats.Pieces(repeats.Pieces.blob(list(range(len(texts))), texts))
     first, count, key, row = part.runs(50)
     places = sorted(p for f, n in zip(first.tolist(), count.tolist()) for p in range(f, f + n))
     want = [b + p for b, t in zip(part.begins.tolist(), texts) for p in range(len(t) - 49)]

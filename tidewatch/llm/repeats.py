@@ -7,12 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import id_and_text
+from tidewatch.llm.slices import SCHEMA, SLICE_BYTES, TEXTS, Slice, bucket_of, by, cut, cut_slices, groups, pack, ragged, rows_of, unpack
 from tidewatch.llm.words import mix
 from tidewatch.sources.tables import Scratch
 
@@ -20,19 +19,20 @@ from tidewatch.sources.tables import Scratch
 LENGTH = 50
 #: Bytes of the grams that suffixes are first sorted by, and of those by which strings are dealt to tasks.
 FIRST, GRAM = 8, 20
-#: Bytes of text that travel and are worked on together, and those whose strings share one bucket of the search, on average.
-SLICE_BYTES, BUCKET_BYTES = 4 << 20, 32 << 20
+#: Buckets at least, more than tasks, so that these get even shares; and bytes of text whose strings share one, on average, beyond that.
+LEAST_BUCKETS = 256
+BUCKET_BYTES = 16 << 20
 #: Strings of one piece at most, so that a text without variety is cut into like pieces too.
 PIECE = 64
 #: Pieces under one key beyond which their strings are dealt one by one.
 CROWD = 10_000
+#: Bits of a key.
+KEY_BITS = 48
 #: Positions that are hashed together.
 CHUNK = 1 << 18
 
-#: What a row holds: the texts of a slice; for its keys in a bucket whether others have them; for its pieces in a bucket who has their strings first.
-TEXTS, SHARED, FOUND = 0, 1, 2
-SCHEMA = "slice long, kind int, bucket long, size long, blob binary"
-_ARROW = pa.schema([("slice", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int64()), ("size", pa.int64()), ("blob", pa.binary())])
+#: What a row holds beside the texts of a slice: for its keys in a bucket whether others have them; for its pieces in a bucket who has their strings first.
+SHARED, FOUND = TEXTS + 1, TEXTS + 2
 OUT_SCHEMA = "doc_id long, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary"
 _SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
@@ -42,30 +42,6 @@ _STEPS = np.array([xxhash.xxh64_intdigest(f"step {i}".encode()) | 1 for i in ran
 NEVER = np.iinfo(np.int64).max
 
 
-def pack(*columns: np.ndarray, level: int = 1) -> bytes:
-    """Columns of any lengths as compressed bytes, the bytes of numbers side by side by their weight."""
-    out = []
-    for column in columns:
-        column = np.ascontiguousarray(column)
-        out += [len(column).to_bytes(8, "little"), column.view(np.uint8).reshape(len(column), column.itemsize).T.tobytes()]
-    return zstandard.ZstdCompressor(level=level).compress(b"".join(out))
-
-
-def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
-    raw, at, out = zstandard.ZstdDecompressor().decompress(blob), 0, []
-    for kind in kinds:
-        n, width = int.from_bytes(raw[at : at + 8], "little"), np.dtype(kind).itemsize
-        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * width, at + 8).reshape(width, n).T).view(kind).ravel())
-        at += 8 + n * width
-    return out
-
-
-def ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For lists of these lengths laid end to end: the list of each entry, and its place there."""
-    owner = np.repeat(np.arange(len(counts)), counts)
-    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-
-
 def gram_hashes(data: np.ndarray, length: int) -> np.ndarray:
     """Hashes of the ``length`` bytes from each place on, put together from those of doubled lengths."""
     level, covered, out = _BYTES[data], 0, None
@@ -91,21 +67,8 @@ def least_of(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - size)], values[width - size :])
 
 
-class Slice:
-    """Documents whose texts lie end to end."""
-
-    def __init__(self, blob: bytes):
-        self.ids, has, lengths, self.data = unpack(blob, "<i8", "u1", "<i8", "u1")
-        self.has = has > 0
-        self.ends = np.cumsum(lengths)
-        self.begins = self.ends - lengths
-
-    @staticmethod
-    def blob(ids: list, texts: list[bytes]) -> bytes:
-        numbers = np.array([i or 0 for i in ids], dtype="<i8")
-        has = np.array([i is not None for i in ids], dtype="u1")
-        lengths = np.array([len(t) for t in texts], dtype="<i8")
-        return pack(numbers, has, lengths, np.frombuffer(b"".join(texts), np.uint8), level=3)
+class Pieces(Slice):
+    """A slice whose texts are cut into pieces."""
 
     def runs(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Pieces: first place and number of strings, key, document.
@@ -131,55 +94,14 @@ class Slice:
                 row.append(np.full(len(owner), doc))
         if not first:
             return (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        # The least of many hashes is small; mixed again, keys fall evenly into buckets. 48 bits tell them apart well enough.
-        return np.concatenate(first), np.concatenate(count), mix(np.concatenate(key)) >> np.uint64(16), np.concatenate(row)
-
-
-def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-
-
-def cut(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """Value, begin and end of the runs of a sorted array."""
-    begins = np.flatnonzero(np.diff(values, prepend=values[:1] - 1))
-    yield from zip(values[begins].tolist(), begins.tolist(), np.append(begins[1:], len(values)).tolist(), strict=True)
-
-
-def rows_of(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), _ARROW, strict=True)], schema=_ARROW)
-
-
-def _groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, list[dict]]]:
-    """The rows of each value of a column of a sorted partition."""
-    current, held = None, []
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
-            if row[column] != current:
-                if held:
-                    yield current, held
-                current, held = row[column], []
-            held.append(row)
-    if held:
-        yield current, held
-
-
-def _slices(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    name = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist()
-        begin, held = 0, 0
-        for end, text in enumerate(texts, 1):
-            held += len(text)
-            if held >= limit or end == len(texts):
-                yield rows_of([(name, TEXTS, 0, held, Slice.blob(ids[begin:end], texts[begin:end]))])
-                name, begin, held = name + 1, end, 0
+        # The least of many hashes is small; mixed again, keys fall evenly into buckets. 48 bits tell them apart well enough: two that clash cost time only.
+        return np.concatenate(first), np.concatenate(count), mix(np.concatenate(key)) >> np.uint64(64 - KEY_BITS), np.concatenate(row)
 
 
 def _keys(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The distinct keys of each slice by bucket, whether several documents of the slice have one, and about how many different pieces."""
-    for _, held in _groups(batches, "slice"):
-        part = Slice(held[0]["blob"])
+    for _, held in groups(batches, "slice"):
+        part = Pieces(held[0]["blob"])
         first, count, key, row = part.runs(length)
         if not len(key):
             continue
@@ -196,13 +118,13 @@ def _keys(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Itera
         several = (least < most).astype("u1")
         name = held[0]["slice"]
         yield rows_of(
-            [(name, SHARED, b, j - i, pack(np.diff(names[i:j], prepend=np.uint64(0)), several[i:j], pieces[i:j])) for b, i, j in cut(bucket_of(names, buckets))]
+            [(name, SHARED, b, j - i, pack(np.diff(names[i:j], prepend=np.uint64(0)), several[i:j], pieces[i:j])) for b, i, j in cut(bucket_of(names, buckets, KEY_BITS))]
         )
 
 
 def _meet(batches: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.RecordBatch]:
     """For each slice and bucket: 0 for a key of one document, 1 for one of several, 2 for a crowded one."""
-    for bucket, held in _groups(batches, "bucket"):
+    for bucket, held in groups(batches, "bucket"):
         parts = [unpack(row["blob"], "<u8", "u1", "u1") for row in held]
         keys = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in parts])
         several, pieces = (np.concatenate([x[k] for x in parts]) for k in (1, 2))
@@ -217,7 +139,7 @@ def _meet(batches: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.RecordBa
             begin = end
 
 
-def cut_pieces(part: Slice, states: dict[int, bytes], length: int, buckets: int) -> Iterator[tuple]:
+def cut_pieces(part: Pieces, states: dict[int, bytes], length: int, buckets: int) -> Iterator[tuple]:
     """For each bucket in order: the distinct pieces of a slice under keys that several documents have, their keys, and where they occur.
 
     Occurrences are the number of the piece, the document and the first place. A crowded key's pieces are cut into single strings under keys
@@ -226,7 +148,7 @@ def cut_pieces(part: Slice, states: dict[int, bytes], length: int, buckets: int)
     first, count, key, row = part.runs(length)
     names = np.unique(key)
     state = np.zeros(len(names), "u1")
-    for b, i, j in cut(bucket_of(names, buckets)):
+    for b, i, j in cut(bucket_of(names, buckets, KEY_BITS)):
         if b in states:
             state[i:j] = unpack(states[b], "u1")[0]
     own = state[np.searchsorted(names, key)] if len(names) else state
@@ -240,12 +162,12 @@ def cut_pieces(part: Slice, states: dict[int, bytes], length: int, buckets: int)
         shared = own == 1
         first, count = np.concatenate([first[shared], single]), np.concatenate([count[shared], np.ones(len(single), np.int64)])
         row = np.concatenate([row[shared], row[crowded][owner]])
-        key = np.concatenate([key[shared], mix(name) >> np.uint64(16)])
+        key = np.concatenate([key[shared], mix(name) >> np.uint64(64 - KEY_BITS)])
     else:
         first, count, key, row = (x[own == 1] for x in (first, count, key, row))
     if not len(first):
         return
-    bucket = bucket_of(key, buckets)
+    bucket = bucket_of(key, buckets, KEY_BITS)
     order = np.argsort(bucket, kind="stable")
     first, count, key, row = first[order], count[order], key[order], row[order]
     text = part.data.tobytes()
@@ -264,11 +186,11 @@ def _states(held: list[dict], kind: int) -> dict[int, bytes]:
 
 def _pieces(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The distinct pieces of each slice by bucket, with the least and largest document that has each."""
-    for name, held in _groups(batches, "slice"):
+    for name, held in groups(batches, "slice"):
         states = _states(held, SHARED)
         if not states:
             continue
-        part = Slice(held[0]["blob"])
+        part = Pieces(held[0]["blob"])
         for b, pieces, keys, which, row, _ in cut_pieces(part, states, length, buckets):
             low, high = np.full(len(pieces), NEVER), np.full(len(pieces), -NEVER)
             np.minimum.at(low, which, part.ids[row])
@@ -341,7 +263,7 @@ def first_documents(pieces: list[bytes], keys: np.ndarray, low: np.ndarray, leng
 
 def _refine(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """For each slice and bucket: runs of strings of its pieces that a smaller document has than the largest of the slice that has the piece."""
-    for bucket, held in _groups(batches, "bucket"):
+    for bucket, held in groups(batches, "bucket"):
         names: dict[bytes, int] = {}
         parts, every_key, every_low = [], [], []
         for row in held:
@@ -371,10 +293,10 @@ def _refine(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
 
 def _remove(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The documents of each slice with the spans that are removed and what stays."""
-    for _, held in _groups(batches, "slice"):
-        part, found = Slice(held[0]["blob"]), _states(held, FOUND)
+    for _, held in groups(batches, "slice"):
+        part, found = Pieces(held[0]["blob"]), _states(held, FOUND)
         n = len(part.data)
-        change = np.zeros(n + 1, np.int32)
+        starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for b, pieces, _, which, row, first in cut_pieces(part, _states(held, SHARED), length, buckets) if found else ():
             if b not in found:
                 continue
@@ -384,8 +306,10 @@ def _remove(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Ite
             owner, place = ragged(runs[which])
             run = at[which[owner]] + place
             use = doc[run] < part.ids[row[owner]]
-            starts, ends = first[owner[use]] + begin[run[use]], first[owner[use]] + last[run[use]] + length
-            change += (np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1)).astype(np.int32)
+            starts.append(first[owner[use]] + begin[run[use]])
+            ends.append(first[owner[use]] + last[run[use]] + length)
+        change = np.bincount(np.concatenate(starts), minlength=n + 1)
+        change -= np.bincount(np.concatenate(ends), minlength=n + 1)
         gone = np.cumsum(change[:n]) > 0
         opens, closes = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
         opens[part.begins], closes[part.ends] = True, True
@@ -406,10 +330,6 @@ def _remove(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Ite
         )
 
 
-def _by(rows: DataFrame, name: str) -> DataFrame:
-    return rows.repartition(name).sortWithinPartitions(name, "kind", "slice", "bucket")
-
-
 def remove_repeats(
     docs: DataFrame, scratch: Scratch, length: int = LENGTH, slice_bytes: int = SLICE_BYTES, bucket_bytes: int = BUCKET_BYTES, crowd: int = CROWD
 ) -> DataFrame:
@@ -433,10 +353,10 @@ def remove_repeats(
     """
     if length < GRAM or length > 255 - PIECE:
         raise ValueError(f"strings may have {GRAM} to {255 - PIECE} bytes, not {length}")
-    slices = scratch.store(id_and_text(docs).mapInArrow(lambda batches: _slices(batches, slice_bytes), SCHEMA), "slices")
-    buckets = max(64, -(-(slices.agg(F.sum("size")).first()[0] or 0) // bucket_bytes))
+    slices = scratch.store(id_and_text(docs).mapInArrow(lambda batches: cut_slices(batches, slice_bytes), SCHEMA), "slices")
+    buckets = max(LEAST_BUCKETS, -(-(slices.agg(F.sum("size")).first()[0] or 0) // bucket_bytes))
     keys = slices.mapInArrow(lambda batches: _keys(batches, length, buckets), SCHEMA)
-    shared = scratch.store(_by(keys, "bucket").mapInArrow(lambda batches: _meet(batches, crowd), SCHEMA), "shared")
-    pieces = _by(slices.union(shared), "slice").mapInArrow(lambda batches: _pieces(batches, length, buckets), SCHEMA)
-    found = scratch.store(_by(pieces, "bucket").mapInArrow(lambda batches: _refine(batches, length), SCHEMA), "found")
-    return _by(slices.union(shared).union(found), "slice").mapInArrow(lambda batches: _remove(batches, length, buckets), OUT_SCHEMA)
+    shared = scratch.store(by(keys, "bucket").mapInArrow(lambda batches: _meet(batches, crowd), SCHEMA), "shared")
+    pieces = by(slices.union(shared), "slice").mapInArrow(lambda batches: _pieces(batches, length, buckets), SCHEMA)
+    found = scratch.store(by(pieces, "bucket").mapInArrow(lambda batches: _refine(batches, length), SCHEMA), "found")
+    return by(slices.union(shared).union(found), "slice").mapInArrow(lambda batches: _remove(batches, length, buckets), OUT_SCHEMA)
