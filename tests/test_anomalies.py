@@ -208,3 +208,56 @@ def test_baseline_longer_than_a_block(spark):
     filled = series.fill_gaps(series.with_series(metrics), "1 minute")
     found = series.with_baselines(filled, 25, block=4).orderBy("window_no").collect()
     assert [r.count_n for r in found] == [min(i, 25) for i in range(40)]
+
+
+def moments(spark, seconds, count=5):
+    rows = [(s, count) for s in seconds]
+    return spark.createDataFrame(rows, "s long, event_count long").select(
+        F.timestamp_seconds("s").alias("window_start"), "event_count", F.lit(1.0).alias("revenue"), F.lit(1).cast("long").alias("active_users")
+    )
+
+
+def test_windows_53_years_apart_are_two_short_segments(spark):
+    """A date in 1971 adds a segment of its own, and not 56 million windows."""
+    early, late = 31_536_000, 1_704_067_200
+    metrics = moments(spark, [early, *(late + 30 * k for k in range(15))])
+    filled = series.fill_gaps(series.with_series(metrics), "30 seconds", gap="1 hour")
+    found = {r.segment: (r.n, r.most, r.full) for r in filled.groupBy("segment").agg(
+        F.count(F.lit(1)).alias("n"), F.max("window_no").alias("most"), F.count_if(F.col("event_count") > 0).alias("full")).collect()}
+    assert found == {1: (121, 121, 1), 2: (15, 15, 15)}
+    alerts = anomalies.detect(metrics, "30 seconds", config=anomalies.DetectorConfig(longest_gap="1 hour"))
+    kinds = alerts.groupBy("alert_type").agg(F.count(F.lit(1)).alias("n"), F.max("window_start").alias("last")).collect()
+    assert {(r.alert_type, r.n) for r in kinds} == {("zero_events", 118), ("drop", 11)}
+    assert max(r.last.timestamp() for r in kinds) == early + 3600
+
+
+@pytest.mark.parametrize("gap, segments", [("2 minutes", [(0, 12), (300, 6), (1000, 1)]), ("20 minutes", [(0, 35)]), (None, [(0, 35)])])
+def test_segments_are_filled_up_to_the_gap(spark, gap, segments):
+    """Holes of 5 and of 23 windows; the blocks that holes are looked for in begin anywhere."""
+    seconds = [0, 30, 90, 210, 300, 330, 1000 // 30 * 30 + 30]
+    metrics = moments(spark, [1_704_067_200 + s for s in seconds])
+    filled = series.fill_gaps(series.with_series(metrics), "30 seconds", gap=gap).collect()
+    by_segment = {}
+    for r in filled:
+        by_segment.setdefault(r.segment, []).append((r.window_no, int(r.window_start.timestamp()) - 1_704_067_200))
+    want, islands = [], [[seconds[0]]]
+    for before, after in zip(seconds, seconds[1:]):
+        limit = {"2 minutes": 120, "20 minutes": 1200, None: 10**9}[gap]
+        islands.append([after]) if after - before > limit else islands[-1].append(after)
+    for k, island in enumerate(islands):
+        end = island[-1] if k == len(islands) - 1 else island[-1] + limit
+        want.append([(i + 1, s) for i, s in enumerate(range(island[0], end + 1, 30))])
+    assert [sorted(by_segment[k]) for k in sorted(by_segment)] == want
+
+
+def test_silence_until_now_ends_with_the_gap(spark):
+    until = F.timestamp_seconds(F.lit(1_704_067_200 + 10**6))
+    metrics = moments(spark, [1_704_067_200 + 30 * k for k in range(4)])
+    filled = series.fill_gaps(series.with_series(metrics), "30 seconds", until=until, gap="5 minutes")
+    assert filled.count() == 4 + 10
+
+
+def test_summary_knows_all_segments_and_the_last_baseline(spark):
+    metrics = moments(spark, [0, 30, 60], 7).unionByName(moments(spark, [10**6 * 30, 10**6 * 30 + 30], 9))
+    row = anomalies.summary(metrics, "30 seconds", config=anomalies.DetectorConfig(longest_gap="5 minutes")).first()
+    assert (row.batches_processed, row.count_mean, row.count_samples) == (3 + 10 + 2, 9.0, 2)

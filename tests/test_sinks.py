@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.upsert import newest_per_key, upsert
 from tidewatch.session import work_dir
-from tidewatch.sources.tables import read_table, stored
+from tidewatch.sources.tables import read_current, read_table, stored
 from tidewatch.streaming import sinks
 
 COLUMNS = "k string, day date, v long"
@@ -173,3 +173,77 @@ def test_a_cluster_must_name_a_shared_folder():
 def test_work_folder_is_below_the_shared_one(spark):
     assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert stored(spark.range(3), "t").count() == 3
+
+
+def test_a_compacted_table_reads_the_same_and_stays_small(spark):
+    """Many micro-batches, compacted now and then, late rows included: every row once, few files, closed dates only from copies."""
+    source, path, checkpoint = (work_dir(spark, name) for name in ("source", "table", "checkpoint"))
+    schema = "n long, event_date date"
+
+    def days(*rows):
+        return spark.createDataFrame([(n, d) for n, d in rows], "n long, d string").select("n", F.to_date("d").alias("event_date"))
+
+    def stream(frame):
+        frame.repartition(4).write.mode("append").parquet(source)
+        table = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(source)
+        sinks.start_append(table, path, checkpoint, partition_cols=("event_date",)).awaitTermination()
+
+    import datetime
+
+    written, n = [], 0
+    for turn in range(4):
+        today = datetime.date(2024, 1, 1 + 2 * turn)
+        late = [(n + 100 + k, "2024-01-01") for k in range(4)] + [(n + 200, None)]
+        rows = [(n + k, str(today + datetime.timedelta(days=k % 2))) for k in range(12)] + late * (turn > 0)
+        n += 300
+        stream(days(*rows))
+        written += rows
+        want = sorted(written, key=str)
+        for _ in range(2):  # compacting again changes nothing
+            assert sorted(((r.n, str(r.event_date) if r.event_date else None) for r in read_current(spark, path).collect()), key=str) == want
+            sinks.compact_closed(spark, path, today)
+    streamed = len(list(Path(path).rglob("part-*.parquet")))
+    current = read_current(spark, path)
+    read = current.select(F.input_file_name()).distinct().count()
+    assert read < streamed / 2 and sorted(r.n for r in current.collect()) == sorted(n for n, _ in written)
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan and ">= 2024-01-07" in plan
+
+
+def test_a_copy_without_its_pointer_is_not_read(spark):
+    """A compaction that fails before the pointer moves is repeated; readers see the table as it was."""
+    path = work_dir(spark, "table")
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-05")], "n long, d string").select("n", F.to_date("d").alias("event_date"))
+    rows.write.partitionBy("event_date").parquet(path)
+    rows.filter("n = 1").write.partitionBy("event_date").parquet(f"{path}-closed/run=1")
+    assert sorted(r.n for r in read_current(spark, path).collect()) == [1, 2]
+    import datetime
+
+    sinks.compact_closed(spark, path, datetime.date(2024, 1, 3))
+    assert sorted(r.n for r in read_current(spark, path).collect()) == [1, 2]
+    assert spark.read.parquet(f"{path}-closed").filter("run = 1").count() == 1
+
+
+def test_search_reads_only_dates_that_can_hold_the_newest(spark):
+    """Rare kinds are found in old dates, common ones in the newest; an alert indexed late counts by when it was indexed."""
+    from tidewatch.operators import serving
+
+    path = work_dir(spark, "alerts")
+    day = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("d") * 86_400)
+    alerts = spark.range(0, 300).select(
+        F.concat(F.lit("a"), F.col("id").cast("string")).alias("alert_id"), F.lit("all").alias("series"), (F.col("id") % 30).alias("d"),
+        F.when(F.col("id") == 2, "critical").otherwise("high").alias("severity"),
+        F.when(F.col("id") % 7 == 0, "spike").otherwise("drop").alias("alert_type"), F.lit("m").alias("message"),
+    ).withColumn("window_start", day).withColumn("timestamp", day)
+    # The alerts of the second day are indexed last of all.
+    at = F.when(F.col("d") == 1, day + F.expr("INTERVAL 90 DAYS")).otherwise(day) + F.make_dt_interval(secs=F.length("alert_id"))
+    sinks.index_alerts(alerts, path, work_dir(spark, "staging"), at)
+    everything = spark.read.parquet(path)
+    for severity, kind, n in ((None, None, 5), (None, None, 25), ("high", "spike", 3), ("critical", None, 20), ("critical", "spike", 20), (None, "drop", 1000)):
+        got = serving.search_index(spark, path, severity, kind, n)
+        want = serving.search_alerts(everything, severity, kind, n)
+        assert [r.alert_id for r in got.collect()] == [r.alert_id for r in want.collect()]
+    plan = serving.search_index(spark, path, n=5)._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    totals = spark.read.parquet(path + "-totals")
+    assert len(serving.alert_dates(totals, n=5)) == 1 and len(serving.alert_dates(totals, "critical")) == 1

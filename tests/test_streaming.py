@@ -226,16 +226,16 @@ def test_stream_alerts_survive_restart(spark):
     assert kinds == {"spike", "drop", "revenue_drop", "zero_events"}
 
 
-@pytest.mark.parametrize("metric", [windows.tumbling_metrics, windows.sliding_metrics, windows.device_breakdown])
-def test_streams_combine_before_every_shuffle(spark, wire, metric):
+@pytest.mark.parametrize("metric, levels", [(windows.tumbling_metrics, 2), (windows.sliding_metrics, 3), (windows.device_breakdown, 2)])
+def test_streams_combine_before_every_shuffle(spark, wire, metric, levels):
     query, _ = run(metric(wire_events(spark, wire)), spark)
     lines = query._jsq.explainInternal(False).splitlines()
     shuffles = [place for place, line in enumerate(lines) if "Exchange hashpartitioning" in line]
-    assert len(shuffles) == 4
-    for place in shuffles[:2]:
+    assert len(shuffles) == levels + 2
+    for place in shuffles[:levels]:
         assert "partial_" in lines[place + 1]
     # Below them the two passes of the dedupe, the first over id and bucket.
-    assert "_bucket" in lines[shuffles[3]] and "_bucket" not in lines[shuffles[2]]
+    assert "_bucket" in lines[shuffles[levels + 1]] and "_bucket" not in lines[shuffles[levels]]
 
 
 def test_publish_stream(spark, events):
@@ -294,3 +294,209 @@ def test_outage_raises_alerts_without_any_event(spark):
         query.stop()
     starts = sorted(r.window_start.timestamp() for r in found.collect())
     assert len(starts) >= 3 and starts == list(range(int(starts[0]), int(starts[0]) + len(starts))) and starts[0] == now - 2
+
+
+@pytest.mark.parametrize("width, slide", [("5 minutes", "30 seconds"), ("1 hour", "10 minutes")])
+def test_sliding_stream_copies_panes_and_not_events(spark, wire, width, slide):
+    """Below every copy into windows stands an aggregate, and no aggregate copies events."""
+    query, _ = run(windows.sliding_metrics(wire_events(spark, wire), width, slide), spark)
+    lines = query._jsq.explainInternal(False).splitlines()
+    copies = [place for place, line in enumerate(lines) if "Expand" in line]
+    exchanges = [place for place, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    # Below the copies: the shuffle of the panes, then those of the dedupe.
+    assert copies and all(any(copy < place and "event_id" not in lines[place] for place in exchanges) for copy in copies)
+
+
+# ---------------------------------------------------------------- the detector's two clocks
+
+SECOND = 1_000_000
+STEP, WIDTH, DELAY, PATIENCE = 30 * SECOND, 300 * SECOND, 10 * SECOND, 60 * SECOND
+
+
+class Live:
+    """The detector's processor with a state and a clock of its own."""
+
+    def __init__(self, **more):
+        from types import SimpleNamespace
+
+        from tidewatch.streaming.baseline import RollingBaseline
+
+        self.timers, self.value, self.make = [], None, SimpleNamespace
+        self.processor = RollingBaseline(20, STEP, WIDTH, DELAY, PATIENCE, **more)
+        state = SimpleNamespace(exists=lambda: self.value is not None, get=lambda: self.value, update=self._put)
+        self.processor.init(
+            SimpleNamespace(
+                getValueState=lambda *_: state, listTimers=lambda: list(self.timers), deleteTimer=self.timers.remove,
+                registerTimer=self.timers.append,
+            )
+        )
+
+    def _put(self, value):
+        self.value = value
+
+    def batch(self, now, *rows):
+        """One micro-batch: rows ``(start, count)`` first, then the timers that are due."""
+        clock = self.make(getCurrentProcessingTimeInMs=lambda: now // 1000)
+        given = [self.make(start=s, event_count=c, revenue_cents=10 * c, active_users=c) for s, c in rows]
+        out = list(self.processor.handleInputRows(("k",), iter(given), clock)) if given else []
+        for timer in [t for t in self.timers if t <= now // 1000]:
+            self.timers.remove(timer)
+            out += self.processor.handleExpiredTimer(("k",), clock, None)
+        return out
+
+
+START = 1_700_000_010 * SECOND
+LATENCY = 7 * SECOND
+
+
+def steady(live, n):
+    out = []
+    for i in range(n):
+        seen = START + i * STEP + WIDTH + DELAY + LATENCY
+        out += live.batch(seen, (START + i * STEP, 100)) + live.batch(seen + STEP // 2)
+    return out
+
+
+def test_steady_traffic_with_overlapping_windows_raises_nothing():
+    rows = steady(Live(), 200)
+    assert [r.window_no for r in rows] == list(range(1, 201))
+    assert all(r.event_count == 100 and not r.replaces for r in rows) and rows[-1].count_sum == 2000
+
+
+def test_an_outage_reports_each_window_once_and_late_rows_replace_theirs():
+    live = Live()
+    last = START + 99 * STEP
+    steady(live, 100)
+    reported = []
+    for k in range(400):
+        reported += live.batch(last + WIDTH + DELAY + LATENCY + k * SECOND)
+    until = (LATENCY + 399 * SECOND - PATIENCE) // STEP
+    assert [(r.start - last) // STEP for r in reported] == list(range(1, until + 1)) and until == 11
+    assert [r.window_no for r in reported] == list(range(101, 112)) and not any(r.replaces or r.event_count for r in reported)
+    assert [r.count_sum for r in reported[:3]] == [2000, 1900, 1800]
+    now = last + WIDTH + DELAY + 500 * SECOND
+    # The row of the third one comes after all: it replaces what was reported, the two before it settle without another row.
+    third = live.batch(now, (last + 3 * STEP, 90))
+    assert [(r.start - last, r.event_count, r.replaces, r.window_no, r.count_sum) for r in third[:1]] == [(3 * STEP, 90, True, 103, 1800)]
+    # Those behind it had a zero too many in their baseline: they are corrected as they settle.
+    rest = live.batch(now + SECOND, (last + 20 * STEP, 100))
+    settled = {(r.start - last) // STEP: r for r in rest}
+    assert sorted(settled) == list(range(4, 21)) and settled[20].event_count == 100 and settled[4].count_sum == 90 + 17 * 100
+    again = {k for k, r in settled.items() if r.replaces}
+    assert again == {(r.start - last) // STEP for r in reported + third} - {1, 2, 3}
+    assert settled[20].window_no == 120 and live.value[5] is None
+
+
+def test_traffic_after_an_outage_gives_each_window_once():
+    live = Live()
+    steady(live, 30)
+    last = START + 29 * STEP
+    reported = [r for k in range(40) for r in live.batch(last + WIDTH + DELAY + PATIENCE + k * 10 * SECOND)]
+    rows = live.batch(last + WIDTH + DELAY + 500 * SECOND, *((last + k * STEP, 100) for k in range(14, 30)))
+    starts = [r.start for r in reported + rows]
+    assert len(starts) == len(set(starts)) and sorted(starts) == list(range(last + STEP, last + 30 * STEP, STEP))
+    assert not any(r.replaces for r in rows) and [r.window_no for r in reported + rows][-1] == 59
+
+
+def test_a_long_hole_ends_a_segment_on_a_stream():
+    live = Live(gap=20 * STEP)
+    rows = live.batch(START, (START, 100)) + live.batch(START, (START + 10**9 * SECOND, 50))
+    assert len(rows) == 22 and [r.event_count for r in rows] == [100] + [0] * 20 + [50]
+    assert (rows[-1].window_no, rows[-1].count_n) == (1, 0) and live.value[0] == 1 and live.value[7] == 21
+    # A series that stays silent is reported up to there, and no further.
+    live = Live(gap=20 * STEP)
+    steady(live, 5)
+    silent = [r for k in range(200) for r in live.batch(START + 4 * STEP + WIDTH + DELAY + PATIENCE + k * STEP)]
+    assert len(silent) == 20 and not live.timers
+
+
+def test_alerts_of_replaced_windows_are_withdrawn(spark):
+    """A window reported as empty, then replaced by a usual one: its alerts are taken back in the index, its totals and its readers."""
+    from pyspark.sql import Row
+
+    from tidewatch.operators import serving
+    from tidewatch.operators.anomalies import build_alerts
+    from tidewatch.streaming.baseline import OUTPUT
+    from tidewatch.streaming.sinks import index_alerts
+
+    live = Live()
+    steady(live, 30)
+    last, path = START + 29 * STEP, work_dir(spark, "alerts")
+    names = [part.split()[0] for part in OUTPUT.replace("(38,0)", "").split(", ")]
+
+    def index(rows, name):
+        frame = spark.createDataFrame([Row(*names)(*r) for r in rows], OUTPUT).withColumn("window_start", F.timestamp_micros("start"))
+        index_alerts(build_alerts(frame.drop("start"), "5 minutes"), path, work_dir(spark, name), F.col("window_end"))
+
+    index([r for k in range(13) for r in live.batch(last + WIDTH + DELAY + PATIENCE + k * 10 * SECOND)], "first")
+    table = spark.read.parquet(path)
+    kinds = sorted((r.alert_type, r.window_start) for r in table.filter("NOT withdrawn").collect())
+    assert [k for k, _ in kinds] == ["drop"] * 4 + ["zero_events"] * 4
+    index(live.batch(last + WIDTH + DELAY + 200 * SECOND, (last + 2 * STEP, 100)), "second")
+    left = spark.read.parquet(path).filter("NOT withdrawn")
+    assert {r.window_start for r in left.collect()} == {kinds[k][1] for k in (0, 2, 3)}
+    totals = spark.read.parquet(path + "-totals").groupBy().sum("alerts").first()[0]
+    assert totals == left.count() == 6 == serving.search_alerts(spark.read.parquet(path)).count() == serving.search_index(spark, path).count()
+
+
+def test_corrections_compute_only_the_dates_that_changed(spark, make_events):
+    """Late events of two dates are merged into their windows; a third date and windows that may be open are left alone."""
+    from datetime import datetime
+
+    from tidewatch.operators.parse import landing
+    from tidewatch.streaming import corrections
+
+    source, landed, metrics, *checkpoints = (work_dir(spark, name) for name in ("wire", "landed", "metrics", "a", "b"))
+    day = 86_400.0
+
+    def arrive(rows, tag):
+        events = make_events(rows).withColumn("event_id", F.concat(F.lit(tag), "event_id"))
+        encode_events(events).coalesce(1).write.mode("append").parquet(source)
+        start_append(landing(read_wire(spark, "parquet", {}, source), "1 hour"), landed, checkpoints[0], partition_cols=("kind", "event_date")).awaitTermination()
+        stream = with_delay(jobs.landed_rows(spark.readStream.schema(jobs.LANDED_SCHEMA).parquet(landed), jobs.EVENT), "10 seconds")
+        table = jobs.with_date(windows.sliding_metrics(stream, "2 hours", "1 hour"))
+        start_append(table, metrics, checkpoints[1], partition_cols=("event_date",)).awaitTermination()
+
+    def fix(until):
+        compute = lambda events: windows.sliding_metrics(events, "2 hours", "1 hour")
+        return [str(d) for d in corrections.correct(spark, landed, metrics, compute, "2 hours", ["window_start"], until)]
+
+    def found():
+        return rows_of(corrections.read_corrected(spark, metrics).select("window_start", "event_count", "active_users"))
+
+    def whole(until):
+        raw = jobs.landed_rows(spark.read.parquet(landed), jobs.EVENT)
+        rows = windows.sliding_metrics(deduplicate(raw), "2 hours", "1 hour").filter(F.col("window_end") <= F.lit(until))
+        return rows_of(rows.select("window_start", "event_count", "active_users"))
+
+    def view(second, user):
+        return (second, user, "page_view", "/p", "mobile", "s", None)
+
+    arrive([view(k * 7200.0, f"u{k}") for k in range(60)], "a")
+    until = datetime(2024, 1, 5)
+    assert fix(until)[0] == "2023-12-31"
+    assert set(found()) >= set(whole(until))
+    # Late ones on the first and the fourth date, one of them twice, the first window reaching into the day before.
+    arrive([view(10.0, "late"), view(10.0, "late"), view(3 * day + 5, "late"), view(4.9 * day, "on time")], "b")
+    dropped = found()
+    assert fix(until) == ["2023-12-31", "2024-01-01", "2024-01-03", "2024-01-04"]
+    assert found() != dropped and set(found()) >= set(whole(until))
+    assert fix(until) == []
+    # The next midnight takes the date that was open.
+    assert fix(datetime(2024, 1, 6)) == ["2024-01-04", "2024-01-05"]
+    closed = spark.read.parquet(metrics).agg(F.max("window_end")).first()[0]
+    assert {r for r in found() if r[0] < closed} >= {r for r in whole(datetime(2024, 1, 5, 21)) if r[0] < closed}
+    again = corrections.events_of(spark.read.parquet(landed), [until.date()])
+    scan = again._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert "event_date" in scan and "2024-01-05" in scan
+
+
+def test_job_in_another_format(spark, wire):
+    """Every table of the job, read and written in the format it is told."""
+    config = StreamConfig(app_name="orc", shuffle_partitions=2, table_format="orc", windows=WindowConfig(long="1 hour", slide="30 minutes"))
+    job = jobs.start_all(spark, config, raw=read_wire(spark, "parquet", {}, wire), once=True)
+    for table in jobs.TABLES:
+        assert spark.read.orc(job.path(table)).count() == job.read(table).count() > 0, table
+    assert job.detector_summary().count() == 1 and job.top_pages().count() > 0
+    jobs.start_all(spark, config, raw=read_wire(spark, "parquet", {}, wire), once=True)
+    assert job.read("raw").count() == spark.read.orc(job.path("landed")).count()

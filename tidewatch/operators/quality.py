@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import DEVICES, EVENT_TYPES
@@ -19,8 +21,8 @@ def check_contract(
 ) -> DataFrame:
     """A long table ``rule, violations``, every rule present, zero when it holds.
 
-    The events are read once. Rules are counted per event id first, combined before the shuffle, so that
-    the same pass tells how often an id occurs; then the counts are added up.
+    A row's broken rules are the bits of one number, so what a task sends on is a row for each combination that it met, and
+    the rules are counted from those few. How often an id occurs takes a count by id alone, which reads no other column.
     """
     buys = F.col("event_type") == "purchase"
     rules = {
@@ -33,18 +35,23 @@ def check_contract(
         "timestamp_is_iso": ~(F.col("timestamp").contains("T") & F.col("timestamp").rlike(r"Z$|\+")),
         "timestamp_readable": F.col("timestamp").isNotNull() & F.col("event_ts").isNull(),
     }
-    shares = {"_views": F.col("event_type") == "page_view", "_buys": buys}
-    per_id = events.groupBy("event_id").agg(
-        F.count(F.lit(1)).alias("_copies"), *(F.count_if(test).alias(name) for name, test in {**rules, **shares}.items())
-    )
+    tests = {**rules, "_views": F.col("event_type") == "page_view", "_buys": buys}
+    bits = [F.when(test, F.lit(1 << place)).otherwise(F.lit(0)) for place, test in enumerate(tests.values())]
+    combinations = events.groupBy(reduce(Column.bitwiseOR, bits).alias("broken")).agg(F.count(F.lit(1)).alias("rows"))
+
     zero = F.lit(0).cast("long")
-    totals = per_id.agg(
-        *(F.coalesce(F.sum(name), zero).alias(name) for name in (*rules, *shares)),
-        F.coalesce(F.sum(F.when(F.col("event_id").isNotNull(), F.col("_copies") - 1)), zero).alias("event_id_unique"),
-    )
+    counted = {
+        name: F.coalesce(F.sum(F.when(F.col("broken").bitwiseAND(1 << place) != 0, F.col("rows"))), zero)
+        for place, name in enumerate(tests)
+    }
+    totals = combinations.agg(*(total.alias(name) for name, total in counted.items()))
     # One violation for the whole table when views do not clearly outnumber purchases.
     crowded = (F.col("_views") <= 3 * F.col("_buys")).cast("long")
     totals = totals.withColumn("views_outnumber_purchases", crowded)
-    names = (*rules, "views_outnumber_purchases", "event_id_unique")
-    rows = F.array(*(F.struct(F.lit(rule).alias("rule"), F.col(rule).alias("violations")) for rule in names))
-    return totals.select(F.inline(rows))
+    names = (*rules, "views_outnumber_purchases")
+    by_rule = totals.select(
+        F.inline(F.array(*(F.struct(F.lit(rule).alias("rule"), F.col(rule).alias("violations")) for rule in names)))
+    )
+    copies = events.filter(F.col("event_id").isNotNull()).groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))
+    repeated = copies.agg(F.coalesce(F.sum(F.col("copies") - 1), zero).alias("violations"))
+    return by_rule.unionByName(repeated.select(F.lit("event_id_unique").alias("rule"), "violations"))

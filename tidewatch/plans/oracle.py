@@ -159,6 +159,34 @@ spine AS (
 )"""
 
 
+# Ten-minute windows of all events and, once more, of the first two days moved 19,000 days back; a segment is a series here.
+SEGMENTED = f"""
+moved AS (
+  SELECT * FROM ev UNION ALL
+  SELECT * REPLACE (event_ts - INTERVAL '19000 days' AS event_ts) FROM ev
+  WHERE event_ts < (SELECT min(event_ts) FROM ev) + INTERVAL '2 days'
+),
+{_traffic("10 minutes").replace("FROM ev", "FROM moved").strip()},
+cut AS (
+  SELECT *, coalesce(epoch_us(window_start) - epoch_us(lag(window_start) OVER (ORDER BY window_start)) > 7 * 86400000000, true) AS opens
+  FROM traffic
+),
+parts AS (SELECT *, sum(opens::INT) OVER (ORDER BY window_start) AS part FROM cut),
+spans AS (
+  SELECT part, min(window_start) AS low,
+         CASE WHEN part = (SELECT max(part) FROM parts) THEN max(window_start) ELSE max(window_start) + INTERVAL '7 days' END AS high
+  FROM parts GROUP BY part
+),
+spine AS (
+  SELECT 'all#' || s.part::VARCHAR AS series, s.window_start,
+         row_number() OVER (PARTITION BY s.part ORDER BY s.window_start) AS window_no,
+         coalesce(t.event_count, 0) AS event_count, coalesce(t.revenue_cents, 0) AS revenue_cents,
+         coalesce(t.active_users, 0) AS active_users
+  FROM (SELECT part, unnest(generate_series(low, high, INTERVAL '10 minutes')) AS window_start FROM spans) s
+  LEFT JOIN traffic t ON t.window_start = s.window_start
+)"""
+
+
 def _frame(value: str) -> str:
     return f"""count({value}) OVER w AS n, coalesce(sum({value}) OVER w, 0) AS s,
          coalesce(sum(CAST({value} AS HUGEINT) * {value}) OVER w, 0) AS q"""
@@ -403,6 +431,11 @@ def oracle() -> dict[str, str]:
              UNION ALL SELECT 'event_id_unique', count(*) - count(DISTINCT event_id) FROM damaged""",
         "metrics_tumbling": _with(_tumbling("1 minute")) + "SELECT * FROM m",
         "metrics_hourly": metrics + "SELECT * FROM m",
+        "daily_from_minutes": _with()
+        + """SELECT time_bucket(INTERVAL '1 day', event_ts) AS window_start, device, count(*) AS total_events,
+               count(*) FILTER (event_type = 'purchase') AS purchase_count, CAST(coalesce(sum(cents), 0) AS BIGINT) / 100.0 AS total_revenue,
+               count(DISTINCT user_id) AS users, count(DISTINCT session_id) AS sessions, true AS users_near, true AS sessions_near
+             FROM ev GROUP BY 1, 2""",
         "metrics_sliding": _with(SLIDING) + "SELECT * FROM m",
         "metrics_sliding_long": _with(_sliding("1 hour", "30 seconds", 120)) + "SELECT * FROM m",
         "metrics_bad_amounts": _with(_tumbling("1 hour"), BAD_AMOUNTS)
@@ -487,6 +520,15 @@ def oracle() -> dict[str, str]:
              FROM alerts ORDER BY window_end DESC, alert_id LIMIT 5""",
         "stream_metrics": metrics + _closed("m"),
         "stream_sliding": _with(SLIDING) + _closed("m", "window_end"),
+        "stream_sliding_long": _with(_sliding("1 hour", "5 minutes", 12)) + _closed("m", "window_end"),
+        "late_corrections": metrics + _closed("m"),
+        "half_compacted": _with(REVENUE) + "SELECT *, CAST(window_start AS DATE) AS event_date FROM rev",
+        "landing_restart": _with()
+        + """SELECT 'event' AS kind, 2 * count(*) AS rows, count(*) AS dated, 0::BIGINT AS texts, 2 * count(*) AS named FROM ev
+             UNION ALL SELECT 'reject', 2 * count(*), 2 * count(*), 2 * count(*), count(*) FROM ev""",
+        "series_segments": _with(SEGMENTED, BASELINES, _alerts("10 minutes"))
+        + ALERT_OUT.replace("alert_id,", "replace(alert_id, series, 'all') AS alert_id,").replace(", series", ", 'all' AS series")
+        + " FROM alerts",
         "stream_device": _with(_devices()) + _closed("devices"),
         "stream_revenue": _with(REVENUE) + _closed("rev"),
         "stream_page_counts": _with(_pages("1 hour")) + _closed("pages_per"),

@@ -15,14 +15,14 @@ from tidewatch.config import StreamConfig, WindowConfig
 from tidewatch.functions.measures import revenue_parts, whole_cents
 from tidewatch.operators import anomalies, quality, serving, windows
 from tidewatch.operators.dedupe import deduplicate, with_delay
-from tidewatch.operators.parse import parse_events, reject_counts, split_valid
+from tidewatch.operators.parse import EVENT, landed_rows, landing, parse_events, reject_counts, split_valid
 from tidewatch.operators.series import fill_gaps, with_series
 from tidewatch.operators.upsert import upsert
-from tidewatch.schema import EVENT_FIELDS
+from tidewatch.schema import EVENT_FIELDS, LANDED_SCHEMA
 from tidewatch.session import prepare, state_partitions, work_dir
-from tidewatch.sources.tables import read_events, read_table, stored
+from tidewatch.sources.tables import CLOSED, path_exists, read_current, read_events, read_table, stored
 from tidewatch.sources.wire import encode_events, write_wire, read_wire
-from tidewatch.streaming import sinks
+from tidewatch.streaming import corrections, sinks
 from tidewatch.streaming.baseline import detect_stream
 from tidewatch.streaming.job import clean_events, start_all
 
@@ -53,8 +53,8 @@ def zoneless(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- sources and parsing
 
 
-def damaged_wire(events: DataFrame) -> DataFrame:
-    """The wire form of every event four times: intact, cut off, with an unreadable time and without user."""
+def damaged_wire(events: DataFrame, *kept: str) -> DataFrame:
+    """The wire form of every event four times: intact, cut off, with an unreadable time and without user; columns ``kept`` stay."""
     forms = F.explode(F.array(*map(F.lit, ("whole", "broken", "undated", "anonymous")))).alias("form")
     copies = events.select("*", forms)
     form = F.col("form")
@@ -62,7 +62,8 @@ def damaged_wire(events: DataFrame) -> DataFrame:
         "timestamp", F.when(form == "undated", "not a time").otherwise(F.col("timestamp"))
     ).withColumn("user_id", F.when(form != "anonymous", F.col("user_id")))
     cut_off = F.expr("left(string(value), length(string(value)) - 1)").cast("binary")
-    return encode_events(changed, "form").select("key", F.when(form == "broken", cut_off).otherwise(F.col("value")).alias("value"))
+    value = F.when(form == "broken", cut_off).otherwise(F.col("value")).alias("value")
+    return encode_events(changed, "form", *kept).select("key", value, *kept)
 
 
 @query
@@ -150,6 +151,21 @@ def metrics_hourly(spark, sf_dir):
     return windows.tumbling_metrics(deduplicate(parse_events(wire)), "1 hour")
 
 
+@query
+def daily_from_minutes(spark, sf_dir):
+    """Daily metrics per device rolled up from stored minute rows; users and sessions, estimates, stand as within a twentieth of the exact number."""
+    events = read_events(spark, sf_dir)
+    minutes = stored(windows.sketched_metrics(events, keys=("device",)), "minutes")
+    days = windows.roll_up(minutes, "1 day", ("device",))
+    exact = events.groupBy(F.window("event_ts", "1 day")["start"].alias("window_start"), "device").agg(
+        F.count_distinct("user_id").alias("users"), F.count_distinct("session_id").alias("sessions")
+    )
+    near = [(F.abs(F.col(a) - F.col(b)) <= 1 + 0.05 * F.col(b)).alias(f"{b}_near") for a, b in (("unique_users", "users"), ("unique_sessions", "sessions"))]
+    return days.join(exact, ["window_start", "device"]).select(
+        "window_start", "device", "total_events", "purchase_count", "total_revenue", "users", "sessions", *near
+    )
+
+
 @query
 def metrics_sliding(spark, sf_dir):
     """Five-minute metrics every 30 seconds."""
@@ -265,6 +281,17 @@ def alerts_sliding(spark, sf_dir):
     return anomalies.detect(table, "30 seconds", "5 minutes", detected_at=F.col("window_end"))
 
 
+@query
+def series_segments(spark, sf_dir):
+    """All rules over ten-minute windows, with the first two days once more 19,000 days earlier: two segments, not the years between."""
+    events = read_events(spark, sf_dir)
+    first = events.agg(F.min("event_ts")).first()[0]
+    early = events.filter(F.col("event_ts") < F.lit(first) + F.expr("INTERVAL 2 DAYS"))
+    moved = events.unionByName(early.withColumn("event_ts", F.col("event_ts") - F.expr("INTERVAL 19000 DAYS")))
+    table = stored(windows.traffic(moved, QUIET), "metrics")
+    return anomalies.detect(table, QUIET, detected_at=F.col("window_end"))
+
+
 @query
 def detector_summary(spark, sf_dir):
     """Windows, alerts and last baselines of the hourly device series."""
@@ -406,18 +433,23 @@ def top5_share(spark, sf_dir):
     return serving.page_share(_hourly_pages(spark, sf_dir))
 
 
+def _quiet_index(spark, sf_dir) -> str:
+    """The index of all ten-minute alerts, stamped with their window's end."""
+    path = work_dir(spark, "alert-index")
+    sinks.index_alerts(_alerts(spark, sf_dir, QUIET), path, work_dir(spark, "staging"), F.col("window_end"))
+    return path
+
+
 @query
 def alert_search(spark, sf_dir):
-    """The 20 newest critical drops."""
-    alerts = sinks.stamp(_alerts(spark, sf_dir, QUIET), F.col("window_end"))
-    return serving.search_alerts(alerts, "critical", "drop")
+    """The 20 newest critical drops of the stored index."""
+    return serving.search_index(spark, _quiet_index(spark, sf_dir), "critical", "drop").drop("event_date")
 
 
 @query
 def recent_alerts(spark, sf_dir):
-    """The five alerts of the status panel."""
-    alerts = sinks.stamp(_alerts(spark, sf_dir, QUIET), F.col("window_end"))
-    return serving.recent_alerts(alerts)
+    """The five alerts of the status panel, from the stored index."""
+    return serving.recent_alerts(serving.search_index(spark, _quiet_index(spark, sf_dir), n=10))
 
 
 # ---------------------------------------------------------------- streams
@@ -447,9 +479,17 @@ def timed_part(events: DataFrame) -> DataFrame:
     return events.withColumn("part", F.least(place, F.lit(PARTS - 1))).withColumn("first_hour", F.unix_micros("event_ts") < low + 3_600_000_000)
 
 
-def write_part(events: DataFrame, path: str) -> None:
-    """One wire file, so one micro-batch with ``maxFilesPerTrigger`` 1."""
-    write_wire(encode_events(events).coalesce(1), "parquet", {"path": path})
+#: Wire files of a micro-batch, however many events there are: with them as ``maxFilesPerTrigger`` each part is one micro-batch.
+PART_FILES = 4
+
+
+def write_part(wire: DataFrame, path: str) -> None:
+    """The files of one micro-batch of wire rows."""
+    write_wire(wire.repartition(PART_FILES, F.xxhash64("key", "value")), "parquet", {"path": path})
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    return read_wire(spark, "parquet", {"maxFilesPerTrigger": str(PART_FILES)}, path)
 
 
 def batched_wire(spark: SparkSession, sf_dir: str) -> str:
@@ -460,20 +500,20 @@ def batched_wire(spark: SparkSession, sf_dir: str) -> str:
     events = timed_part(read_events(spark, sf_dir))
     path = work_dir(spark, "batched-wire")
     for place in range(PARTS):
-        write_part(events.filter(F.col("part") == place), path)
+        write_part(encode_events(events.filter(F.col("part") == place)), path)
     future = events.orderBy("event_id").limit(1).withColumns(
         {"event_id": F.lit("future"), "timestamp": F.lit("2100-01-01T00:00:00+00:00")}
     )
     broken = encode_events(events.filter(F.col("page") == "/p1")).withColumn("value", F.lit("{").cast("binary"))
     odd = encode_events(events.filter("first_hour").unionByName(future)).unionByName(broken)
-    write_wire(odd.coalesce(1), "parquet", {"path": path})
+    write_part(odd, path)
     return path
 
 
 @query
 def stream_late(spark, sf_dir):
     """Five micro-batches straight into hourly windows: rows that come when their hour is closed change nothing."""
-    wire = read_wire(spark, "parquet", {"maxFilesPerTrigger": "1"}, batched_wire(spark, sf_dir))
+    wire = read_parts(spark, batched_wire(spark, sf_dir))
     return _drained(spark, windows.tumbling_metrics(with_delay(parse_events(wire), WindowConfig.watermark), "1 hour"))
 
 
@@ -484,8 +524,8 @@ def stream_restart(spark, sf_dir):
     source, path, checkpoint = (work_dir(spark, name) for name in ("restart-wire", "stream", "checkpoint"))
     for half in ((0, 1), (2, 3)):
         for place in half:
-            write_part(events.filter(F.col("part") == place), source)
-        wire = read_wire(spark, "parquet", {"maxFilesPerTrigger": "1"}, source)
+            write_part(encode_events(events.filter(F.col("part") == place)), source)
+        wire = read_parts(spark, source)
         metrics = windows.tumbling_metrics(clean_events(wire, StreamConfig()), "1 hour")
         with state_partitions(spark, _state_count(spark)):
             started = sinks.start_append(metrics, path, checkpoint)
@@ -512,7 +552,7 @@ def stream_landing(spark, sf_dir):
         base_path=base, checkpoint_dir=f"{base}-checkpoints", shuffle_partitions=_state_count(spark),
         windows=WindowConfig(short="1 hour", long="1 hour", slide="1 hour"),
     )
-    wire = read_wire(spark, "parquet", {"maxFilesPerTrigger": "1"}, batched_wire(spark, sf_dir))
+    wire = read_parts(spark, batched_wire(spark, sf_dir))
     job = start_all(spark, config, wire, once=True)
     counts = [
         job.read(name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"))
@@ -539,6 +579,12 @@ def stream_sliding(spark, sf_dir):
     return _streamed(spark, sf_dir, windows.sliding_metrics)
 
 
+@query
+def stream_sliding_long(spark, sf_dir):
+    """One-hour metrics every five minutes as a stream: twelve windows hold each event, and none is copied into them."""
+    return _streamed(spark, sf_dir, lambda events: windows.sliding_metrics(events, "1 hour", "5 minutes"))
+
+
 @query
 def stream_device(spark, sf_dir):
     """Hourly device rows as a stream."""
@@ -564,20 +610,74 @@ def stream_top_pages(spark, sf_dir):
     return windows.rank_pages(counts, 3)
 
 
+def _landed(spark: SparkSession, wire: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Lands a wire stream as the job does and reads the table."""
+    rows = landing(wire, StreamConfig.clock_skew)
+    started = sinks.start_archive(rows, path, checkpoint, partition_cols=("kind", "event_date"))
+    started.awaitTermination()
+    return spark.read.schema(LANDED_SCHEMA).parquet(path)
+
+
 @query
 def stream_archive(spark, sf_dir):
-    """Parsed events landed by date, counted per date and type."""
+    """Events landed by kind and date, counted per date and type."""
     wire = encode_events(read_events(spark, sf_dir, streaming=True))
-    path = work_dir(spark, "raw")
-    with state_partitions(spark, _state_count(spark)):
-        started = sinks.start_archive(clean_events(wire, StreamConfig()), path, work_dir(spark, "checkpoint"))
-    started.awaitTermination()
-    landed = spark.read.parquet(path)
+    landed = landed_rows(_landed(spark, wire, work_dir(spark, "landed"), work_dir(spark, "checkpoint")), EVENT)
     return landed.groupBy("event_date", "event_type").agg(
         F.count(F.lit(1)).alias("events"), whole_cents(revenue_parts()).alias("cents")
     )
 
 
+@query
+def landing_restart(spark, sf_dir):
+    """Landing that stops in the middle of the wire and goes on: the rows of each kind together are the wire."""
+    path, checkpoint, source = (work_dir(spark, name) for name in ("landed", "checkpoint", "wire"))
+    damaged = damaged_wire(timed_part(read_events(spark, sf_dir)), "part")
+    for half in (0, 1):
+        for place in (2 * half, 2 * half + 1):
+            write_part(damaged.filter(F.col("part") == place).drop("part"), source)
+        landed = _landed(spark, read_parts(spark, source), path, checkpoint)
+    return landed.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("event_date").alias("dated"), F.count("value").alias("texts"), F.count("event_id").alias("named")
+    )
+
+
+@query
+def late_corrections(spark, sf_dir):
+    """Hourly metrics of a stream to which every seventh event came too late, corrected from what was landed."""
+    events = read_events(spark, sf_dir)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(7)) == 0
+    source, landed, metrics, *checkpoints = (work_dir(spark, f"late-{name}") for name in ("wire", "landed", "metrics", "a", "b"))
+    for part in (events.filter(~late), events.filter(late)):
+        write_part(encode_events(part), source)
+        _landed(spark, read_parts(spark, source), landed, checkpoints[0])
+        stream = landed_rows(spark.readStream.schema(LANDED_SCHEMA).parquet(landed), EVENT)
+        hourly = windows.tumbling_metrics(with_delay(stream, WindowConfig.watermark), "1 hour")
+        with state_partitions(spark, _state_count(spark)):
+            started = sinks.start_append(sinks.with_date(hourly), metrics, checkpoints[1], partition_cols=("event_date",))
+        started.awaitTermination()
+    until = events.agg(F.max("event_ts") - F.expr(f"INTERVAL {WindowConfig.watermark}")).first()[0]
+    corrections.correct(spark, landed, metrics, lambda found: windows.tumbling_metrics(found, "1 hour"), "1 hour", ["window_start"], until)
+    return corrections.read_corrected(spark, metrics).drop("event_date")
+
+
+@query
+def half_compacted(spark, sf_dir):
+    """A streamed table whose older half was compacted, to which rows for closed and open dates were streamed afterwards."""
+    events = read_events(spark, sf_dir, kinds=("purchase",))
+    path, checkpoint, source = (work_dir(spark, name) for name in ("hours", "checkpoint", "source"))
+    late = F.pmod(F.xxhash64("window_start"), F.lit(5)) == 0
+    hours = stored(sinks.with_date(windows.revenue(events, "1 hour")), "hours")
+    middle = hours.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY event_date)")).first()[0]
+    for part in (hours.filter(~late), hours.filter(late)):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(hours.schema).parquet(source)
+        sinks.start_append(stream, path, checkpoint, partition_cols=("event_date",)).awaitTermination()
+        if not path_exists(spark, path + CLOSED):
+            sinks.compact_closed(spark, path, middle)
+    return read_current(spark, path)
+
+
 @query
 def stream_dedupe(spark, sf_dir):
     """A stream with every event three times, one copy a second late."""

@@ -142,7 +142,8 @@ def refresh_totals(spark: SparkSession, path: str, low, high, fmt: str = "parque
     alerts = spark.read.format(fmt).load(path).filter(F.col("event_date").between(F.lit(low), F.lit(high)))
     holds = ~F.col("withdrawn") if "withdrawn" in alerts.columns else F.lit(True)
     # A date whose alerts were all withdrawn keeps rows that count none, so that its partition is replaced too.
-    totals = alerts.groupBy("event_date", "series", "severity", "alert_type").agg(
+    kinds = [name for name in ("series", "severity", "alert_type") if name in alerts.columns]
+    totals = alerts.groupBy("event_date", *kinds).agg(
         F.count_if(holds).alias("alerts"), F.min("indexed_at").alias("oldest"), F.max("indexed_at").alias("newest")
     )
     _replace_partitions(totals, path + TOTALS, ("event_date",), fmt)
