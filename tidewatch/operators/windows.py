@@ -26,11 +26,16 @@ from tidewatch.functions.measures import (
     whole_cents,
 )
 from tidewatch.operators.dedupe import with_delay
+from tidewatch.schema import DEVICE_COLUMNS, PAGE_COLUMNS, REVENUE_COLUMNS, SLIDING_COLUMNS, TUMBLING_COLUMNS
 
 # Windows of a table are summed up in blocks of this many starts.
 _SLOTS = 1024
 
 
+def _bounds() -> dict[str, Column]:
+    return {"window_start": F.col("window.start"), "window_end": F.col("window.end")}
+
+
 def _totals(*names: str) -> list[Column]:
     return [F.sum(name).alias(name) for name in names]
 
@@ -78,19 +83,13 @@ def tumbling_metrics(
                 *_totals(*TUMBLING_SUMS),
             )
         )
-    return per_window.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "total_events",
-        "unique_users",
-        "unique_sessions",
-        "purchase_count",
-        money(F.coalesce(whole_cents("revenue_parts"), F.lit(0).cast("long"))).alias("total_revenue"),
-        mean_money("order_parts", "orders").alias("avg_order_value"),
-        "page_views",
-        "clicks",
-        "searches",
-    )
+    return per_window.withColumns(
+        {
+            **_bounds(),
+            "total_revenue": money(F.coalesce(whole_cents("revenue_parts"), F.lit(0).cast("long"))),
+            "avg_order_value": mean_money("order_parts", "orders"),
+        }
+    ).select(*TUMBLING_COLUMNS)
 
 
 def _tumbling_sums(counted: Column) -> list[Column]:
@@ -131,14 +130,7 @@ def sliding_metrics(
         metrics = _sliding_by_panes(with_delay(events, delay), width, slide)
     else:
         metrics = _sliding_by_changes(events, slide, panes)
-    return metrics.select(
-        "window_start",
-        "window_end",
-        "event_count",
-        "active_users",
-        money(whole_cents("revenue_parts")).alias("revenue"),
-        *(count_name(kind) for kind in SLIDING_COUNT_TYPES),
-    )
+    return metrics.withColumn("revenue", money(whole_cents("revenue_parts"))).select(*SLIDING_COLUMNS)
 
 
 def _sliding_sums() -> list[Column]:
@@ -175,9 +167,7 @@ def _per_window(per_user: DataFrame) -> DataFrame:
     return (
         per_user.groupBy("window")
         .agg(F.count("user_id").alias("active_users"), *_sliding_totals())
-        .select(
-            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "*"
-        )
+        .withColumns(_bounds())
     )
 
 
@@ -276,7 +266,8 @@ def page_counts(
         with_delay(views, delay)
         .groupBy(F.window("event_ts", width).alias("window"), "page")
         .agg(F.count(F.lit(1)).alias("view_count"))
-        .select(F.col("window.start").alias("window_start"), "page", "view_count")
+        .withColumns(_bounds())
+        .select(*PAGE_COLUMNS)
     )
 
 
@@ -290,7 +281,7 @@ def rank_pages(counts: DataFrame, n: int = WindowConfig.top_n) -> DataFrame:
     return (
         counts.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= n)
-        .select("window_start", "page", "view_count")
+        .select(*PAGE_COLUMNS)
     )
 
 
@@ -317,7 +308,8 @@ def device_breakdown(
     return (
         per_user.groupBy("window", "device")
         .agg(*_totals("event_count"), F.count("user_id").alias("unique_users"))
-        .select(F.col("window.start").alias("window_start"), "device", "event_count", "unique_users")
+        .withColumns(_bounds())
+        .select(*DEVICE_COLUMNS)
     )
 
 
@@ -334,13 +326,15 @@ def revenue(
             F.count(F.lit(1)).alias("order_count"),
             F.max(parts("amount")).cast("decimal(20,0)").alias("max_parts"),
         )
-        .select(
-            F.col("window.start").alias("window_start"),
-            money(whole_cents("total_parts")).alias("revenue"),
-            "order_count",
-            mean_money("total_parts", "order_count").alias("avg_order"),
-            money(whole_cents("max_parts")).alias("max_order"),
+        .withColumns(
+            {
+                **_bounds(),
+                "revenue": money(whole_cents("total_parts")),
+                "avg_order": mean_money("total_parts", "order_count"),
+                "max_order": money(whole_cents("max_parts")),
+            }
         )
+        .select(*REVENUE_COLUMNS)
     )
 
 

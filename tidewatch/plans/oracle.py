@@ -527,7 +527,7 @@ def oracle() -> dict[str, str]:
         + """SELECT 'event' AS kind, 2 * count(*) AS rows, count(*) AS dated, 0::BIGINT AS texts, 2 * count(*) AS named FROM ev
              UNION ALL SELECT 'reject', 2 * count(*), 2 * count(*), 2 * count(*), count(*) FROM ev""",
         "series_segments": _with(SEGMENTED, BASELINES, _alerts("10 minutes"))
-        + ALERT_OUT.replace("alert_id,", "replace(alert_id, series, 'all') AS alert_id,").replace(", series", ", 'all' AS series")
+        + ALERT_OUT.replace(", series", ", 'all' AS series").replace("alert_id,", "replace(alert_id, series, 'all') AS alert_id,")
         + " FROM alerts",
         "stream_device": _with(_devices()) + _closed("devices"),
         "stream_revenue": _with(REVENUE) + _closed("rev"),

@@ -668,7 +668,7 @@ def half_compacted(spark, sf_dir):
     path, checkpoint, source = (work_dir(spark, name) for name in ("hours", "checkpoint", "source"))
     late = F.pmod(F.xxhash64("window_start"), F.lit(5)) == 0
     hours = stored(sinks.with_date(windows.revenue(events, "1 hour")), "hours")
-    middle = hours.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY event_date)")).first()[0]
+    middle = hours.agg(F.date_from_unix_date(F.percentile(F.unix_date("event_date"), 0.5).cast("int"))).first()[0]
     for part in (hours.filter(~late), hours.filter(late)):
         part.write.mode("append").parquet(source)
         stream = spark.readStream.schema(hours.schema).parquet(source)

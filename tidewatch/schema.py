@@ -44,6 +44,19 @@ SLIDING_SCHEMA = (
     "count_search long, event_date date"
 )
 
+# Columns of the metric tables, in order.
+TUMBLING_COLUMNS = (
+    "window_start", "window_end", "total_events", "unique_users", "unique_sessions", "purchase_count", "total_revenue",
+    "avg_order_value", "page_views", "clicks", "searches",
+)
+SLIDING_COLUMNS = (
+    "window_start", "window_end", "event_count", "active_users", "revenue", "count_pageview", "count_click", "count_purchase",
+    "count_search",
+)
+REVENUE_COLUMNS = ("window_start", "revenue", "order_count", "avg_order", "max_order")
+DEVICE_COLUMNS = ("window_start", "device", "event_count", "unique_users")
+PAGE_COLUMNS = ("window_start", "page", "view_count")
+
 # Column order of the alert table.
 ALERT_COLUMNS = (
     "alert_id",
