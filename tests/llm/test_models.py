@@ -8,6 +8,7 @@ from tidewatch.llm import counters, gru, language_model, neighbours, toxicity
 from tidewatch.llm.queries import REGISTRY
 from tidewatch.llm.samples import fitting, fold, labelled_sample
 from tidewatch.llm.words import WordIds
+from tidewatch.sources.tables import Scratch
 
 LARGER = "/root/testdata/sf0.01"
 
@@ -189,7 +190,13 @@ def test_language_models_against_plain_counts(spark, corpus):
     good, rest = ["a b c a b", "a b d", None], ["x y z x", "", "a x y q"]
     docs = corpus(list(enumerate(good + rest)))
     labels = spark.createDataFrame([(0, 1), (1, 1), (2, 1), (3, 0), (0, 1)], "doc_id long, quality int")
-    rows = {r.doc_id: r for r in language_model.score_difference(docs, language_model.train_difference(docs, labels)).collect()}
+    with Scratch(spark, "test-models") as scratch:
+        models = language_model.train_difference(docs, labels, scratch)
+        rows = {r.doc_id: r for r in language_model.score_difference(docs, models).collect()}
+        # Documents that were not learnt from ask for the same counts.
+        others = {r.doc_id: r for r in language_model.score_difference(corpus(list(enumerate(good + rest))), models).collect()}
+        assert others == rows
+        assert language_model.score_difference(corpus([]), models).count() == 0
     corpora = [[t.split() for t in texts if t] for texts in (good, good + rest)]
     vocabulary = {w for w in "abcdxyzq" if sum(t.count(w) for t in corpora[1]) >= 2}
 
@@ -213,11 +220,30 @@ def test_language_models_against_plain_counts(spark, corpus):
             assert rows[i].score == pytest.approx(float((loss(words, corpora[0]) - loss(words, corpora[1])).mean()), abs=1e-6)
         else:
             assert rows[i].score is None
-    assert language_model.score_difference(corpus([]), language_model.train_difference(docs, labels)).count() == 0
 
 
-def test_unlike_words_never_share_a_count(spark, corpus, monkeypatch):
-    """Two words that shared a cell of 2^22, and pairs in more buckets than one, with and without hot words: all counts stay exact."""
+def test_language_models_of_edges(spark, corpus, edges):
+    """Null identifiers, repeated rows and identifiers, very long texts: each row keeps its place and its score is that of its text."""
+    labels = spark.createDataFrame([(5, 1), (7, 1), (None, 1), (9, None), (99, 1)], "doc_id long, quality int")
+    with Scratch(spark, "test-models") as scratch:
+        docs = corpus(edges, parts=4)
+        got = language_model.score_difference(docs, language_model.train_difference(docs, labels, scratch, slice_bytes=100_000)).collect()
+        small = language_model.score_difference(docs, language_model.train_difference(docs, labels, scratch, slice_bytes=40)).collect()
+        none = language_model.train_difference(corpus([]), labels, scratch)
+        assert (none.every, none.size) == (0, 1)
+        alone = language_model.score_difference(docs, none).collect()
+    rows = sorted(((r.doc_id, r.n_words) for r in got), key=str)
+    assert rows == sorted(((i, len((t or "").split())) for i, t in edges), key=str)
+
+    def by_row(found):
+        return sorted((str(r.doc_id), r.n_words, round(r.score, 9) if r.score is not None else None) for r in found)
+
+    assert by_row(got) == by_row(small) and all((r.score is None) == (r.n_words == 0) for r in got)
+    assert all(r.score is None or abs(r.score) < 1e-12 for r in alone)
+
+
+def test_unlike_words_never_share_a_count(spark, corpus):
+    """Two words that would share a cell of 2^22, in one slice and in several: all counts stay exact."""
     seen, twin = {}, None
     words = WordIds()
     for i in range(100_000):
@@ -230,11 +256,11 @@ def test_unlike_words_never_share_a_count(spark, corpus, monkeypatch):
     docs = corpus([(0, f"a {once} b a"), (1, f"{often} a {often} b"), (2, f"b {often} a")])
     labels = spark.createDataFrame([(1, 1), (0, 0)], "doc_id long, quality int")
     got = []
-    for share in (0.0, 1.0):
-        model = language_model.train_difference(docs, labels, hot_share=share)
-        assert (model.every, model.mine, model.size, model.unknown_every, model.unknown_mine) == (11, 4, 4, 1, 0)
-        assert len(model.hot[0]) == (4 if share == 0 else 0)
-        got.append({r.doc_id: r.score for r in language_model.score_difference(docs, model).collect()})
+    for size in (1, 1 << 20):
+        with Scratch(spark, "test-models") as scratch:
+            model = language_model.train_difference(docs, labels, scratch, slice_bytes=size)
+            assert (model.every, model.mine, model.size, model.unknown_every, model.unknown_mine) == (11, 4, 4, 1, 0)
+            got.append({r.doc_id: r.score for r in language_model.score_difference(docs, model).collect()})
     assert got[0] == pytest.approx(got[1], abs=1e-12)
     # Text 0, by hand: a, the unknown word, b, a. Words and pairs of target (4, 1 a, 2 often, 1 b) and background (11, 4 a, 3 often, 3 b, 1 once).
     mine = [4 * 2 / 8, (4 * 1 / 8) / 5, 4 * 2 / 8 / 4, (4 * 2 / 8) / 5]

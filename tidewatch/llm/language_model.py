@@ -2,321 +2,192 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import id_and_text, slices
+from tidewatch.llm.common import id_and_text
+from tidewatch.llm.slices import SCHEMA, SLICE_BYTES, TEXTS, Slice, bucket_of, by, cut, cut_slices, groups, pack, rows_of, unpack
 from tidewatch.llm.words import FACTORS, WordIds, mix
-from tidewatch.sources.tables import Scratch, stored
+from tidewatch.sources.tables import Scratch
 
 #: Occurrences in the background that make a word one of the vocabulary.
 LEAST = 2
 #: Weight of the word's own probability in that of a pair.
 PRIOR = 4.0
-#: Stands before the first word of a text.
-START = np.uint64(0x5EED)
-#: Least buckets of the tables, words of one, and words that a task counts before it sends them on.
-BUCKETS, BUCKET_WORDS = 64, 2_000_000
-FLUSH = 1 << 20
-#: A word with more than this share of all occurrences of the words is known to every task, and its pairs are dealt by pair.
-HOT_SHARE = 1 / 20_000
-
-KEYED_SCHEMA = "bucket long, name long, docs boolean, cells binary"
-_KEYED = pa.schema([("bucket", pa.int64()), ("name", pa.int64()), ("docs", pa.bool_()), ("cells", pa.binary())])
-#: Columns of packed records: lower 16 and upper 32 bits of 48 that tell a word's pairs apart, document, occurrences, occurrences with a
-#: word behind, counted how, has a word before. The words go before, each once with its number of records.
-RECORD = ("<u2", "<u4", "<u4", "<u4", "<u4", "u1", "u1")
-WORD = ("<u8", "<u4")
-#: Columns of packed documents: place in the slice, identifier and whether there is one, words, what is known of the sum.
-DOC = ("<u4", "<i8", "u1", "<i8", "<f8")
-#: How a document is counted: in the background, in the target too, or not at all.
-BACKGROUND, TARGET, NEITHER = 0, 1, 2
-
-
-def pairs(ids: np.ndarray) -> np.ndarray:
-    """Hashes of each word with the one before it."""
-    before = np.concatenate([[START], ids[:-1]]) if len(ids) else ids
-    return mix(before * FACTORS[0] + ids * FACTORS[1])
-
-
-def pack(*columns: np.ndarray) -> bytes:
-    """Columns of one length as compressed bytes."""
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(x).tobytes() for x in columns))
-
-
-def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    n, at, out = len(raw) // sum(np.dtype(k).itemsize for k in kinds), 0, []
-    for kind in kinds:
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += n * np.dtype(kind).itemsize
-    return out
-
-
-def pack_records(ids: np.ndarray, pair: np.ndarray, *columns: np.ndarray) -> bytes:
-    """Records whose equal words follow each other."""
-    begins = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-    names = pack(ids[begins], np.diff(begins, append=len(ids)).astype("<u4"))
-    low, high = (pair >> np.uint64(16)).astype("<u2"), (pair >> np.uint64(32)).astype("<u4")
-    return len(names).to_bytes(4, "little") + names + pack(low, high, *(x.astype(k) for x, k in zip(columns, RECORD[2:], strict=True)))
-
-
-def unpack_records(blob: bytes) -> list[np.ndarray]:
-    """Words, pairs and the other columns."""
-    end = 4 + int.from_bytes(blob[:4], "little")
-    names, times = unpack(blob[4:end], *WORD)
-    low, high, *columns = unpack(blob[end:], *RECORD)
-    return [np.repeat(names, times), (high.astype(np.uint64) << np.uint64(16)) | low, *columns]
-
-
-def groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order by these keys, the first one leading, and where in it a new combination begins."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), dtype=bool)
-    new[:1] = True
-    for key in keys:
-        own = key[order]
-        new[1:] |= own[1:] != own[:-1]
-    return order, np.flatnonzero(new)
-
-
-def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-
-
-def cut(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """Bucket, begin and end of the runs of a sorted array."""
-    begins = np.flatnonzero(np.diff(bucket, prepend=-1))
-    yield from zip(bucket[begins].tolist(), begins.tolist(), np.append(begins[1:], len(bucket)).tolist(), strict=True)
-
-
-def keyed(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), _KEYED, strict=True)], schema=_KEYED)
-
-
-def _count_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Occurrences of words in all documents and in those of the target, added up for each run of ``FLUSH`` words."""
-    words, held, marks, size = WordIds(), [], [], 0
-
-    def flush() -> pa.RecordBatch:
-        ids, mark = np.concatenate(held), np.repeat(marks, [len(x) for x in held])
-        names, at = np.unique(ids, return_inverse=True)
-        every, mine = np.bincount(at, minlength=len(names)), np.bincount(at, mark, minlength=len(names)).astype(np.int64)
-        return keyed([(b, None, False, pack(names[i:j], every[i:j], mine[i:j])) for b, i, j in cut(bucket_of(names, buckets))])
-
-    for batch in batches:
-        place = 0
-        mark = batch.column(2).to_pylist()
-        for _, texts in slices([batch]):
-            for text in texts:
-                ids = words.of(text)
-                if len(ids):
-                    held.append(ids)
-                    marks.append(mark[place])
-                    size += len(ids)
-                place += 1
-            if size >= FLUSH:
-                yield flush()
-                held, marks, size = [], [], 0
-    if size:
-        yield flush()
-
-
-def _by(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[tuple[int, list[tuple]]]:
-    """The rows ``(bucket, name, docs, blob)`` of each bucket or name of a sorted partition, one at a time."""
-    current, held = None, []
-    for batch in batches:
-        for row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-            if row[key] != current:
-                if held:
-                    yield current, held
-                current, held = row[key], []
-            held.append(row)
-    if held:
-        yield current, held
-
-
-def _add_words(batches: Iterator[pa.RecordBatch], hot_from: float, least: int) -> Iterator[pa.RecordBatch]:
-    """For each bucket: occurrences, those of words outside the vocabulary, its size; and the words that are hot."""
-    for _, held in _by(batches, 0):
-        ids, every, mine = (np.concatenate(x) for x in zip(*(unpack(row[3], "<u8", "<i8", "<i8") for row in held), strict=True))
-        names, at = np.unique(ids, return_inverse=True)
-        every, mine = (np.bincount(at, x, minlength=len(names)).astype(np.int64) for x in (every, mine))
-        known, hot = every >= least, every > hot_from
-        sums = [int(every.sum()), int(mine.sum()), int(every[~known].sum()), int(mine[~known].sum()), int(known.sum())]
-        yield pa.RecordBatch.from_pydict(
-            {"sums": [sums], "hot": [pack(names[hot], every[hot], mine[hot])]},
-            schema=pa.schema([("sums", pa.list_(pa.int64())), ("hot", pa.binary())]),
-        )
+#: Buckets at least, more than tasks, so that these get even shares; and bytes of text whose words and pairs share one, on average, beyond that.
+LEAST_BUCKETS = 256
+BUCKET_BYTES = 16 << 20
+#: Kinds of rows beside the texts of a slice, and the bits of their names. Totals are of a bucket.
+WORDS, PAIRS, TOTALS = TEXTS + 1, TEXTS + 2, TEXTS + 3
+BITS = {WORDS: 64, PAIRS: 56}
+
+
+class Bigrams(Slice):
+    """A slice with the numbers of its words and of its pairs of neighbouring words; pairs never cross documents."""
+
+    def __init__(self, blob: bytes, words: WordIds):
+        super().__init__(blob)
+        own = [words.of_bytes(self.data[b:e].tobytes()) for b, e in zip(self.begins.tolist(), self.ends.tolist(), strict=True)]
+        self.lengths = np.array([len(x) for x in own], dtype=np.int64)
+        ids = np.concatenate(own) if own else np.zeros(0, np.uint64)
+        self.doc = np.repeat(np.arange(len(own)), self.lengths)
+        #: Places of the words that have one before them in their text.
+        self.behind = np.flatnonzero(self.doc[1:] == self.doc[:-1]) + 1
+        pairs = mix(ids[self.behind - 1] * FACTORS[0] + ids[self.behind] * FACTORS[1]) >> np.uint64(64 - BITS[PAIRS])
+        self.names, self.at = {}, {}
+        for kind, hashes in ((WORDS, ids), (PAIRS, pairs)):
+            self.names[kind], self.at[kind] = np.unique(hashes, return_inverse=True)
+
+    def counts(self, kind: int, weights: np.ndarray | None = None) -> np.ndarray:
+        """Occurrences of each word or pair, or those in documents of weight 1."""
+        if weights is not None:
+            weights = weights[self.doc if kind == WORDS else self.doc[self.behind]]
+        return np.bincount(self.at[kind], weights, minlength=len(self.names[kind])).astype(np.int64)
+
+
+def _ask(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The distinct words and pairs of each slice by bucket, with how often all its documents and those of the target have them."""
+    words = WordIds()
+    for name, held in groups(batches, "slice"):
+        part = Bigrams(held[0]["blob"], words)
+        target = np.zeros(len(part.ids))
+        target[held[0]["places"] or []] = 1
+        learnt = np.ones(len(part.ids)) if name >= 0 else np.zeros(len(part.ids))
+        rows = []
+        for kind, bits in BITS.items():
+            names, every, mine = part.names[kind], part.counts(kind, learnt), part.counts(kind, target)
+            for b, i, j in cut(bucket_of(names, buckets, bits)):
+                blob = pack(np.diff(names[i:j], prepend=np.uint64(0)), every[i:j].astype("<u4"), mine[i:j].astype("<u4"))
+                rows.append((name, kind, b, j - i, blob))
+        if rows:
+            yield rows_of(rows)
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each slice and bucket, in the order asked: how often the other slices have its words or pairs, and how often the target does.
+
+    And for each bucket: occurrences of words in all documents and in the target, those outside the vocabulary, and its size.
+    """
+    for bucket, held in groups(batches, "bucket"):
+        for kind in BITS:
+            own = [row for row in held if row["kind"] == kind]
+            if not own:
+                continue
+            parts = [unpack(row["blob"], "<u8", "<u4", "<u4") for row in own]
+            names, at = np.unique(np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in parts]), return_inverse=True)
+            every, mine = (np.bincount(at, np.concatenate([x[k] for x in parts]), minlength=len(names)).astype(np.int64) for k in (1, 2))
+            if kind == WORDS:
+                known = every >= LEAST
+                sums = [every.sum(), mine.sum(), every[~known].sum(), mine[~known].sum(), known.sum()]
+                yield rows_of([(0, TOTALS, bucket, 0, pack(np.array(sums, dtype="<i8")))])
+            begin = 0
+            for row, x in zip(own, parts, strict=True):
+                mine_at = at[begin : begin + len(x[0])]
+                begin += len(x[0])
+                blob = pack((every[mine_at] - x[1]).astype("<i8"), mine[mine_at].astype("<i8"))
+                yield rows_of([(row["slice"], kind, bucket, row["size"], blob)])
 
 
 @dataclass
 class Difference:
-    """What every task knows of the two models, target and background: totals, and the counts of hot words. ``marked`` are the documents of ``docs`` learnt from."""
+    """Two models, target and background: their totals, and the tables that hold what their documents have.
+
+    ``slices`` are the documents of ``docs`` learnt from, with the places of the target's; ``counts`` the answers to what they asked.
+    """
 
     docs: DataFrame
-    marked: DataFrame
+    scratch: Scratch
+    slices: DataFrame
+    counts: DataFrame
     buckets: int
+    slice_bytes: int
     every: int = 0
     mine: int = 0
     unknown_every: int = 0
     unknown_mine: int = 0
     size: int = 1
-    hot: tuple[np.ndarray, ...] = ()
 
 
-def mark_target(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``doc_id, text, mark``: 1 where a label says that the document belongs to the target."""
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for name, held in groups(batches, "slice"):
+        part = Slice(held[0]["blob"])
+        place = np.flatnonzero(part.has)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part.ids[place]), pa.array(np.full(len(place), name)), pa.array(place.astype(np.int32))], names=["doc_id", "slice", "place"]
+        )
+
+
+def mark_target(slices: DataFrame, labels: DataFrame, label: str, scratch: Scratch) -> DataFrame:
+    """Slices with the places of the documents that a label of 1 puts into the target.
+
+    Labels meet the documents' identifiers alone. The places, a few bytes for each document of the target, are written and then
+    joined to the slices: Spark sends them to the texts while they are under its broadcast limit, and the other way beyond.
+    """
     chosen = labels.filter(F.col(label) == 1).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    # Labels grow with the documents: the join is the same at every size, never a broadcast.
-    chosen = chosen.withColumn("mark", F.lit(TARGET)).hint("shuffle_hash")
-    return id_and_text(docs).join(chosen, "doc_id", "left").select("doc_id", "text", F.coalesce("mark", F.lit(BACKGROUND)).alias("mark"))
-
-
-def train_difference(docs: DataFrame, labels: DataFrame, label: str = "quality", bucket_words: int = BUCKET_WORDS, hot_share: float = HOT_SHARE) -> Difference:
-    """Background from all documents, target from all documents whose label is 1: exact totals of words."""
-    marked = stored(mark_target(docs, labels, label), "marked")
-    # A word takes about six characters as a rule; only the cut into buckets and what is hot depend on this.
-    chars = marked.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = max(BUCKETS, math.ceil(chars / 6 / bucket_words))
-    counted = stored(marked.mapInArrow(lambda batches: _count_words(batches, buckets), KEYED_SCHEMA), "words")
-    hot_from = chars / 6 * hot_share
-    added = counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        lambda batches: _add_words(batches, hot_from, LEAST), "sums array<long>, hot binary"
-    )
-    out = Difference(docs, marked, buckets)
-    names = [np.zeros(0, "<u8")], [np.zeros(0, "<i8")], [np.zeros(0, "<i8")]
-    for row in added.toLocalIterator():
-        every, mine, unknown_every, unknown_mine, known = row.sums
-        out.every, out.mine, out.size = out.every + every, out.mine + mine, out.size + known
-        out.unknown_every, out.unknown_mine = out.unknown_every + unknown_every, out.unknown_mine + unknown_mine
-        for own, found in zip(names, unpack(row.hot, "<u8", "<i8", "<i8"), strict=True):
-            own.append(found)
-    hot, every, mine = map(np.concatenate, names)
-    order = np.argsort(hot)
-    out.hot = hot[order], every[order], mine[order]
-    return out
+    members = slices.mapInArrow(_members, "doc_id long, slice long, place int")
+    places = members.join(chosen, "doc_id").groupBy("slice").agg(F.collect_list("place").alias("places"))
+    return slices.join(scratch.store(places, "target"), "slice", "left").select(*slices.columns, "places")
 
 
-def find(sorted_names: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ids in a sorted array, and whether they are there."""
-    if not len(sorted_names):
-        return np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
-    at = np.minimum(np.searchsorted(sorted_names, ids), len(sorted_names) - 1)
-    return at, sorted_names[at] == ids
+def _answers(asked: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
+    asks = asked.mapInArrow(lambda batches: _ask(batches, buckets), SCHEMA)
+    return scratch.store(by(asks, "bucket").mapInArrow(_add, SCHEMA), "counts")
 
 
-def _deal(batches: Iterator[pa.RecordBatch], shared, buckets: int) -> Iterator[pa.RecordBatch]:
-    """The documents to score of each slice, and its distinct pairs, cut into buckets.
+def train_difference(
+    docs: DataFrame, labels: DataFrame, scratch: Scratch, label: str = "quality", slice_bytes: int = SLICE_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
+) -> Difference:
+    """Background from all documents, target from all documents whose label is 1. The tables live as long as ``scratch``.
 
-    A pair goes where all occurrences of its second word go, so that word's and pair's counts meet there. The pairs of a
-    hot word are dealt by pair; the word's counts are known.
+    Each slice sends its distinct words and pairs with its counts to buckets by hash, where those of all slices are added up, and
+    gets back the totals of what it sent. A word or pair is sent once for each slice, however frequent it is.
     """
-    words, (hot, hot_every, hot_mine) = WordIds(), shared.value
-    name = TaskContext.get().partitionId() << 40
-    for batch in batches:
-        marks, scored = (np.array(batch.column(k).to_pylist(), dtype=np.uint8) for k in (2, 3))
-        place = 0
-        for doc_ids, texts in slices([batch]):
-            n = len(texts)
-            mark, wanted = marks[place : place + n], np.flatnonzero(scored[place : place + n])
-            place += n
-            own = [words.of(text) for text in texts]
-            lengths = np.array([len(x) for x in own], dtype=np.int64)
-            ids, pair = np.concatenate(own), np.concatenate([pairs(x) for x in own])
-            doc = np.repeat(np.arange(n), lengths)
-            first, last = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
-            ends = lengths.cumsum()
-            first[(ends - lengths)[lengths > 0]] = True
-            last[ends[lengths > 0] - 1] = True
-            at, is_hot = find(hot, ids)
-            # What a hot word gives as the word before another is known here.
-            gives, use = np.zeros(len(ids)), is_hot & ~last
-            gives[use] = np.log(hot_every[at[use]] + PRIOR) - np.log(hot_mine[at[use]] + PRIOR)
-            given = np.bincount(doc, gives, minlength=n)
-            rows = []
-            if len(wanted):
-                has = np.array([x is not None for x in doc_ids])
-                numbers = np.array([x or 0 for x in doc_ids], dtype=np.int64)
-                columns = zip((wanted, numbers[wanted], has[wanted], lengths[wanted], given[wanted]), DOC, strict=True)
-                rows.append((name % buckets, name, True, pack(*(x.astype(kind) for x, kind in columns))))
-            if len(ids):
-                key = np.where(is_hot, pair, ids)
-                order, begins = groups(key, pair, doc)
-                behind = np.add.reduceat((~last & ~is_hot)[order].astype(np.int64), begins)
-                kept, times = order[begins], np.diff(begins, append=len(order))
-                columns = [ids[kept], pair[kept], doc[kept], times, behind, mark[doc[kept]], ~first[kept]]
-                rows += [(b, name, False, pack_records(*(x[i:j] for x in columns))) for b, i, j in cut(bucket_of(key[kept], buckets))]
-            if rows:
-                yield keyed(rows)
-            name += 1
-
-
-def _weigh(batches: Iterator[pa.RecordBatch], shared, totals: tuple[tuple[int, int], tuple[int, int], int]) -> Iterator[pa.RecordBatch]:
-    """What the pairs of a bucket add to the sum of each document, from exact counts: all occurrences are here."""
-    hot, hot_every, hot_mine = shared.value
-    for bucket, held in _by(batches, 0):
-        docs, held = [row for row in held if row[2]], [row for row in held if not row[2]]
-        if docs:
-            yield keyed(docs)
-        if not held:
-            continue
-        parts = [unpack_records(row[3]) for row in held]
-        ends = np.cumsum([len(x[0]) for x in parts])
-        names = [row[1] for row in held]
-        ids, pair, doc, times, behind, mark, joined = (np.concatenate(x) for x in zip(*parts, strict=True))
-        del parts, held
-        order, begins = groups(ids, pair)
-        both = np.empty(len(ids), np.int32)
-        both[order] = np.repeat(np.arange(len(begins), dtype=np.int32), np.diff(begins, append=len(ids)))
-        vocabulary, word_of_pair = np.unique(ids[order[begins]], return_inverse=True)
-        del order
-        word = word_of_pair[both]
-        at, is_hot = find(hot, vocabulary)
-
-        def count(counted: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            of_words = np.bincount(word, times * counted, minlength=len(vocabulary))
-            of_words[is_hot] = known[at[is_hot]]
-            return of_words, np.bincount(both, times * (counted & joined), minlength=len(begins))
-
-        every, pair_every = count((mark != NEITHER).astype(np.uint8), hot_every)
-        mine, pair_mine = count((mark == TARGET).astype(np.uint8), hot_mine)
-        known = every >= LEAST
-        delta = np.zeros(len(ids))
-        # Target minus background. What a word gives as the word before another comes with its own records.
-        for sign, own, twice, (total, unknown) in ((1.0, mine, pair_mine, totals[0]), (-1.0, every, pair_every, totals[1])):
-            alone = PRIOR * (np.where(known, own, unknown) + 1) / (total + totals[2])
-            twice = twice * known[word_of_pair]
-            delta += sign * (times * np.log(twice[both] * joined + alone[word]) - behind * np.log(own + PRIOR)[word])
-        begin = 0
-        for name, end in zip(names, ends.tolist(), strict=True):
-            sums = np.bincount(doc[begin:end], delta[begin:end])
-            met = np.unique(doc[begin:end])
-            begin = end
-            yield keyed([(bucket, name, False, pack(met.astype("<u4"), sums[met]))])
-
-
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of each slice's documents over all buckets, whose rows come slice by slice."""
-    for _, held in _by(batches, 1):
-        docs = [row[3] for row in held if row[2]]
-        if not docs:
-            continue
-        place, numbers, has, lengths, total = (x.copy() for x in unpack(docs[0], *DOC))
-        for _, _, _, blob in sorted((row for row in held if not row[2]), key=lambda row: row[0]):
-            met, sums = unpack(blob, "<u4", "<f8")
-            at, there = find(place, met)
-            total[at[there]] += sums[there]
+    slices = scratch.store(id_and_text(docs).mapInArrow(lambda batches: cut_slices(batches, slice_bytes), SCHEMA), "slices")
+    buckets = max(LEAST_BUCKETS, -(-(slices.agg(F.sum("size")).first()[0] or 0) // bucket_bytes))
+    marked = mark_target(slices, labels, label, scratch)
+    out = Difference(docs, scratch, marked, _answers(marked, buckets, scratch), buckets, slice_bytes)
+    for row in out.counts.filter(F.col("kind") == TOTALS).select("blob").toLocalIterator():
+        every, mine, unknown_every, unknown_mine, known = unpack(row.blob, "<i8")[0].tolist()
+        out.every, out.mine, out.size = out.every + every, out.mine + mine, out.size + known
+        out.unknown_every, out.unknown_mine = out.unknown_every + unknown_every, out.unknown_mine + unknown_mine
+    return out
+
+
+def _score(batches: Iterator[pa.RecordBatch], models: tuple[tuple[float, int, int], ...], size: int) -> Iterator[pa.RecordBatch]:
+    """Mean difference of the losses of each document's words, from the totals of its slice's words and pairs."""
+    words = WordIds()
+    for name, held in groups(batches, "slice"):
+        part = Bigrams(held[0]["blob"], words)
+        totals = {}
+        for kind in BITS:
+            # Buckets rise with the names, so their answers laid end to end are in the slice's own order.
+            found = [unpack(row["blob"], "<i8", "<i8") for row in held if row["kind"] == kind]
+            every, mine = (np.concatenate([x[k] for x in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+            totals[kind] = every + (part.counts(kind) if name >= 0 else 0), mine
+        known = totals[WORDS][0] >= LEAST
+        word = part.at[WORDS]
+        delta = np.zeros(len(word))
+        # Target minus background.
+        for sign, total, unknown in models:
+            which = 1 if sign > 0 else 0
+            own, both = totals[WORDS][which], np.zeros(len(word))
+            both[part.behind] = totals[PAIRS][which][part.at[PAIRS]] * known[word[part.behind]]
+            before = np.zeros(len(word))
+            before[part.behind] = own[word[part.behind - 1]]
+            alone = PRIOR * (np.where(known, own, unknown) + 1) / (total + size)
+            delta += sign * (np.log(both + alone[word]) - np.log(before + PRIOR))
+        sums = np.bincount(part.doc, delta, minlength=len(part.ids))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(numbers, mask=has == 0), pa.array(lengths), pa.array(total / np.maximum(lengths, 1), mask=lengths == 0)],
+            [
+                pa.array(part.ids, mask=~part.has), pa.array(part.lengths),
+                pa.array(sums / np.maximum(part.lengths, 1), mask=part.lengths == 0),
+            ],
             names=["doc_id", "n_words", "score"],
         )
 
@@ -324,22 +195,23 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def score_difference(docs: DataFrame, difference: Difference) -> DataFrame:
     """``doc_id, n_words, score`` of every whole text: mean difference of the two models' losses for each word; above 0 it is more like the target.
 
-    Counts of words and pairs are exact up to clashes of hashes (64 bits for a word, 48 more for each pair that ends in it), and grow with the corpus. One shuffle sends the distinct pairs
-    of each slice of documents, those learnt from and those scored, to the bucket of their second word; there its and their counts are
-    added up over the corpus and give what each document gets. A second shuffle adds that up. Hot words, whose number is bounded by
-    their share, are known to all tasks, and their pairs are spread by pair. Null and empty texts have no words and a null
-    score. Repeated rows and null identifiers keep their rows; other columns are not read. An empty table gives no rows.
+    Counts of words and pairs are exact up to clashes of hashes (64 bits for a word, 56 for a pair), and grow with the corpus. Slices of
+    documents get the totals of their words and pairs (``train_difference``) and are scored on the spot; documents
+    that were not learnt from ask for theirs first. Texts travel compressed, once for the scores.
+
+    Null and empty texts have no words and a null score. Repeated rows and null identifiers keep their rows; a label of an
+    identifier puts all its rows into the target. Other columns are not read. An empty table gives no rows.
     """
     d = difference
-    learnt = d.marked.withColumn("scored", F.lit(docs is d.docs))
+    slices, counts = d.slices.drop("places"), d.counts.filter(F.col("kind") != TOTALS)
     if docs is not d.docs:
-        others = id_and_text(docs).select("doc_id", "text", F.lit(NEITHER).alias("mark"), F.lit(True).alias("scored"))
-        # Stored: slices must be the same if a task is run again.
-        learnt = stored(learnt.union(others), "learnt-and-scored")
-    shared = docs.sparkSession.sparkContext.broadcast(d.hot)
-    totals, buckets = ((d.mine, d.unknown_mine), (d.every, d.unknown_every), d.size), d.buckets
-    dealt = learnt.mapInArrow(lambda batches: _deal(batches, shared, buckets), KEYED_SCHEMA)
-    weighed = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        lambda batches: _weigh(batches, shared, totals), KEYED_SCHEMA
+        limit = d.slice_bytes
+        others = id_and_text(docs).mapInArrow(lambda batches: cut_slices(batches, limit), SCHEMA)
+        # Names below zero tell them from the documents that were learnt from.
+        slices = d.scratch.store(others.withColumn("slice", -1 - F.col("slice")), "other-slices")
+        asked = d.slices.unionByName(slices.withColumn("places", F.lit(None).cast("array<int>")))
+        counts = _answers(asked, d.buckets, d.scratch).filter((F.col("kind") != TOTALS) & (F.col("slice") < 0))
+    models, size = ((1.0, d.mine, d.unknown_mine), (-1.0, d.every, d.unknown_every)), d.size
+    return by(slices.union(counts), "slice").mapInArrow(
+        lambda batches: _score(batches, models, size), "doc_id long, n_words long, score double"
     )
-    return weighed.repartition("name").sortWithinPartitions("name").mapInArrow(_finish, "doc_id long, n_words long, score double")

@@ -121,7 +121,9 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much more each document is like the good documents than like all, in nats a word."""
     docs = documents(spark, sf_dir)
-    return language_model.score_difference(docs, language_model.train_difference(docs, labels(spark, sf_dir)))
+    with Scratch(spark, "language-model") as scratch:
+        models = language_model.train_difference(docs, labels(spark, sf_dir), scratch)
+        return stored(language_model.score_difference(docs, models), "language-scores")
 
 
 @query

@@ -24,7 +24,10 @@ class WordIds(dict):
 
     def of(self, text: str) -> np.ndarray:
         """Ids of the words of a text: A-Z lower-cased, split at ASCII white space."""
-        words = text.encode("utf-8", "surrogatepass").lower().split()
+        return self.of_bytes(text.encode("utf-8", "surrogatepass"))
+
+    def of_bytes(self, text: bytes) -> np.ndarray:
+        words = text.lower().split()
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
