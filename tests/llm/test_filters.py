@@ -210,6 +210,29 @@ def test_reordered_passages_are_caught(spark, corpus):
     assert tiling.mark_contaminated(corpus([]), bench).count() == 0
 
 
+def test_short_items_true_coverage_and_ties_for_any_blocks(spark, corpus):
+    """Items under eight words have to be held whole; coverage below the threshold is what it is; equal ones go to the smallest name."""
+    word = lambda k: f"w{k}x"
+    items = {i: " ".join(word(10 * i + k) for k in range(10)) for i in (8, 4, 2, 1)}
+    rows = [(i, t) for i, t in items.items()] + [
+        (20, "alpha beta gamma"), (21, "delta"), (22, "!!"), (None, "alpha beta gamma"), (23, "one two three four five six"), (8, items[8])
+    ]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    docs = [
+        (1, "so Alpha, beta gamma!"), (2, "alpha gamma beta"), (3, "delta"), (4, "one two three four five seven six"),
+        (5, " ".join(items[2].split()[:5]) + " and other words"), (6, " ".join(items[i] for i in (4, 8, 2))),
+        (7, "one two three four five six"), (8, None), (9, "beta gamma"),
+    ]
+    want = {
+        1: (1.0, 20, 2), 2: (0.0, None, 0), 3: (1.0, 21, 1), 4: (0.0, None, 0), 5: (0.5, 2, 0), 6: (1.0, 2, 4), 7: (1.0, 23, 1),
+        8: (0.0, None, 0), 9: (0.0, None, 0),
+    }
+    for chars in (10**9, 120, 60, 20):
+        out = tiling.mark_contaminated(corpus(docs), bench, block_chars=chars).select("row.doc_id", "coverage", "item_id", "n_items", "contaminated")
+        assert {r.doc_id: (r.coverage, r.item_id, r.n_items) for r in out.collect()} == want
+        assert all(r.contaminated == (r.n_items > 0) for r in out.collect())
+
+
 def test_tiling_query_finds_whole_items(spark):
     docs = dict(spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect())
     items = [r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]

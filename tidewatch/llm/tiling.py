@@ -13,7 +13,7 @@ from tidewatch.llm.common import append_columns, whole_text
 from tidewatch.llm.words import WordIds, runs, tidy_ids
 from tidewatch.sources.tables import stored
 
-#: Words of the shortest tile, and words an item must have to be looked for.
+#: Words of the shortest tile, and those from which an item may be held in parts; a shorter one has to be held whole.
 TILE, ITEM_WORDS = 4, 8
 #: Share of an item's words in tiles from which a document counts as contaminated.
 COVERAGE = 0.6
@@ -51,13 +51,16 @@ def tiles(doc: np.ndarray, item: np.ndarray, doc_at: np.ndarray, item_at: np.nda
 
 
 class Benchmark:
-    """Items of a benchmark and an index of their runs of ``least`` words by running hash."""
+    """Items of a benchmark, with how often each occurs, and an index of their runs of ``least`` words by running hash.
 
-    def __init__(self, items: list[tuple[int, str]], least: int = TILE, item_words: int = ITEM_WORDS):
+    Items under ``item_words`` words are one run of all their words; items without words are left out.
+    """
+
+    def __init__(self, items: list[tuple], least: int = TILE, item_words: int = ITEM_WORDS):
         words, self.least = WordIds(), least
-        ids = [(name, tidy_ids(text, words)) for name, text in items]
-        kept = [(name, own) for name, own in ids if len(own) >= max(item_words, least)]
-        self.names, self.items = [name for name, _ in kept], [own for _, own in kept]
+        ids = [(item[0], tidy_ids(item[1], words), item[2] if len(item) > 2 else 1) for item in items]
+        kept = [x for x in ids if len(x[1]) >= max(item_words, least)]
+        self.names, self.items, self.times = [x[0] for x in kept], [x[1] for x in kept], [x[2] for x in kept]
         hashes = [runs(own, least) for own in self.items]
         every = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(every, kind="stable")
@@ -65,40 +68,65 @@ class Benchmark:
         self.begin = np.append(first, len(every))
         self.owner = np.repeat(np.arange(len(hashes)), [len(x) for x in hashes])[order]
         self.place = np.concatenate([np.arange(len(x)) for x in hashes])[order] if hashes else np.zeros(0, np.int64)
+        #: By number of words: hash of a short item, the smallest name that has it, and how often it occurs.
+        self.short: dict[int, dict[int, tuple[int | None, int]]] = {}
+        for name, own, times in ids:
+            if 0 < len(own) < max(item_words, least):
+                found = self.short.setdefault(len(own), {})
+                key = int(runs(own, len(own))[0])
+                before = found.get(key, (None, 0))
+                found[key] = min((before[0], name), key=_rank), before[1] + times
 
     def check(self, doc: np.ndarray, threshold: float = COVERAGE) -> tuple[float, int | None, int]:
-        """Largest coverage of an item by tiles in the document, that item, and the number of items that reach the threshold.
+        """Largest coverage of an item by tiles in the document, that item (ties: the smallest), and the number of items that reach the threshold.
 
-        Only items that could reach it are tiled: the words of their shared runs must cover as much.
+        The words of an item's shared runs bound its coverage. Items are tiled from the largest bound down, as long as one could
+        still reach the threshold or be the best.
         """
-        best: tuple[float, int | None] = (0.0, None)
-        n_items = 0
+        best, best_name, n_items = 0.0, None, 0
+        for length, found in self.short.items():
+            held = {int(x) for x in runs(doc, length)} & found.keys() if len(doc) >= length else ()
+            for key in held:
+                name, times = found[key]
+                n_items += times
+                if best < 1.0 or _rank(name) < _rank(best_name):
+                    best, best_name = 1.0, name
         if len(doc) < self.least or not len(self.seeds):
-            return *best, n_items
+            return best, best_name, n_items
         hashes = runs(doc, self.least)
         at = np.minimum(np.searchsorted(self.seeds, hashes), len(self.seeds) - 1)
         doc_at = np.flatnonzero(self.seeds[at] == hashes)
         if not len(doc_at):
-            return *best, n_items
+            return best, best_name, n_items
         begin, size = self.begin[at[doc_at]], self.begin[at[doc_at] + 1] - self.begin[at[doc_at]]
         flat = np.repeat(begin - np.concatenate([[0], size.cumsum()[:-1]]), size) + np.arange(size.sum())
         owner, place, doc_at = self.owner[flat], self.place[flat], np.repeat(doc_at, size)
         order = np.argsort(owner, kind="stable")
         owner, place, doc_at = owner[order], place[order], doc_at[order]
         cuts = np.flatnonzero(np.diff(owner, prepend=-1))
+        able = []
         for first, last in zip(cuts.tolist(), [*cuts[1:].tolist(), len(owner)], strict=True):
             item = self.items[owner[first]]
             covered = np.zeros(len(item) + 1, dtype=np.int64)
             spots = np.unique(place[first:last])
             np.add.at(covered, spots, 1)
             np.add.at(covered, spots + self.least, -1)
-            if (covered.cumsum()[:-1] > 0).sum() < threshold * len(item):
-                continue
+            able.append(((covered.cumsum()[:-1] > 0).sum() / len(item), first, last))
+        for bound, first, last in sorted(able, reverse=True):
+            if bound < min(best, threshold):
+                break
+            own = owner[first]
+            item, name = self.items[own], self.names[own]
             share = sum(n for _, _, n in tiles(doc, item, doc_at[first:last], place[first:last], self.least)) / len(item)
-            n_items += share >= threshold
-            if share > best[0]:
-                best = share, self.names[owner[first]]
-        return *best, n_items
+            n_items += self.times[own] * (share >= threshold)
+            if share > best or (share == best and share and _rank(name) < _rank(best_name)):
+                best, best_name = share, name
+        return best, best_name, n_items
+
+
+def _rank(name: int | None) -> tuple[bool, int]:
+    """Orders names, a missing one last."""
+    return name is None, name or 0
 
 
 def mark_contaminated(
@@ -108,20 +136,22 @@ def mark_contaminated(
     """``row, coverage, item_id, n_items, contaminated`` of every document; ``row`` holds its columns.
 
     Words are compared in lower case without punctuation around them. Shared runs of ``least`` words join a document to items; each pair is tiled
-    greedily, and an item whose words lie in tiles by ``threshold`` or more, in whatever order, contaminates the document. ``coverage`` and ``item_id`` are those of the item covered best,
-    0 and null if none could reach the threshold.
+    greedily, and an item whose words lie in tiles by ``threshold`` or more, in whatever order, contaminates the document. An item under
+    ``item_words`` words does if the document has all its words in one run. ``coverage`` and ``item_id`` are those of the item covered best, whatever it reaches;
+    of items covered alike the smallest identifier, a null one last. 0 and null if no item shares a run.
 
     The benchmark is worked off in blocks of about ``block_chars`` characters, so what is sent to the tasks has a fixed bound; one pass
-    over the documents, without a shuffle, for each block. Items under ``item_words`` words are no evidence and are left out, null items too; of items
-    repeated in a block each counts. Null and empty texts are never contaminated. An empty table of either kind is fine.
+    over the documents, without a shuffle, for each block; the number of blocks changes no result. Equal rows of the benchmark travel once and
+    count as often as they occur. Items without words never match. Null and empty texts are never contaminated. An empty table of either kind is fine.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), whole_text().alias("text"))
+    items = items.groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("times"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_chars))
     marked = None
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        rows = sorted(((row.item_id, row.text) for row in part), key=lambda x: (x[0] is None, x))
+        rows = sorted(((row.item_id, row.text, row.times) for row in part), key=lambda x: (_rank(x[0]), x[1]))
         shared = docs.sparkSession.sparkContext.broadcast(Benchmark(rows, least, item_words))
 
         def check(batches: Iterator[list[str]], shared=shared) -> Iterator[list[pa.Array]]:
@@ -138,10 +168,12 @@ def mark_contaminated(
         else:
             before = stored(marked.withColumn("text", F.col("row.text")), "tiled")
             after = append_columns(before, check, FIELDS)
-            old, better = F.col("row.coverage"), F.col("coverage") > F.col("row.coverage")
+            old, name = F.col("row.coverage"), F.col("row.item_id")
+            # A null identifier is the last of those covered alike.
+            better = (F.col("coverage") > old) | ((F.col("coverage") == old) & F.coalesce(F.col("item_id") < name, name.isNull()))
             marked = after.select(
                 F.col("row.row").alias("row"), F.greatest("coverage", old).alias("coverage"),
-                F.when(better, F.col("item_id")).otherwise(F.col("row.item_id")).alias("item_id"),
+                F.when(better, F.col("item_id")).otherwise(name).alias("item_id"),
                 (F.col("n_items") + F.col("row.n_items")).alias("n_items"),
             )
     return marked.withColumn("contaminated", F.col("n_items") > 0)
