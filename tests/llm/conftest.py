@@ -10,7 +10,7 @@ def corpus(spark):
 
     def build(rows, parts=3):
         frame = spark.createDataFrame(rows, SCHEMA).repartition(parts)
-        return frame.select("doc_id", "text", *(F.lit("x").alias(name) for name in ("ids", "score", "row", "n", "bucket", "kind")))
+        return frame.select("doc_id", "text", *(F.lit("x").alias(name) for name in ("ids", "score", "row", "n", "bucket", "kind", "_row_key", "key", "_stays", "stays", "own", "text_sha256", "component_id")))
 
     return build
 

@@ -165,12 +165,13 @@ def _chains(runs: DataFrame, keep: str) -> DataFrame:
 def deduplicate_texts(docs: DataFrame, keep: str = "largest") -> DataFrame:
     """The documents whose row stays, with all their columns.
 
-    Rows are found again by identifier and text digest; of rows that repeat both, one stays.
+    Rows are found again by identifier and text digest; of rows that repeat both, one stays. The columns travel inside one, so
+    that none of their names can clash.
     """
-    stays = exact_groups(docs, keep).filter("kept").select(_row_key(F.col("text_sha256")).alias("_row_key"))
+    stays = exact_groups(docs, keep).filter("kept").select(_row_key(F.col("text_sha256")).alias("key"))
     digest = F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256)
-    keyed = docs.withColumn("_row_key", _row_key(digest))
-    return keyed.join(stays, "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key")
+    keyed = docs.select(_row_key(digest).alias("key"), F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
+    return keyed.join(stays, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def _row_key(digest: Column) -> Column:

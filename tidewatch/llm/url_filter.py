@@ -111,7 +111,8 @@ def judge_urls(
     them, and the trees learn from at most ``train_rows`` of them, those with the smallest hash of id and URL. A URL without a
     rule is blocked when the trees' probability (``score``) is ``block_at`` or more.
 
-    A null URL and one without ``://`` have an empty host and path and are judged by the trees. Without
+    A null URL and one without ``://`` have an empty host and path and are judged by the trees. A rule such as ``com/`` wants a path
+    that begins with a slash: ``http://a.com``, whose path is empty, fits none and is judged by the trees too. Without
     labelled URLs the trees say one half, which blocks at the default threshold. Repeated rows and null
     identifiers keep their rows; other columns are not read. An empty table gives no rows.
     """
