@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,18 +41,18 @@ def fitting(order: list[tuple[int, int, int]], chars: int) -> list[int]:
     return [name for name, _, _ in order if name in taken]
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int, chars: int
-) -> tuple[list[str], list[int]]:
-    """Texts and labels of at most ``rows`` documents for each class and ``chars`` characters in all, on the driver.
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int, chars: int) -> DataFrame:
+    """``place, doc_id, label, text`` of at most ``rows`` documents for each class and ``chars`` characters in all.
 
     ``usable`` says, from ``doc_id``, which rows may be learnt from. Those with the smallest hash of the identifier are taken, so the
     sample doesn't depend on how the tables are cut. Each class has half of the characters, and what the other one leaves; a text
-    that doesn't fit is skipped, those behind it still enter. Null labels and rows without a document are left out.
+    that doesn't fit is skipped, those behind it still enter. Null labels and rows without a document are left out. Of an identifier
+    with several labels the smallest counts, of one with several texts the one with the smallest hash, then the smallest.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
         .filter(usable & F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
+        .groupBy("doc_id").agg(F.min("label").alias("label"))
         .withColumn("place", F.xxhash64("doc_id"))
     )
     # A bound on the hash, twice the share that is wanted, keeps tasks from sending rows that cannot be among the smallest.
@@ -59,12 +63,36 @@ def labelled_sample(
         .limit(rows)
         for k in (0, 1)
     ]
-    chosen = picked[0].union(picked[1]).dropDuplicates(["doc_id"])
-    found = id_and_text(docs).join(chosen, "doc_id")
-    order = sorted(
-        found.select("place", "doc_id", "label", F.length("text").alias("size")).dropDuplicates(["doc_id"]).collect()
-    )
+    found = id_and_text(docs).join(picked[0].union(picked[1]), "doc_id")
+    # Lengths come first, and texts only of what fits.
+    sizes = found.groupBy("place", "doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), F.length("text").alias("size"))).alias("first"))
+    order = sorted(sizes.select("place", "doc_id", "label", "first.size").collect())
     taken = fitting([(row.doc_id, row.label, row.size) for row in order], chars)
-    texts = found.filter(F.col("doc_id").isin(taken)).select("place", "doc_id", "label", "text").dropDuplicates(["doc_id"])
-    kept = sorted(texts.collect(), key=lambda row: (row.place, row.doc_id))
+    texts = found.filter(F.col("doc_id").isin(taken)).groupBy("place", "doc_id", "label").agg(
+        F.min(F.struct(F.xxhash64("text"), "text")).alias("first")
+    )
+    return texts.select("place", "doc_id", "label", "first.text")
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int, chars: int
+) -> tuple[list[str], list[int]]:
+    """Texts and labels of ``labelled_rows``, on the driver."""
+    kept = sorted(labelled_rows(docs, labels, label, usable, rows, chars).collect(), key=lambda row: (row.place, row.doc_id))
     return [row.text for row in kept], [row.label for row in kept]
+
+
+def train_in_task(sample: DataFrame, train):
+    """What ``train(texts, labels)`` makes of a bounded sample, in one task: the driver gets the model alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, labels = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            labels += batch.column(1).to_pylist()
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(train(texts, labels), pickle.HIGHEST_PROTOCOL)]})
+
+    rows = sample.repartition(1).sortWithinPartitions("place", "doc_id").select("text", "label")
+    made = rows.mapInArrow(run, "model binary").first()
+    # Without any row there may be no task either.
+    return pickle.loads(made.model) if made else train([], [])

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 
 from tidewatch.llm import gru
 from tidewatch.llm.common import append_columns
-from tidewatch.llm.samples import labelled_sample
+from tidewatch.llm.samples import labelled_rows, train_in_task
 from tidewatch.llm.tokens import word_tokenizer
 
 #: Documents of each class and characters in all that the network is trained on, at most.
@@ -22,8 +22,8 @@ TEXTS = 500
 def train_toxicity(
     docs: DataFrame, labels: DataFrame, usable: Column, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS
 ) -> gru.Scorer:
-    """A network trained on a bounded sample of the labelled documents that ``usable`` admits."""
-    return gru.train(*labelled_sample(docs, labels, "toxic", usable, rows, chars))
+    """A network trained, in one task, on a bounded sample of the labelled documents that ``usable`` admits."""
+    return train_in_task(labelled_rows(docs, labels, "toxic", usable, rows, chars), gru.train)
 
 
 def score_toxicity(docs: DataFrame, scorer: gru.Scorer) -> DataFrame:
