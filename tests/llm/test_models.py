@@ -40,6 +40,19 @@ def test_sample_is_bounded_and_keeps_to_its_fold(spark, corpus):
     assert labelled_sample(docs.limit(0), labels, "toxic", F.lit(True), 5, 100) == ([], [])
 
 
+def test_an_identifier_with_two_labels_or_texts_gives_one_row(spark, corpus):
+    """The smallest label, and one text whatever the order of the rows."""
+    rows = [(1, "one"), (1, "uno"), (2, "two"), (2, "two"), (3, None), (None, "none")]
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (2, None), (2, 1), (3, 1), (9, 1)], "doc_id long, toxic int")
+    seen = {
+        tuple(sorted(zip(*labelled_sample(corpus(order, parts=k), labels.repartition(k), "toxic", F.lit(True), 10, 1000))))
+        for order, k in ((rows, 1), (rows[::-1], 3))
+    }
+    assert len(seen) == 1
+    found = next(iter(seen))
+    assert [y for _, y in sorted(found, key=lambda x: x[1])] == [0, 1, 1] and {t for t, y in found if y} == {"two", ""}
+
+
 def test_long_text_does_not_end_the_sample():
     # One text over the whole budget comes first, and the frequent class would use up what the rare one needs.
     order = [(0, 1, 5000), *((i, int(i % 10 == 0), 30) for i in range(1, 101))]
@@ -130,6 +143,49 @@ def test_toxicity_ranks_held_out_documents(spark):
     assert held_out(spark, "op9_toxicity", "toxic") > 0.8
 
 
+def plain_score(scorer, text):
+    """The strongest window of a text, word by word, gate by gate."""
+    p, h = {k: v.astype(float) for k, v in scorer.network.p.items()}, gru.HIDDEN
+    words = gru.tidy(text)
+
+    def sig(x):
+        return 1 / (1 + np.exp(-x))
+
+    def projected(word):
+        chars = gru.char_rows([word])[1]
+        return np.concatenate([p["word"][gru.word_row(word)], p["char"][chars].sum(0) / np.sqrt(max(1, len(chars)))]) @ p["w"] + p["c"]
+
+    best = -np.inf
+    for start in range(0, max(1, len(words) - gru.WINDOW + gru.STRIDE), gru.STRIDE):
+        inputs = [projected(w) for w in words[start : start + gru.WINDOW]]
+        ways = []
+        for way in (0, 1):
+            state, states = np.zeros(h), []
+            for x in inputs[:: -1 if way else 1]:
+                x, r = x[3 * h * way : 3 * h * (way + 1)], state @ p["u"][way]
+                keep, reset = sig(x[:h] + r[:h]), sig(x[h : 2 * h] + r[h : 2 * h])
+                new = np.tanh(x[2 * h :] + reset * r[2 * h :])
+                state = keep * state + (1 - keep) * new
+                states.append(state)
+            ways.append(states[:: -1 if way else 1])
+        joined = [np.concatenate(pair) for pair in zip(*ways)]
+        context = np.zeros(2 * h)
+        if joined:
+            weight = np.exp([j @ p["v"] for j in joined])
+            context = sum(w * j for w, j in zip(weight / weight.sum(), joined))
+        best = max(best, float(context @ p["o"] + p["b"][0]))
+    return sig(scorer.scale[0] * best + scorer.scale[1])
+
+
+def test_scores_are_those_of_a_network_run_word_by_word():
+    rng = np.random.default_rng(8)
+    words = [f"wörd{i}" for i in range(30)] + ["bad,", "awful!", "...", "a"]
+    texts = ["", "a", "bad", *(" ".join(rng.choice(words, n)) for n in (3, 15, 16, 17, 24, 25, 60, 133))]
+    train = [" ".join(rng.choice(words, 20)) for _ in range(60)]
+    scorer = gru.train(train, [int("bad," in t or "awful!" in t) for t in train], rounds=1, epochs=2)
+    assert scorer.scores(texts) == pytest.approx([plain_score(scorer, t) for t in texts], abs=2e-5)
+
+
 def test_quality_ranks_held_out_documents(spark):
     assert held_out(spark, "op10_quality_neighbours", "quality") > 0.95
 
