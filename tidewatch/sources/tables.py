@@ -126,6 +126,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there and not empty."""
+    files, target = folder(spark, path)
+    return files.exists(target) and len(files.listStatus(target)) > 0
+
+
 # Where the totals of an alert index stand.
 TOTALS = "-totals"
 # Where a streamed table's closed dates are copied to, and the pointer that says up to where.
