@@ -247,3 +247,36 @@ def test_search_reads_only_dates_that_can_hold_the_newest(spark):
     assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
     totals = spark.read.parquet(path + "-totals")
     assert len(serving.alert_dates(totals, n=5)) == 1 and len(serving.alert_dates(totals, "critical")) == 1
+
+
+def _alerts_of_hours(spark, low):
+    """Alerts of forty hours with a hundred events each, but one with ``low``."""
+    from tidewatch.operators import anomalies
+
+    count = F.when(F.col("id") == 30, low).otherwise(100).cast("long")
+    hours = spark.range(0, 40).select(
+        F.timestamp_micros(F.lit(1704067200000000) + F.col("id") * 3600000000).alias("window_start"),
+        count.alias("event_count"), F.lit(50.0).alias("revenue"), F.lit(9).cast("long").alias("active_users"),
+    )
+    return anomalies.detect(stored(hours, "hours"), "1 hour", detected_at=F.col("window_end"))
+
+
+def test_an_index_without_alerts_is_read_as_empty(spark):
+    """Calm traffic raises nothing, so no file is written; index and searches have no rows, and their usual columns."""
+    from tidewatch.operators import serving
+    from tidewatch.sources.tables import read_index
+
+    def index(low):
+        path = work_dir(spark, "alerts")
+        for attempt in range(2):
+            alerts = _alerts_of_hours(spark, low)
+            sinks.index_alerts(alerts, path, work_dir(spark, f"staging-{attempt}"), F.col("window_end"))
+        return path
+
+    calm, loud = index(100), index(1)
+    assert read_index(spark, loud).count() == 1 and read_index(spark, calm).count() == 0
+    assert read_index(spark, calm).dtypes == read_index(spark, loud).dtypes
+    for asked in ((), ("critical", "drop")):
+        empty, found = (serving.search_index(spark, path, *asked) for path in (calm, loud))
+        assert empty.count() == 0 and found.count() == 1 and empty.dtypes == found.dtypes
+    assert serving.recent_alerts(serving.search_index(spark, calm, n=10)).count() == 0

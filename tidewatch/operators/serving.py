@@ -11,7 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.functions.measures import ratio_sql
-from tidewatch.sources.tables import TOTALS
+from tidewatch.schema import TOTALS_SCHEMA
+from tidewatch.sources.tables import TOTALS, read_index
 
 
 def latest(table: DataFrame, n: int = 100, time: str = "window_start") -> DataFrame:
@@ -85,9 +86,12 @@ def alert_dates(
 def search_index(
     spark: SparkSession, path: str, severity: str | None = None, alert_type: str | None = None, n: int = 20, fmt: str = "parquet"
 ) -> DataFrame:
-    """The ``n`` newest alerts of a stored index that fit, newest first, reading only the dates that can hold them."""
-    dates = alert_dates(spark.read.format(fmt).load(path + TOTALS), severity, alert_type, n)
-    alerts = spark.read.format(fmt).load(path).filter(F.col("event_date").isin(dates) if dates else F.lit(False))
+    """The ``n`` newest alerts of a stored index that fit, newest first, reading only the dates that can hold them.
+
+    None where no alert was ever indexed.
+    """
+    dates = alert_dates(read_index(spark, path + TOTALS, TOTALS_SCHEMA, fmt), severity, alert_type, n)
+    alerts = read_index(spark, path, fmt=fmt).filter(F.col("event_date").isin(dates) if dates else F.lit(False))
     return search_alerts(alerts, severity, alert_type, n)
 
 

@@ -72,3 +72,15 @@ ALERT_COLUMNS = (
     "window_start",
     "window_end",
 )
+
+# Columns of a stored alert index and of the totals beside it, as the detector's alerts make them.
+INDEX_SCHEMA = (
+    "alert_id string, alert_type string, severity string, metric string, current_val double, baseline double, z_score double, "
+    "pct_change double, message string, timestamp timestamp, window_start timestamp, window_end timestamp, series string, "
+    "indexed_at timestamp, event_date date"
+)
+TOTALS_SCHEMA = (
+    "series string, severity string, alert_type string, alerts long, oldest timestamp, newest timestamp, event_date date"
+)
+# Alerts of the job also say whether they were taken back.
+JOB_INDEX_SCHEMA = INDEX_SCHEMA.replace("indexed_at", "withdrawn boolean, indexed_at")
