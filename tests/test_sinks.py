@@ -280,3 +280,17 @@ def test_an_index_without_alerts_is_read_as_empty(spark):
         empty, found = (serving.search_index(spark, path, *asked) for path in (calm, loud))
         assert empty.count() == 0 and found.count() == 1 and empty.dtypes == found.dtypes
     assert serving.recent_alerts(serving.search_index(spark, calm, n=10)).count() == 0
+
+
+def test_the_job_reads_no_alerts_where_none_was_raised(spark):
+    from tidewatch.config import StreamConfig
+    from tidewatch.schema import JOB_INDEX_SCHEMA
+    from tidewatch.streaming.job import Job
+
+    job = Job(spark, StreamConfig(base_path=work_dir(spark, "tables"), checkpoint_dir=work_dir(spark, "checkpoints")))
+    assert job.read("alerts").count() == 0
+    raised = _alerts_of_hours(spark, 1).withColumn("withdrawn", F.lit(False))
+    empty = job.read("alerts").dtypes
+    sinks.index_alerts(raised, job.path("alerts"), work_dir(spark, "staging"))
+    assert job.read("alerts").count() == 1 and job.read("alerts").dtypes == empty == spark.createDataFrame([], JOB_INDEX_SCHEMA).dtypes
+    job.stop()
