@@ -500,3 +500,15 @@ def test_job_in_another_format(spark, wire):
     assert job.detector_summary().count() == 1 and job.top_pages().count() > 0
     jobs.start_all(spark, config, raw=read_wire(spark, "parquet", {}, wire), once=True)
     assert job.read("raw").count() == spark.read.orc(job.path("landed")).count()
+
+
+def test_state_partitions_follow_the_events(spark, tmp_path):
+    """With more events there are more state partitions, so that the rows of a task stay as many."""
+    from tidewatch.plans import queries
+
+    for events in (1000, 20 * queries.STATE_EVENTS + 1):
+        rows = spark.range(events).selectExpr(
+            "id AS event_id", "timestamp_ntz'2024-01-01' AS ts", "id AS user_id", "'view' AS event_type", "1D AS value", "'' AS props"
+        )
+        rows.write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+        assert queries._state_count(spark, str(tmp_path)) == (spark.sparkContext.defaultParallelism if events == 1000 else 21)
