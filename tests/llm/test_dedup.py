@@ -201,3 +201,30 @@ def test_lists_alone_find_insertions(spark, corpus, monkeypatch):
     want = plain_components(docs)
     assert len({name for _, name in want.values()}) < 60
     assert spark_components(corpus(docs)) == want
+
+
+@pytest.mark.parametrize("original", ["first", "last"])
+def test_pairs_of_a_group_of_near_copies_grow_with_its_size(spark, corpus, monkeypatch, original):
+    # Each copy of a text links to it and few to each other; the text itself may have any identifier.
+    counted = []
+    search = jaccard.search_lists
+
+    def spy(*args):
+        out = search(*args)
+        counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "search_lists", spy)
+    for n in (150, 300):
+        rng = random.Random(n)
+        base = [f"b{i}" for i in range(150)]
+        copies = []
+        for k in range(n):
+            words = list(base)
+            for at in rng.sample(range(150), 2 + k % 3):
+                words[at] = f"w{rng.randrange(10**6)}"
+            copies.append(" ".join(words))
+        texts = [" ".join(base), *copies] if original == "first" else [*copies, " ".join(base)]
+        rows = list(enumerate(texts, 1))
+        assert spark_components(corpus(rows)) == plain_components(rows)
+    assert counted[-1] <= 2 * 300
