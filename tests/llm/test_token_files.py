@@ -171,3 +171,26 @@ def test_related_documents_far_apart_share_a_window(spark, monkeypatch):
     several = [x for x in filled.values() if len(x) > 1]
     same = sum(len(set(x)) == 1 for x in several) / len(several)
     assert len(several) > 20 and same > 0.6
+
+
+def test_words_that_occur_often_outlive_a_generation():
+    tokenizer = WordTokenizer(default_vocabulary(), remember=50)
+    asked = []
+    learn = tokenizer.known.learn
+    tokenizer.known.learn = lambda word: asked.append(word) or learn(word)
+    for i in range(400):
+        text = f"often again. word{i}x q{i}"
+        assert np.frombuffer(tokenizer.encode([text])[0], tokenizer.dtype).tolist() == plain_ids(text, 0)[:-1]
+        assert len(tokenizer.known) <= 50 and len(tokenizer.known.last) <= 50
+    assert asked.count("often") == asked.count("again.") == 1
+
+
+def test_letters_beyond_ascii_are_learnt_without_the_whole_splitter():
+    tokenizer = WordTokenizer(default_vocabulary())
+    asked = []
+    whole = tokenizer._ids
+    tokenizer._ids = lambda text: asked.append(text) or whole(text)
+    texts = ["Écoute, façon straße! AÑO ªº µm ciónueciónra", "ÀÉÎÕÜ 日本 ß ſ İstanbul é́ naïve’s Ünï1 x­y"]
+    got = tokenizer.encode(texts)
+    assert [np.frombuffer(raw, tokenizer.dtype).tolist() for raw in got] == [plain_ids(x, 0)[:-1] for x in texts]
+    assert not {"écoute", "façon", "straße", "año", "ciónueciónra"} & set(asked)
