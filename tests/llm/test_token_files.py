@@ -194,3 +194,15 @@ def test_letters_beyond_ascii_are_learnt_without_the_whole_splitter():
     got = tokenizer.encode(texts)
     assert [np.frombuffer(raw, tokenizer.dtype).tolist() for raw in got] == [plain_ids(x, 0)[:-1] for x in texts]
     assert not {"écoute", "façon", "straße", "año", "ciónueciónra"} & set(asked)
+
+
+@given(st.lists(st.integers(0, 70), max_size=60))
+@settings(max_examples=60, deadline=None)
+def test_distinct_terms_and_the_heaviest_of_them(ids):
+    terms, tf = packing.distinct(np.array(ids, "<u2"))
+    assert dict(zip(terms.tolist(), tf.tolist(), strict=True)) == {x: ids.count(x) for x in ids}
+    assert terms.tolist() == sorted(set(ids))
+    idf, holders = np.log1p(np.arange(71) % 7 + 1.0), np.full(71, 3)
+    weight = {int(t): idf[t] * n * (packing.K1 + 1) / (n + packing.K1) for t, n in zip(terms, tf, strict=True)}
+    want = [t + 1 for t in sorted(weight, key=lambda t: (-weight[t], t))[:3]] + [0] * 3
+    assert packing.content_key(terms, tf, idf, holders, 2) == want[0] << 42 | want[1] << 21 | want[2]

@@ -37,8 +37,8 @@ def _tokenise(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -
     docs = 0
     for doc_ids, texts in slices(batches):
         encoded = [raw + end for raw in tokenizer.encode(texts)]
-        _, terms, _ = term_table([np.frombuffer(raw, tokenizer.dtype) for raw in encoded])
-        holders += np.bincount(terms, minlength=len(holders))
+        terms = [distinct(np.frombuffer(raw, tokenizer.dtype))[0] for raw in encoded]
+        holders += np.bincount(np.concatenate(terms), minlength=len(holders))
         docs += len(encoded)
         lengths = [len(raw) // tokenizer.dtype.itemsize for raw in encoded]
         yield pa.RecordBatch.from_arrays(
@@ -51,6 +51,13 @@ def _tokenise(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -
         )
 
 
+def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct terms of one document, rising, and their number of occurrences."""
+    ids = np.sort(ids)
+    first = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1]) if len(ids) else np.zeros(0, np.int64)
+    return ids[first], np.diff(first, append=len(ids))
+
+
 def term_table(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct terms of documents: document, term and number of occurrences, by document and term."""
     lengths = [len(ids) for ids in docs]
@@ -62,7 +69,10 @@ def term_table(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def content_key(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray, holders: np.ndarray, least: int) -> int:
-    """The three heaviest terms of a document that ``least`` documents or more hold, as one number: documents near in it are related."""
+    """The three heaviest terms of a document that ``least`` documents or more hold, as one number: documents near in it are related.
+
+    Terms rise, so of equal weights the smallest term comes first.
+    """
     use = holders[terms] >= least
     terms, tf = terms[use], tf[use]
     weight = idf[terms] * tf * (K1 + 1) / (tf + K1)
@@ -70,7 +80,7 @@ def content_key(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray, holders: np.
     for k in range(3):
         best = -1
         if k < len(terms):
-            best = int(np.lexsort((terms, -weight))[0])
+            best = int(np.argmax(weight))
             weight[best] = -np.inf
         key = key << 21 | (int(terms[best]) + 1 if best >= 0 else 0)
     return key
@@ -80,7 +90,7 @@ def _keys(batches: Iterator[pa.RecordBatch], dtype: str, idf: np.ndarray, holder
     for batch in batches:
         keys = []
         for raw in batch.column(1).to_pylist():
-            terms, tf = np.unique(np.frombuffer(raw, dtype), return_counts=True)
+            terms, tf = distinct(np.frombuffer(raw, dtype))
             keys.append(content_key(terms, tf, idf, holders, least))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.int64())], names=["doc_id", "ids", "key"])
 
@@ -140,7 +150,7 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, wind
             score[~unused] = -1.0
             score[seed] = -1.0
             # As many neighbours as fill the window, best first; ties by place.
-            ranked = iter(np.lexsort((np.arange(index.n), -score))[: left - 1].tolist())
+            ranked = iter(np.argsort(-score, kind="stable")[: left - 1].tolist())
         offset, doc, seed = 0, seed, -1
         while True:
             length = min(int(rest[doc]), window - offset)
