@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -206,3 +207,44 @@ def test_distinct_terms_and_the_heaviest_of_them(ids):
     weight = {int(t): idf[t] * n * (packing.K1 + 1) / (n + packing.K1) for t, n in zip(terms, tf, strict=True)}
     want = [t + 1 for t in sorted(weight, key=lambda t: (-weight[t], t))[:3]] + [0] * 3
     assert packing.content_key(terms, tf, idf, holders, 2) == want[0] << 42 | want[1] << 21 | want[2]
+
+
+@given(st.lists(st.lists(st.integers(0, 70), max_size=30), min_size=1, max_size=12), st.integers(1, 40), st.sampled_from(["<u2", "<u4"]), st.integers(1, 4))
+@settings(max_examples=100, deadline=None)
+def test_keys_of_many_documents_by_one_sort(docs, together, dtype, least):
+    """Each document's key and the holders of each term as plain Python finds them, wherever the runs are cut; nothing works document by document."""
+    docs = [ids + [70] for ids in docs]
+    holders = np.array([sum(t in ids for ids in docs) for t in range(71)])
+    idf = np.log1p(np.arange(71) % 7 + 1.0)
+    want = []
+    for ids in docs:
+        weight = {t: idf[t] * ids.count(t) * (packing.K1 + 1) / (ids.count(t) + packing.K1) for t in set(ids) if holders[t] >= least}
+        top = [t + 1 for t in sorted(weight, key=lambda t: (-weight[t], t))[:3]] + [0] * 3
+        want.append(top[0] << 42 | top[1] << 21 | top[2])
+    raw = [np.array(ids, dtype).tobytes() for ids in docs]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(raw)), pa.int64()), pa.array(raw, pa.binary())], names=["doc_id", "ids"])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(packing, "SORT_IDS", together)
+        patch.setattr(packing, "distinct", None)
+        patch.setattr(packing, "content_key", None)
+        (out,) = packing._keys(iter([batch]), dtype, idf, holders, least)
+        counted = sum(np.bincount(packing.term_table(part)[1], minlength=71) for part in packing._parts(raw, np.dtype(dtype)))
+    assert out.column("doc_id").equals(batch.column("doc_id")) and out.column("ids").equals(batch.column("ids"))
+    assert out.column("key").to_pylist() == want
+    assert counted.tolist() == holders.tolist()
+
+
+def test_holders_of_a_partition_are_counted_many_documents_at_a_time(monkeypatch):
+    texts = ["river castle river", "", "castle winter", "one two three"] * 300
+    sorts = []
+    table = packing.term_table
+    monkeypatch.setattr(packing, "term_table", lambda docs: sorts.append(len(docs)) or table(docs))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    *rows, last = [row for out in packing._tokenise(iter([batch]), default_vocabulary(), 1) for row in out.to_pylist()]
+    assert sorts == [1200]
+    assert [np.frombuffer(row["ids"], "<u2").tolist() for row in rows] == [plain_ids(text, 1) for text in texts]
+    holders = np.frombuffer(last["shares"], "<i8")
+    want = np.zeros(len(holders), dtype=np.int64)
+    for text in texts:
+        want[list(set(plain_ids(text, 1)))] += 1
+    assert last["n_ids"] == 1200 and holders.tolist() == want.tolist()

@@ -18,6 +18,9 @@ WINDOW = 2048
 #: Documents of one index shard, and the ids after which a shard is closed before that.
 SHARD_DOCS = 512
 SHARD_IDS = 1 << 22
+#: Ids that are sorted at a time to find the distinct terms of their documents, and the documents this serves at most.
+SORT_IDS = 1 << 18
+SORT_DOCS = 1 << 16
 #: Usual BM25 constants.
 K1, B = 1.2, 0.75
 
@@ -37,8 +40,8 @@ def _tokenise(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -
     docs = 0
     for doc_ids, texts in slices(batches):
         encoded = [raw + end for raw in tokenizer.encode(texts)]
-        terms = [distinct(np.frombuffer(raw, tokenizer.dtype))[0] for raw in encoded]
-        holders += np.bincount(np.concatenate(terms), minlength=len(holders))
+        for part in _parts(encoded, tokenizer.dtype):
+            holders += np.bincount(term_table(part)[1], minlength=len(holders))
         docs += len(encoded)
         lengths = [len(raw) // tokenizer.dtype.itemsize for raw in encoded]
         yield pa.RecordBatch.from_arrays(
@@ -51,48 +54,82 @@ def _tokenise(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -
         )
 
 
-def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct terms of one document, rising, and their number of occurrences."""
-    ids = np.sort(ids)
-    first = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1]) if len(ids) else np.zeros(0, np.int64)
-    return ids[first], np.diff(first, append=len(ids))
+def _parts(encoded: list[bytes], dtype: np.dtype) -> Iterator[list[np.ndarray]]:
+    """The ids of documents in runs of about ``SORT_IDS`` ids, so that one sort serves many documents. None is cut or left out."""
+    part: list[np.ndarray] = []
+    held = 0
+    for raw in encoded:
+        part.append(np.frombuffer(raw, dtype))
+        held += len(part[-1])
+        if held >= SORT_IDS or len(part) == SORT_DOCS:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
 
 
 def term_table(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct terms of documents: document, term and number of occurrences, by document and term."""
     lengths = [len(ids) for ids in docs]
-    keys = np.repeat(np.arange(len(docs), dtype=np.int64) << 32, lengths) | np.concatenate(docs)
+    terms = np.concatenate(docs)
+    # Document and term side by side in one number; ids of 2 bytes leave room for as many documents in 4.
+    short = terms.dtype.itemsize == 2 and len(docs) <= SORT_DOCS
+    kind, bits = (np.uint32, 16) if short else (np.int64, 32)
+    keys = np.repeat(np.arange(len(docs), dtype=kind) << kind(bits), lengths) | terms.astype(kind)
     keys.sort()
-    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    new = np.ones(len(keys), dtype=bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    first = np.flatnonzero(new)
     counts = np.diff(first, append=len(keys))
-    return keys[first] >> 32, keys[first] & 0xFFFFFFFF, counts
+    keys = keys[first]
+    return (keys >> kind(bits)).astype(np.int64), (keys & kind((1 << bits) - 1)).astype(np.int64), counts
 
 
-def content_key(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray, holders: np.ndarray, least: int) -> int:
-    """The three heaviest terms of a document that ``least`` documents or more hold, as one number: documents near in it are related.
+def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct terms of one document, rising, and their number of occurrences."""
+    _, terms, tf = term_table([ids])
+    return terms, tf
+
 
-    Terms rise, so of equal weights the smallest term comes first.
+def content_keys(
+    owner: np.ndarray, terms: np.ndarray, tf: np.ndarray, docs: int, idf: np.ndarray, holders: np.ndarray, least: int
+) -> np.ndarray:
+    """For each of ``docs`` documents of a ``term_table`` its three heaviest terms that ``least`` documents or more hold, as one number.
+
+    Documents near in it are related. Terms rise, so of equal weights the smallest term comes first.
     """
-    use = holders[terms] >= least
-    terms, tf = terms[use], tf[use]
+    keys = np.zeros(docs, dtype=np.int64)
+    use = (holders >= least)[terms]
+    owner, terms, tf = owner[use], terms[use], tf[use]
+    if not len(owner):
+        return keys
     weight = idf[terms] * tf * (K1 + 1) / (tf + K1)
-    key = 0
-    for k in range(3):
-        best = -1
-        if k < len(terms):
-            best = int(np.argmax(weight))
-            weight[best] = -np.inf
-        key = key << 21 | (int(terms[best]) + 1 if best >= 0 else 0)
-    return key
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    sizes = np.diff(first, append=len(owner))
+    found = np.zeros(len(first), dtype=np.int64)
+    for _ in range(3):
+        heaviest = np.maximum.reduceat(weight, first)
+        places = np.flatnonzero(weight == np.repeat(heaviest, sizes))
+        best = places[np.searchsorted(places, first)]
+        found = found << 21 | np.where(heaviest > -np.inf, terms[best] + 1, 0)
+        weight[best] = -np.inf
+    keys[owner[first]] = found
+    return keys
+
+
+def content_key(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray, holders: np.ndarray, least: int) -> int:
+    """The ``content_keys`` of one document."""
+    return int(content_keys(np.zeros(len(terms), dtype=np.int64), terms, tf, 1, idf, holders, least)[0])
 
 
 def _keys(batches: Iterator[pa.RecordBatch], dtype: str, idf: np.ndarray, holders: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys = []
-        for raw in batch.column(1).to_pylist():
-            terms, tf = distinct(np.frombuffer(raw, dtype))
-            keys.append(content_key(terms, tf, idf, holders, least))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.int64())], names=["doc_id", "ids", "key"])
+        keys = [np.zeros(0, dtype=np.int64)]
+        for part in _parts(batch.column(1).to_pylist(), np.dtype(dtype)):
+            keys.append(content_keys(*term_table(part), len(part), idf, holders, least))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(np.concatenate(keys), pa.int64())], names=["doc_id", "ids", "key"]
+        )
 
 
 class Shard:
