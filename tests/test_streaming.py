@@ -512,3 +512,16 @@ def test_state_partitions_follow_the_events(spark, tmp_path):
         )
         rows.write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
         assert queries._state_count(spark, str(tmp_path)) == (spark.sparkContext.defaultParallelism if events == 1000 else 21)
+
+
+def test_state_stores_reserve_no_disk(spark, events, wire):
+    """A store takes the disk that its rows need, not some megabytes ahead of them."""
+    import os
+
+    local = spark._jvm.org.apache.spark.util.Utils.getLocalDir(spark._jsc.sc().conf())
+    manifests = lambda: {f"{at}/{name}" for at, _, names in os.walk(local) for name in names if name.startswith("MANIFEST")}
+    before = manifests()
+    run(windows.revenue(wire_events(spark, wire), "1 hour"), spark)
+    mine = manifests() - before
+    assert mine and max(os.stat(name).st_blocks * 512 for name in mine) < 1 << 20
+    assert spark.conf.get("spark.sql.streaming.stateStore.compression.codec") == "zstd"
