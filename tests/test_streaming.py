@@ -525,3 +525,31 @@ def test_state_stores_reserve_no_disk(spark, events, wire):
     mine = manifests() - before
     assert mine and max(os.stat(name).st_blocks * 512 for name in mine) < 1 << 20
     assert spark.conf.get("spark.sql.streaming.stateStore.compression.codec") == "zstd"
+
+
+def busy(make_events, minutes=6, users=300):
+    """Each user every 20 seconds, some of them with gaps and some without an amount."""
+    return make_events([
+        (second + user / users, f"u{user}", "purchase" if user % 3 else "click", "/p1", "mobile", "s1", float(user) if user % 5 else None)
+        for second in range(0, 60 * minutes, 20) for user in range(users) if user % 7 or second % 60 == 0
+    ])
+
+
+def test_sliding_stream_keeps_users_as_sets(spark, make_events):
+    """The state of sliding windows has a row for each bucket of users, not one for each user and window."""
+    found = busy(make_events)
+    query, streamed = run(windows.sliding_metrics(wire_events(spark, write_files(spark, [found])), "5 minutes", "30 seconds"), spark)
+    expected = closed(spark, found, windows.sliding_metrics(found, "5 minutes", "30 seconds"), "5 minutes")
+    assert rows_of(streamed) == rows_of(expected) and streamed.count() > 0
+    # The last three operators of a batch are those of windows, of windows and users, and of panes; the others are of the dedupe.
+    most = max(op.numRowsTotal for p in query.recentProgress for op in p.stateOperators[:3])
+    panes = 12
+    assert most <= (panes + 10) * windows.USER_BUCKETS
+
+
+def test_sliding_stream_counts_users_of_several_batches_once(spark, make_events):
+    found = busy(make_events, minutes=8, users=40)
+    parts = [found.filter(F.minute("event_ts").between(*span)) for span in ((0, 2), (3, 4), (5, 7))]
+    _, streamed = run(windows.sliding_metrics(wire_events(spark, write_files(spark, parts), 1), "2 minutes", "30 seconds"), spark)
+    expected = closed(spark, found, windows.sliding_metrics(found, "2 minutes", "30 seconds"), "2 minutes")
+    assert rows_of(streamed) == rows_of(expected) and streamed.count() > 0
