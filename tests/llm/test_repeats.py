@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tests.conftest import DATA
 from tidewatch.llm import repeats
 from tidewatch.llm.queries import REGISTRY
+from tidewatch.llm.slices import TEXTS, Slice
 from tidewatch.sources.tables import Scratch
 
 
@@ -119,3 +121,36 @@ def test_whole_plan_has_no_broadcast_of_data(spark, corpus):
         out = repeats.remove_repeats(corpus(odd_rows()), scratch)
         plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and out.select(F.size("spans")).columns
+
+
+def in_one_bucket(texts, sorted_bytes):
+    """What a bucket that has all strings tells the slices, one document each: the rows, and the bytes that were sorted at a time."""
+    slices = [repeats.rows_of([(i, TEXTS, 0, len(t), Slice.blob([i], [t]))]) for i, t in enumerate(texts)]
+    keys = pa.Table.from_batches(list(repeats._keys(iter(slices), 50, 1)))
+    shared = pa.Table.from_batches(list(repeats._meet(iter(keys.to_batches()), 10_000)))
+    both = pa.concat_tables([pa.Table.from_batches(slices), shared]).sort_by([("slice", "ascending"), ("kind", "ascending")]).combine_chunks()
+    pieces = pa.Table.from_batches(list(repeats._pieces(iter(both.to_batches()), 50, 1)))
+    sizes, sort = [], repeats.suffix_buckets
+    try:
+        repeats.suffix_buckets = lambda data, length: (sizes.append(len(data)), sort(data, length))[1]
+        found = list(repeats._refine(iter(pieces.to_batches()), 50, *sorted_bytes))
+    finally:
+        repeats.suffix_buckets = sort
+    rows = []
+    for row in pa.Table.from_batches(found).to_pylist() if found else []:
+        piece, first, last, doc = repeats.unpack(row["blob"], "<u4", "u1", "u1", "<i8")
+        rows += zip([row["slice"]] * len(piece), piece.tolist(), first.tolist(), last.tolist(), doc.tolist(), strict=True)
+    return sorted(rows), sizes
+
+
+def test_a_full_bucket_is_sorted_in_parts():
+    """Whatever a bucket holds, a task sorts some of its strings at a time, and the answer is that of sorting all of them."""
+    rng = np.random.default_rng(3)
+    shared = [rng.integers(97, 123, 700, dtype=np.uint8).tobytes() for _ in range(1200)]
+    # The second document ends each passage otherwise, so that keys have several pieces.
+    texts = [b"".join(shared), b"".join(x[:400] + bytes([65 + i % 20]) + x[401:] for i, x in enumerate(shared)), b"".join(shared[::-1])]
+    whole, _ = in_one_bucket(texts, (1 << 40,))
+    parts, sizes = in_one_bucket(texts, (1 << 16,))
+    assert parts == whole and len(parts) > 1000
+    assert len(sizes) > 5 and max(sizes) < 1 << 17
+    assert max(in_one_bucket(texts * 2, ())[1]) <= repeats.SORTED_BYTES + (1 << 17)

@@ -22,6 +22,8 @@ FIRST, GRAM = 8, 20
 #: Buckets at least, more than tasks, so that these get even shares; and bytes of text whose strings share one, on average, beyond that.
 LEAST_BUCKETS = 256
 BUCKET_BYTES = 16 << 20
+#: Bytes of pieces whose strings are sorted together, beyond what is under one key.
+SORTED_BYTES = 2 << 20
 #: Strings of one piece at most, so that a text without variety is cut into like pieces too.
 PIECE = 64
 #: Pieces under one key beyond which their strings are dealt one by one.
@@ -261,34 +263,53 @@ def first_documents(pieces: list[bytes], keys: np.ndarray, low: np.ndarray, leng
     return owner[new], place[new], place[new] + size - 1, least[new]
 
 
-def _refine(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """For each slice and bucket: runs of strings of its pieces that a smaller document has than the largest of the slice that has the piece."""
+def _refine(batches: Iterator[pa.RecordBatch], length: int, sorted_bytes: int = SORTED_BYTES) -> Iterator[pa.RecordBatch]:
+    """For each slice and bucket: runs of strings of its pieces that a smaller document has than the largest of the slice that has the piece.
+
+    Equal strings have equal keys, so a bucket is worked off in parts of about ``sorted_bytes`` that end between keys: what is sorted at a time doesn't
+    grow with the bucket.
+    """
     for bucket, held in groups(batches, "bucket"):
-        names: dict[bytes, int] = {}
-        parts, every_key, every_low = [], [], []
+        slices, columns, texts = [row["slice"] for row in held], [], []
         for row in held:
-            keys, sizes, low, high, data = unpack(row["blob"], "<u8", "u1", "<i8", "<i8", "u1")
-            text, ends = data.tobytes(), np.cumsum(sizes.astype(np.int64) + (length - 1))
-            begins = [0, *ends[:-1].tolist()]
-            own = np.array([names.setdefault(text[x:y], len(names)) for x, y in zip(begins, ends.tolist(), strict=True)], np.int64)
-            parts.append((row["slice"], own, high))
-            every_key.append(keys)
-            every_low.append(low)
-        which = np.concatenate([own for _, own, _ in parts])
-        keys, low = np.zeros(len(names), np.uint64), np.full(len(names), NEVER)
-        keys[which] = np.concatenate(every_key)
-        np.minimum.at(low, which, np.concatenate(every_low))
-        owner, first, last, doc = first_documents(list(names), keys, low, length)
-        runs = np.bincount(owner, minlength=len(names))
-        begin = np.cumsum(runs) - runs
-        for name, own, high in parts:
-            piece, place = ragged(runs[own])
-            run = begin[own][piece] + place
-            use = doc[run] < high[piece]
-            if use.any():
-                piece, run = piece[use], run[use]
-                blob = pack(piece.astype("<u4"), first[run].astype("u1"), last[run].astype("u1"), doc[run])
-                yield rows_of([(name, FOUND, bucket, len(run), blob)])
+            *numbers, text = unpack(row.pop("blob"), "<u8", "u1", "<i8", "<i8", "u1")
+            columns.append(numbers)
+            texts.append(text.tobytes())
+        until = np.cumsum([len(x[0]) for x in columns])
+        source = np.repeat(np.arange(len(columns), dtype=np.int32), np.diff(until, prepend=0))
+        ends = np.concatenate([np.cumsum(x[1], dtype=np.int64) + (length - 1) * np.arange(1, len(x[1]) + 1) for x in columns])
+        keys, sizes, low, high = (np.concatenate(column) for column in zip(*columns, strict=True))
+        del columns
+        sizes = sizes.astype(np.int64) + (length - 1)
+        order = np.argsort(keys, kind="stable")
+        before = np.cumsum(sizes[order]) // sorted_bytes
+        # The pieces of a key go with its first one.
+        _, begin, times = np.unique(keys[order], return_index=True, return_counts=True)
+        found = []
+        for _, i, j in cut(np.repeat(before[begin], times)):
+            own = order[i:j]
+            names: dict[bytes, int] = {}
+            at = zip(source[own].tolist(), ends[own].tolist(), sizes[own].tolist(), strict=True)
+            which = np.array([names.setdefault(texts[k][y - n : y], len(names)) for k, y, n in at], np.int64)
+            key, least = np.zeros(len(names), np.uint64), np.full(len(names), NEVER)
+            key[which] = keys[own]
+            np.minimum.at(least, which, low[own])
+            owner, first, last, doc = first_documents(list(names), key, least, length)
+            runs = np.bincount(owner, minlength=len(names))
+            piece, place = ragged(runs[which])
+            run = (np.cumsum(runs) - runs)[which][piece] + place
+            use = doc[run] < high[own][piece]
+            piece, run = own[piece[use]], run[use]
+            found.append((piece, first[run].astype("u1"), last[run].astype("u1"), doc[run]))
+        piece, first, last, doc = (np.concatenate(column) for column in zip(*found, strict=True))
+        # Back in the order of the slices and their pieces.
+        again = np.argsort(piece, kind="stable")
+        row = np.searchsorted(until, piece[again], side="right")
+        for r, i, j in cut(row):
+            mine = again[i:j]
+            start = until[r - 1] if r else 0
+            blob = pack((piece[mine] - start).astype("<u4"), first[mine], last[mine], doc[mine])
+            yield rows_of([(slices[r], FOUND, bucket, j - i, blob)])
 
 
 def _remove(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
