@@ -294,3 +294,16 @@ def test_the_job_reads_no_alerts_where_none_was_raised(spark):
     sinks.index_alerts(raised, job.path("alerts"), work_dir(spark, "staging"))
     assert job.read("alerts").count() == 1 and job.read("alerts").dtypes == empty == spark.createDataFrame([], JOB_INDEX_SCHEMA).dtypes
     job.stop()
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+def test_streamed_tables_are_packed(spark, fmt):
+    """Streamed files are zstd where the format has it, and read as before."""
+    source, path = work_dir(spark, "source"), work_dir(spark, "packed")
+    rows = spark.range(100).select("id", F.lit("2024-01-01").alias("event_date"))
+    rows.write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    sinks.start_append(stream, path, work_dir(spark, "checkpoint"), partition_cols=("event_date",), fmt=fmt).awaitTermination()
+    names = [str(x) for x in Path(path).rglob("part-*")]
+    assert names and all(("zstd" in name) == (fmt != "json") for name in names)
+    assert spark.read.format(fmt).load(path).select("id").distinct().count() == 100
